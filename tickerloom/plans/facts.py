@@ -39,7 +39,8 @@ def daily_prices_fact(
     dimensions join without a hint: the planner broadcasts them while they are small and
     sort-merges beyond that.
     """
-    changed = price_change(prices, ["symbol"], ["price_date"], "close_price")
+    cols = ["symbol", "price_date", "open_price", "high_price", "low_price", "close_price", "adj_close", "volume"]
+    changed = price_change(prices.select(*cols), ["symbol"], ["price_date"], "close_price")
     if start is not None:
         changed = changed.where(F.col("price_date") >= F.lit(start))
     return (
