@@ -36,10 +36,10 @@ def filings(spark, d):
     return facts.ratios_fact(quarters(spark, d))
 
 
-def metrics(spark, d):
+def metrics(spark, d, places=None):
     q = filings(spark, d)
     ttm = trailing.ttm_in_order(q, BY)
-    return facts.market_metrics(samples.prices(spark, d), q, ttm)
+    return facts.market_metrics(samples.prices(spark, d), q, ttm, places=places)
 
 
 def shipping_days(spark, d):
@@ -840,7 +840,7 @@ def trailing_volatility(spark, d):
 
 @query(
     "option_daily",
-    """select symbol, date, round(avg(implied_volatility), 6) as avg_implied_vol, cast(sum(volume) as bigint) as total_volume,
+    """select symbol, date, cast(sum(cast(implied_volatility as decimal(28,6))) as double) / count(implied_volatility) as avg_implied_vol, cast(sum(volume) as bigint) as total_volume,
       cast(sum(open_interest) as bigint) as total_open_interest from v_options group by symbol, date""",
 )
 def option_daily(spark, d):
@@ -853,8 +853,8 @@ def option_daily(spark, d):
       round(avg_put_iv - avg_call_iv, 6) as put_call_skew from (
       select symbol, date, cast(coalesce(sum(volume) filter (option_type = 'CALL'), 0) as bigint) as total_call_volume,
         cast(coalesce(sum(volume) filter (option_type = 'PUT'), 0) as bigint) as total_put_volume,
-        round(avg(implied_volatility) filter (option_type = 'CALL'), 6) as avg_call_iv,
-        round(avg(implied_volatility) filter (option_type = 'PUT'), 6) as avg_put_iv,
+        cast(sum(cast(implied_volatility as decimal(28,6))) filter (option_type = 'CALL') as double) / nullif(count(*) filter (option_type = 'CALL'), 0) as avg_call_iv,
+        cast(sum(cast(implied_volatility as decimal(28,6))) filter (option_type = 'PUT') as double) / nullif(count(*) filter (option_type = 'PUT'), 0) as avg_put_iv,
         cast(sum(open_interest) as bigint) as total_open_interest from v_options group by symbol, date)""",
 )
 def option_metrics(spark, d):
@@ -864,7 +864,7 @@ def option_metrics(spark, d):
 @query(
     "iv_percent_rank",
     """select *, percent_rank() over (partition by symbol order by avg_implied_vol) as iv_rank from (
-      select symbol, date, round(avg(implied_volatility), 6) as avg_implied_vol, cast(sum(volume) as bigint) as total_volume,
+      select symbol, date, cast(sum(cast(implied_volatility as decimal(28,6))) as double) / count(implied_volatility) as avg_implied_vol, cast(sum(volume) as bigint) as total_volume,
         cast(sum(open_interest) as bigint) as total_open_interest from v_options group by symbol, date)""",
 )
 def iv_percent_rank(spark, d):

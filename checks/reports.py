@@ -13,8 +13,12 @@ from . import facts as facts_checks
 from .registry import dbl, plain, query
 
 BY = ["company_key"]
-TODAY = F.lit("2001-06-30").cast("date")
-NOW = F.lit("2024-02-01 00:30:00").cast("timestamp_ntz")
+def today():
+    return F.lit("2001-06-30").cast("date")
+
+def now():
+    return F.lit("2024-02-01 00:30:00").cast("timestamp_ntz")
+
 _NOW = "timestamp '2024-02-01 00:30:00'"
 
 
@@ -167,7 +171,9 @@ def _loaded(df, day):
 
 
 _AT = "timestamp '2001-12-05 12:10:00'"
-AT = F.lit("2001-12-05 12:10:00").cast("timestamp_ntz")
+def as_of():
+    return F.lit("2001-12-05 12:10:00").cast("timestamp_ntz")
+
 
 
 def _fresh(name: str, view: str, day: str) -> str:
@@ -193,7 +199,7 @@ def staging_freshness(spark, d):
         "STG_BALANCE_SHEET": _loaded(samples.balance(spark, d), "fiscal_date"),
         "STG_CASH_FLOW": _loaded(samples.cash(spark, d), "fiscal_date"),
     }
-    return views.staging_freshness(tables, AT)
+    return views.staging_freshness(tables, as_of())
 
 
 def _monitor(name: str, view: str, day: str, warn: int, critical: int | None) -> str:
@@ -219,7 +225,7 @@ def freshness_monitor(spark, d):
             "Daily Prices": (_loaded(samples.prices(spark, d), "price_date"), 24, 48),
             "Financial Statements": (_loaded(samples.income(spark, d), "fiscal_date"), 168, None),
         },
-        AT,
+        as_of(),
     )
 
 
@@ -247,7 +253,7 @@ def age_by_source(spark, d):
             "PRICES": (samples.prices(spark, d), "price_date", "hour"),
             "FINANCIALS": (facts_checks.statements(spark, d), "fiscal_date", "day"),
         },
-        AT,
+        as_of(),
     )
 
 
@@ -301,24 +307,28 @@ def latest_coverage(spark, d):
     return views.latest_coverage(samples.prices(spark, d), F.lit("2001-10-01").cast("date"))
 
 
+# through text, so that the decimal is the shortest one that names the double
+_STORED_PE = "cast(round_even(cast(cast(pe_ratio_ttm as varchar) as decimal(38,12)), 2) as decimal(20,2)) as pe"
+
+
 @query(
     "monthly_stats",
-    """select symbol, cast(year(price_date) as int) as year, cast(month(price_date) as int) as month, round(avg(pe_ratio_ttm), 6) as avg_value,
-      min(pe_ratio_ttm) as min_value, max(pe_ratio_ttm) as max_value from v_metrics group by 1, 2, 3""",
+    f"""select symbol, cast(year(price_date) as int) as year, cast(month(price_date) as int) as month, cast(sum(pe) as double) / nullif(count(pe), 0) as avg_value,
+      cast(min(pe) as double) as min_value, cast(max(pe) as double) as max_value from (select *, {_STORED_PE} from v_metrics) group by 1, 2, 3""",
 )
 def monthly_stats(spark, d):
-    return views.monthly_valuation(facts_checks.metrics(spark, d), ["symbol"])
+    return plain(views.monthly_valuation(facts_checks.metrics(spark, d, places=2), ["symbol"]))
 
 
 @query(
     "valuation_rollup",
-    """select sector, industry, cast(grouping_id(sector, industry) as bigint) as level, count(pe_ratio_ttm) as rows,
-      round(avg(pe_ratio_ttm), 6) as avg_value, min(pe_ratio_ttm) as min_value, max(pe_ratio_ttm) as max_value
-      from v_metrics join (select symbol, sector, industry from v_company) using (symbol) group by rollup (sector, industry)""",
+    f"""select sector, industry, cast(grouping_id(sector, industry) as bigint) as level, count(pe) as rows,
+      cast(sum(pe) as double) / nullif(count(pe), 0) as avg_value, cast(min(pe) as double) as min_value, cast(max(pe) as double) as max_value
+      from (select *, {_STORED_PE} from v_metrics) join (select symbol, sector, industry from v_company) using (symbol) group by rollup (sector, industry)""",
 )
 def valuation_rollup(spark, d):
     c = samples.companies(spark, d).select("symbol", "sector", "industry")
-    return views.valuation_rollup(facts_checks.metrics(spark, d).join(c, "symbol"), ["sector", "industry"])
+    return plain(views.valuation_rollup(facts_checks.metrics(spark, d, places=2).join(c, "symbol"), ["sector", "industry"]))
 
 
 @query(
@@ -430,7 +440,9 @@ def pipeline_health(spark, d):
     return monitoring.pipeline_health(samples.jobs(spark, d), F.lit("2024-01-30 12:00:00").cast("timestamp_ntz"))
 
 
-_SINCE = F.lit("2024-01-20").cast("timestamp_ntz")
+def since():
+    return F.lit("2024-01-20").cast("timestamp_ntz")
+
 
 
 @query(
@@ -439,7 +451,7 @@ _SINCE = F.lit("2024-01-20").cast("timestamp_ntz")
       where error_timestamp >= timestamp '2024-01-20 00:00:00'""",
 )
 def recent_errors(spark, d):
-    return monitoring.recent_errors(samples.job_errors(spark, d).drop("job_name"), samples.jobs(spark, d), _SINCE)
+    return monitoring.recent_errors(samples.job_errors(spark, d).drop("job_name"), samples.jobs(spark, d), since())
 
 
 @query(
@@ -447,7 +459,7 @@ def recent_errors(spark, d):
     """select job_name, error_message, count(*) as error_count from v_errors where error_timestamp >= timestamp '2024-01-20 00:00:00' group by 1, 2""",
 )
 def error_frequency(spark, d):
-    return monitoring.error_frequency(samples.job_errors(spark, d), _SINCE)
+    return monitoring.error_frequency(samples.job_errors(spark, d), since())
 
 
 @query(
@@ -455,7 +467,7 @@ def error_frequency(spark, d):
     "select count(*) as recent_errors from v_errors where error_timestamp >= timestamp '2024-01-20 00:00:00'",
 )
 def recent_error_count(spark, d):
-    return monitoring.error_count(samples.job_errors(spark, d), _SINCE)
+    return monitoring.error_count(samples.job_errors(spark, d), since())
 
 
 @query(
@@ -476,7 +488,7 @@ def job_performance(spark, d):
       from v_jobs where start_time >= timestamp '2024-01-20 00:00:00'""",
 )
 def throughput(spark, d):
-    return monitoring.throughput(samples.jobs(spark, d), _SINCE)
+    return monitoring.throughput(samples.jobs(spark, d), since())
 
 
 @query(
@@ -594,7 +606,7 @@ def audit_job_metrics(spark, d):
 def audit_quality_issues(spark, d):
     checked = quality.validate(samples.companies(spark, d).withColumn("employees", F.lit(None).cast("bigint")), quality.profile_rules())
     found = quality.issue_rows(checked, ["symbol"])
-    return monitoring.quality_issues(found, F.lit("load-1"), "STG_COMPANY_PROFILE", F.col("symbol"), NOW)
+    return monitoring.quality_issues(found, F.lit("load-1"), "STG_COMPANY_PROFILE", F.col("symbol"), now())
 
 
 # ---- record rules ------------------------------------------------------------------------
@@ -673,7 +685,7 @@ _PRICE_RULES = [
 
 @query("validate_price", _issues_sql("symbol, price_date", _ODD, _PRICE_RULES))
 def validate_price(spark, d):
-    return _rules_out(quality.validate(_odd_prices(spark, d), quality.price_rules(TODAY)), ["symbol", "price_date"])
+    return _rules_out(quality.validate(_odd_prices(spark, d), quality.price_rules(today())), ["symbol", "price_date"])
 
 
 @query(
@@ -684,7 +696,7 @@ def validate_price(spark, d):
         {' + '.join(f'case when {c} then 1 else 0 end' for c, _, s in _PRICE_RULES if s != 'ERROR')} as w from {_ODD})""",
 )
 def validation_summary(spark, d):
-    return quality.validation_summary(quality.validate(_odd_prices(spark, d), quality.price_rules(TODAY)))
+    return quality.validation_summary(quality.validate(_odd_prices(spark, d), quality.price_rules(today())))
 
 
 @query(
@@ -693,7 +705,7 @@ def validation_summary(spark, d):
       where {' or '.join(f'coalesce({c}, false)' for c, _, s in _PRICE_RULES if s == 'ERROR')}""",
 )
 def quarantined_prices(spark, d):
-    _, bad = quality.split_valid(quality.validate(_odd_prices(spark, d), quality.price_rules(TODAY)))
+    _, bad = quality.split_valid(quality.validate(_odd_prices(spark, d), quality.price_rules(today())))
     return plain(bad.select("symbol", "price_date", "close_price", "volume"))
 
 
@@ -725,7 +737,7 @@ def validate_income(spark, d):
             "gross_profit": F.when(key % 6 == 4, F.col("gross_profit") + 5).otherwise(F.col("gross_profit")),
         }
     )
-    return _rules_out(quality.validate(rows, quality.income_rules(TODAY)), ["symbol", "fiscal_date", "period"])
+    return _rules_out(quality.validate(rows, quality.income_rules(today())), ["symbol", "fiscal_date", "period"])
 
 
 @query(
@@ -740,7 +752,7 @@ def validate_income(spark, d):
     ),
 )
 def validate_balance(spark, d):
-    return _rules_out(quality.validate(samples.balance(spark, d), quality.balance_rules(TODAY)), ["symbol", "fiscal_date", "period"])
+    return _rules_out(quality.validate(samples.balance(spark, d), quality.balance_rules(today())), ["symbol", "fiscal_date", "period"])
 
 
 @query(
@@ -761,7 +773,7 @@ def validate_cashflow(spark, d):
     rows = samples.cash(spark, d).withColumn(
         "free_cash_flow", F.when(key % 7 == 3, F.col("free_cash_flow") - 2).otherwise(F.col("free_cash_flow"))
     )
-    return _rules_out(quality.validate(rows, quality.cash_rules(TODAY)), ["symbol", "fiscal_date", "period"])
+    return _rules_out(quality.validate(rows, quality.cash_rules(today())), ["symbol", "fiscal_date", "period"])
 
 
 @query(
@@ -829,7 +841,7 @@ def dq_issues(spark, d):
     key = F.col("company_key")
     income = samples.income(spark, d).withColumn("revenue", F.when(key % 9 == 2, -F.col("revenue")).otherwise(F.col("revenue")))
     balance = samples.balance(spark, d).withColumn("total_assets", F.when(key % 15 == 6, F.lit(0)).otherwise(F.col("total_assets")))
-    return views.dq_issues(income, balance, samples.prices(spark, d), TODAY)
+    return views.dq_issues(income, balance, samples.prices(spark, d), today())
 
 
 _SCORE = """case when score >= 95 then 'EXCELLENT' when score >= 90 then 'GOOD' when score >= 80 then 'FAIR' else 'POOR' end as quality_rating"""

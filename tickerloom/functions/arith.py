@@ -46,6 +46,12 @@ def growth_pct(current: Column | str, prior: Column | str) -> Column:
     return percent(as_column(current) - as_column(prior), prior)
 
 
+def exact_mean(x: Column | str, places: int = 6) -> Column:
+    """Mean whose sum is taken in decimal, so the order of the rows cannot change it."""
+    x = as_column(x).cast(f"decimal(28,{places})")
+    return F.when(F.count(x) > 0, dbl(F.sum(x)) / F.count(x))
+
+
 def cagr(current: Column | str, prior: Column | str, years: int) -> Column:
     """Compound yearly growth between two positive values, rounded to 6 places."""
     current, prior = as_column(current), as_column(prior)

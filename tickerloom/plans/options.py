@@ -7,13 +7,13 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.arith import ratio
+from ..functions.arith import exact_mean, ratio
 
 
 def daily_chain(options: DataFrame, by: Sequence[str] = ("symbol", "date")) -> DataFrame:
     """Mean volatility, volume and open interest per symbol and day."""
     return options.groupBy(*by).agg(
-        F.round(F.avg("implied_volatility"), 6).alias("avg_implied_vol"),
+        exact_mean("implied_volatility").alias("avg_implied_vol"),
         F.sum("volume").alias("total_volume"),
         F.sum("open_interest").alias("total_open_interest"),
     )
@@ -25,8 +25,8 @@ def chain_metrics(options: DataFrame, by: Sequence[str] = ("symbol", "date")) ->
     sums = options.groupBy(*by).agg(
         F.coalesce(F.sum(F.when(call, F.col("volume"))), F.lit(0)).alias("total_call_volume"),
         F.coalesce(F.sum(F.when(put, F.col("volume"))), F.lit(0)).alias("total_put_volume"),
-        F.round(F.avg(F.when(call, F.col("implied_volatility"))), 6).alias("avg_call_iv"),
-        F.round(F.avg(F.when(put, F.col("implied_volatility"))), 6).alias("avg_put_iv"),
+        exact_mean(F.when(call, F.col("implied_volatility"))).alias("avg_call_iv"),
+        exact_mean(F.when(put, F.col("implied_volatility"))).alias("avg_put_iv"),
         F.sum("open_interest").alias("total_open_interest"),
     )
     return sums.withColumns(

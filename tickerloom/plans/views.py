@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.arith import dbl
+from ..functions.arith import dbl, exact_mean
 from ..functions.dates import hour_boundaries, period_rank
 from ..functions.labels import completeness_label, freshness_label, gap_label, rating
 from ..operators.keyed import latest, newest_n
@@ -275,11 +275,11 @@ def latest_coverage(prices: DataFrame, since: Column) -> DataFrame:
 
 
 def monthly_valuation(metrics: DataFrame, by: Sequence[str], value: str = "pe_ratio_ttm") -> DataFrame:
-    """Mean, lowest and highest value per entity and month."""
+    """Mean, lowest and highest stored value per entity and month."""
     return metrics.groupBy(
         *by, F.year("price_date").alias("year"), F.month("price_date").alias("month")
     ).agg(
-        F.round(F.avg(value), 6).alias("avg_value"),
+        exact_mean(value).alias("avg_value"),
         F.min(value).alias("min_value"),
         F.max(value).alias("max_value"),
     )
@@ -290,7 +290,7 @@ def valuation_rollup(metrics: DataFrame, levels: Sequence[str], value: str = "pe
     return metrics.rollup(*levels).agg(
         F.grouping_id().alias("level"),
         F.count(value).alias("rows"),
-        F.round(F.avg(value), 6).alias("avg_value"),
+        exact_mean(value).alias("avg_value"),
         F.min(value).alias("min_value"),
         F.max(value).alias("max_value"),
     )

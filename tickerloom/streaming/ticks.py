@@ -193,11 +193,14 @@ def split_late(rows: DataFrame, newest_seen: Column, lateness: str) -> tuple[Dat
 
 def landed_files(
     spark: SparkSession, path: str, schema: T.StructType, target: str, checkpoint: str, fmt: str = "json",
+    glob: str | None = None,
 ) -> StreamingQuery:
     """Load files that were not loaded before; the checkpoint remembers which were."""
     reader = spark.readStream.schema(schema).format(fmt)
     if fmt == "json":
         reader = reader.option("multiLine", True)
+    if glob:
+        reader = reader.option("pathGlobFilter", glob)
     return run_files(reader.load(path), target, checkpoint)
 
 
