@@ -21,11 +21,7 @@ MEASURES = (*INCOME_MEASURES, *BALANCE_MEASURES, *CASH_MEASURES)
 
 
 def statements(spark, d):
-    """Integrated statements under the sample's own company key."""
-    rows = facts.combined_statements(samples.income(spark, d), samples.balance(spark, d), samples.cash(spark, d))
-    return rows.withColumns(
-        {"company_key": F.substring("symbol", 2, 20).cast("bigint"), "period_type": F.col("period")}
-    )
+    return samples.statements(spark, d)
 
 
 def quarters(spark, d):
@@ -37,9 +33,8 @@ def filings(spark, d):
 
 
 def metrics(spark, d, places=None):
-    q = filings(spark, d)
-    ttm = trailing.ttm_in_order(q, BY)
-    return facts.market_metrics(samples.prices(spark, d), q, ttm, places=places)
+    q = trailing.with_ttm(filings(spark, d), BY)
+    return facts.market_metrics(samples.prices(spark, d), q, places=places)
 
 
 def shipping_days(spark, d):
@@ -522,6 +517,18 @@ def market_metrics(spark, d):
     return plain(metrics(spark, d).drop("open_price", "high_price", "low_price", "volume"))
 
 
+@query(
+    "market_metrics_as_known",
+    f"select company_key, price_date, fiscal_period, filing_fiscal_date, ttm_quarter_date, {', '.join(METRICS)} from v_metrics",
+)
+def market_metrics_as_known(spark, d):
+    """The same valuation from two event streams, for filings that may come out of order."""
+    q = filings(spark, d)
+    ttm = trailing.ttm_as_known(q, BY)
+    rows = facts.market_metrics(samples.prices(spark, d), q, ttm)
+    return plain(rows.drop("symbol", "open_price", "high_price", "low_price", "close_price", "volume"))
+
+
 @query(
     "incremental_metrics",
     f"""select company_key, price_date, market_cap, pe_ratio_ttm from v_metrics m
@@ -531,8 +538,7 @@ def incremental_metrics(spark, d):
     """Only prices whose day is not stored yet are valued; a stored day is one with a large trade."""
     stored = samples.trades(spark, d).where("q > 45").select(*BY, F.col("d").alias("price_date"))
     todo = facts.not_yet_computed(samples.prices(spark, d), stored, [*BY, "price_date"])
-    q = filings(spark, d)
-    rows = facts.market_metrics(todo, q, trailing.ttm_in_order(q, BY))
+    rows = facts.market_metrics(todo, trailing.with_ttm(filings(spark, d), BY))
     return plain(rows.select("company_key", "price_date", "market_cap", "pe_ratio_ttm"))
 
 
@@ -774,7 +780,7 @@ def peg_ratio(spark, d):
         *BY, F.col("newest_quarter_date").alias("ttm_quarter_date"),
         growth.rates(["ttm_eps_diluted"])["ttm_eps_diluted_growth_rate"].alias("eps_growth"),
     )
-    m = facts.market_metrics(samples.prices(spark, d), q, ttm).select(*BY, "price_date", "ttm_quarter_date", "pe_ratio_ttm")
+    m = metrics(spark, d).select(*BY, "price_date", "ttm_quarter_date", "pe_ratio_ttm")
     return m.join(g, [*BY, "ttm_quarter_date"]).withColumn("peg_ratio", peg("pe_ratio_ttm", "eps_growth")).drop("ttm_quarter_date")
 
 

@@ -558,10 +558,10 @@ _PHASES = """phases as (
       case when e > 0 then cast(e as double) end as extract_duration, case when t > 0 then cast(t as double) end as transform_duration,
       case when l > 0 then cast(l as double) end as load_duration,
       case when failed or (error_count > 0 and records_loaded = 0) then 'FAILED' when error_count > 0 then 'PARTIAL' else 'SUCCESS' end as status,
-      round(cast(date_diff('microsecond', start_time, end_time) as double) / 1000000, 2) as duration_seconds from runs""",
+      cast(round(date_diff('microsecond', start_time, end_time) * cast('0.000001' as decimal(7,6)), 2) as double) as duration_seconds from runs""",
 )
 def audit_job_history(spark, d):
-    return monitoring.job_history(_phase_events(spark, d))
+    return plain(monitoring.job_history(_phase_events(spark, d)))
 
 
 @query(

@@ -86,13 +86,13 @@ def asof_join(
     )
 
 
-def known_states(
+def one_timeline(
     streams: Mapping[str, tuple[DataFrame, str, Sequence[str]]], by: Sequence[str], at: str
 ) -> DataFrame:
-    """One timeline from several event streams: at each event time, the latest row of every stream.
+    """Several event streams as one: per event time a struct column per stream, NULL where
+    that stream has no event then.
 
     ``streams`` maps an output struct name to (events, time column, tie-break columns).
-    Joining the result once as-of replaces one as-of join per stream.
     """
     parts = []
     for name, (events, time, tie) in streams.items():
@@ -100,13 +100,14 @@ def known_states(
         once = intervals(events, by, time, tie, "_end").drop("_end")
         parts.append(once.select(*by, F.col(time).alias(at), F.struct(*own).alias(name)))
     rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
-    moment = rows.groupBy(*by, at).agg(
-        *[F.any_value(n, ignoreNulls=True).alias(n) for n in streams]
-    )
+    return rows.groupBy(*by, at).agg(*[F.any_value(n, ignoreNulls=True).alias(n) for n in streams])
+
+
+def carried_forward(events: DataFrame, by: Sequence[str], at: str, names: Sequence[str]) -> DataFrame:
+    """Each column of ``names`` with its last value so far; joining the result once as-of
+    replaces one as-of join per column."""
     so_far = Window.partitionBy(*by).orderBy(at).rowsBetween(Window.unboundedPreceding, 0)
-    return moment.withColumns(
-        {n: F.last(n, ignorenulls=True).over(so_far) for n in streams}
-    )
+    return events.withColumns({n: F.last(n, ignorenulls=True).over(so_far) for n in names})
 
 
 def known_at(

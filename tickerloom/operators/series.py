@@ -14,7 +14,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.arith import dbl, nz, percent
+from ..functions.arith import dbl, percent
 
 
 def previous(
@@ -89,17 +89,44 @@ def returns(
     return df.withColumns({name: one(n) for name, n in offsets.items()})
 
 
-def moving_averages(
-    df: DataFrame, by: Sequence[str], day: str, price: str, spans: Mapping[str, int]
+def rolling_sums(
+    df: DataFrame, by: Sequence[str], day: str, value: str, spans: Mapping[str, int], skip: int = 0
 ) -> DataFrame:
-    """Mean of the last ``n`` rows, summed exactly in the price's own decimal type."""
+    """Sum and count of ``value`` over ``n`` rows, as ``{name}_sum`` and ``{name}_rows``.
+
+    The ``n`` rows end ``skip`` rows before the current one. Each is the difference of two
+    running totals, so the cost per row does not grow with ``n``; ``value`` must be exact
+    (integer or decimal), or the differences would drift.
+    """
     w = Window.partitionBy(*by).orderBy(day)
+    so_far = w.rowsBetween(Window.unboundedPreceding, 0)
+    df = df.withColumns(
+        {
+            "_total": F.coalesce(F.sum(value).over(so_far), F.lit(0)),
+            "_rows": F.count(value).over(so_far),
+        }
+    )
 
-    def one(n: int) -> Column:
-        frame = w.rowsBetween(1 - n, 0)
-        return dbl(F.sum(price).over(frame)) / F.count(price).over(frame)
+    def before(c: str, n: int) -> Column:
+        return F.col(c) if n == 0 else F.coalesce(F.lag(c, n).over(w), F.lit(0))
+
+    cells = {}
+    for name, n in spans.items():
+        cells[f"{name}_sum"] = before("_total", skip) - before("_total", skip + n)
+        cells[f"{name}_rows"] = before("_rows", skip) - before("_rows", skip + n)
+    return df.withColumns(cells).drop("_total", "_rows")
 
-    return df.withColumns({name: one(n) for name, n in spans.items()})
+
+def moving_averages(
+    df: DataFrame, by: Sequence[str], day: str, price: str, spans: Mapping[str, int]
+) -> DataFrame:
+    """Mean of the last ``n`` rows, summed exactly in the price's own decimal type."""
+    df = rolling_sums(df, by, day, price, {f"_{name}": n for name, n in spans.items()})
+    means = {
+        name: F.when(F.col(f"_{name}_rows") > 0, dbl(f"_{name}_sum") / F.col(f"_{name}_rows"))
+        for name in spans
+    }
+    return df.withColumns(means).drop(*[f"_{n}_{part}" for n in spans for part in ("sum", "rows")])
 
 
 def volatility(
@@ -128,9 +155,9 @@ def multiple_of_average(
     df: DataFrame, by: Sequence[str], day: str, value: str, span: int, name: str
 ) -> DataFrame:
     """A row's value over the mean of the ``span`` rows before it."""
-    frame = Window.partitionBy(*by).orderBy(day).rowsBetween(-span, -1)
-    mean = dbl(F.sum(nz(value)).over(frame)) / F.count(F.lit(1)).over(frame)
-    return df.withColumn(name, F.when(mean > 0, dbl(value) / mean))
+    df = rolling_sums(df, by, day, value, {"_before": span}, skip=1)
+    mean = F.when(F.col("_before_rows") > 0, dbl("_before_sum") / F.col("_before_rows"))
+    return df.withColumn(name, F.when(mean > 0, dbl(value) / mean)).drop("_before_sum", "_before_rows")
 
 
 def sessions(

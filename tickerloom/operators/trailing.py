@@ -40,29 +40,44 @@ QUARTERS_NEEDED = 4
 LOOKBACK_MONTHS = 15
 
 
+def _framed(by: Sequence[str]) -> dict[str, Column]:
+    """Trailing columns of each quarter over itself and the three before it."""
+    frame = Window.partitionBy(*by).orderBy("fiscal_date").rowsBetween(1 - QUARTERS_NEEDED, 0)
+    return {
+        "calculation_date": F.to_date("accepted_date"),
+        "quarters_included": F.count(F.lit(1)).over(frame).cast("int"),
+        "oldest_quarter_date": F.min("fiscal_date").over(frame),
+        "newest_quarter_date": F.col("fiscal_date"),
+        **{f"ttm_{c}": F.sum(c).over(frame) for c in FLOWS},
+        **{f"latest_{c}": F.col(c) for c in STOCKS},
+    }
+
+
+def _complete() -> Column:
+    return (F.col("quarters_included") == QUARTERS_NEEDED) & (
+        F.col("oldest_quarter_date") > F.add_months("calculation_date", -LOOKBACK_MONTHS)
+    )
+
+
 def ttm_in_order(quarters: DataFrame, by: Sequence[str]) -> DataFrame:
     """One row per quarter that completes a year, for filings that arrive in fiscal order.
 
     ``quarters`` has one row per entity and fiscal date. One shuffle; the frame spans four
     rows. Use ``ttm_as_known`` where a later quarter may be accepted before an earlier one.
     """
-    frame = (
-        Window.partitionBy(*by).orderBy("fiscal_date").rowsBetween(1 - QUARTERS_NEEDED, 0)
-    )
-    framed = quarters.select(
-        *by,
-        F.to_date("accepted_date").alias("calculation_date"),
-        "accepted_date",
-        F.count(F.lit(1)).over(frame).cast("int").alias("quarters_included"),
-        F.min("fiscal_date").over(frame).alias("oldest_quarter_date"),
-        F.col("fiscal_date").alias("newest_quarter_date"),
-        *[F.sum(c).over(frame).alias(f"ttm_{c}") for c in FLOWS],
-        *[F.col(c).alias(f"latest_{c}") for c in STOCKS],
-    )
-    return framed.where(
-        (F.col("quarters_included") == QUARTERS_NEEDED)
-        & (F.col("oldest_quarter_date") > F.add_months("calculation_date", -LOOKBACK_MONTHS))
-    )
+    return quarters.select(
+        *by, "accepted_date", *[e.alias(n) for n, e in _framed(by).items()]
+    ).where(_complete())
+
+
+def with_ttm(quarters: DataFrame, by: Sequence[str], name: str = "ttm") -> DataFrame:
+    """Each quarter with its trailing year as a struct, NULL where the year is incomplete.
+
+    Saves deriving the quarters twice where filing and trailing year are both wanted.
+    """
+    cols = _framed(by)
+    framed = quarters.withColumns(cols)
+    return framed.withColumn(name, F.when(_complete(), F.struct(*cols))).drop(*cols)
 
 
 def calculation_dates(quarters: DataFrame, by: Sequence[str]) -> DataFrame:

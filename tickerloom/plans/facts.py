@@ -11,7 +11,7 @@ from ..functions.arith import dbl, nz, ratio
 from ..functions.dates import is_quarter
 from ..functions.ratios import fundamental_ratios, statement_view_ratios
 from ..functions.valuation import METRICS, with_valuation
-from ..operators.asof import asof_join, known_states
+from ..operators.asof import asof_join, carried_forward, intervals, one_timeline
 from ..operators.keyed import not_in
 from ..operators.series import price_change
 from ..operators.trailing import ttm_as_known
@@ -132,38 +132,55 @@ def staging_ratios(income: DataFrame, balance: DataFrame) -> DataFrame:
     )
 
 
+def known_valuation_inputs(
+    filings: DataFrame, ttm: DataFrame | None, by: Sequence[str], at: str = "known_from"
+) -> DataFrame:
+    """Per entity and acceptance time the newest quarter and trailing year known then.
+
+    Without ``ttm`` the filings carry their trailing year themselves (``with_ttm``).
+    """
+    by = list(by)
+    quarter = ["accepted_date", "fiscal_date", *FILING_COLUMNS]
+    year = ["newest_quarter_date", *TTM_COLUMNS]
+    if ttm is None:
+        once = intervals(filings, by, "accepted_date", ["fiscal_date"], "_end")
+        year_struct = F.when(
+            F.col("ttm").isNotNull(), F.struct(*[F.col(f"ttm.{c}").alias(c) for c in year])
+        )
+        events = once.select(
+            *by,
+            F.col("accepted_date").alias(at),
+            F.struct(*quarter).alias("filing"),
+            year_struct.alias("ttm"),
+        )
+    else:
+        events = one_timeline(
+            {
+                "filing": (filings.select(*by, *quarter), "accepted_date", ["fiscal_date"]),
+                "ttm": (ttm.select(*by, "accepted_date", *year), "accepted_date", ["newest_quarter_date"]),
+            },
+            by,
+            at,
+        )
+    return carried_forward(events, by, at, ["filing", "ttm"])
+
+
 def market_metrics(
     prices: DataFrame,
     filings: DataFrame,
-    ttm: DataFrame,
+    ttm: DataFrame | None = None,
     by: Sequence[str] = ("company_key",),
     day: str = "price_date",
     places: int | None = None,
 ) -> DataFrame:
     """Valuation of every price by the newest quarter and trailing year known that day.
 
-    ``filings`` are quarterly rows with their ratios. Both event streams are laid on one
+    ``filings`` are quarterly rows with their ratios. What is known is laid on one
     timeline, so the prices take part in a single as-of join. A filing accepted during a
     day counts from the next day. Prices before any filing are dropped.
     """
-    by = list(by)
-    state = known_states(
-        {
-            "filing": (
-                filings.select(*by, "accepted_date", "fiscal_date", *FILING_COLUMNS),
-                "accepted_date",
-                ["fiscal_date"],
-            ),
-            "ttm": (
-                ttm.select(*by, "accepted_date", "newest_quarter_date", *TTM_COLUMNS),
-                "accepted_date",
-                ["newest_quarter_date"],
-            ),
-        },
-        by,
-        "known_from",
-    )
-    known = asof_join(prices, state, by, day, "known_from", how="inner")
+    state = known_valuation_inputs(filings, ttm, by)
+    known = asof_join(prices, state, list(by), day, "known_from", how="inner")
     return with_valuation(known, places).select(
         *prices.columns,
         "fiscal_period",

@@ -16,6 +16,11 @@ MESSAGE_LENGTH = 5000
 DESCRIPTION_LENGTH = 1000
 
 
+def _seconds(microseconds: Column) -> Column:
+    """Seconds to two places, rounded in decimal."""
+    return F.round(microseconds * F.lit("0.000001").cast("decimal(7,6)"), 2)
+
+
 def job_history(events: DataFrame) -> DataFrame:
     """One row per job run from its phase events.
 
@@ -30,7 +35,7 @@ def job_history(events: DataFrame) -> DataFrame:
 
     def seconds(phase: str) -> Column:
         took = F.timestamp_diff("MICROSECOND", F.col("started_at"), F.col("ended_at"))
-        return F.round(F.sum(F.when(F.col("phase") == phase, took)) / F.lit(1_000_000.0), 2)
+        return _seconds(F.sum(F.when(F.col("phase") == phase, took)))
 
     runs = events.groupBy("job_id", "job_name").agg(
         F.min("started_at").alias("start_time"),
@@ -52,7 +57,7 @@ def job_history(events: DataFrame) -> DataFrame:
     )
     took = F.timestamp_diff("MICROSECOND", F.col("start_time"), F.col("end_time"))
     return runs.withColumns(
-        {"status": status, "duration_seconds": F.round(took / F.lit(1_000_000.0), 2)}
+        {"status": status, "duration_seconds": _seconds(took)}
     ).drop("_failed")
 
 

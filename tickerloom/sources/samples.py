@@ -123,60 +123,88 @@ def _filed(df: DataFrame) -> DataFrame:
 STATEMENT_HEAD = ["company_key", "symbol", "fiscal_date", "period", "filing_date", "accepted_date"]
 
 
-def income(spark: SparkSession, folder: str) -> DataFrame:
+def _income_measures() -> dict[str, Column]:
     sp, sd, st, sq, n = (F.col(c) for c in ("sp", "sd", "st", "sq", "n"))
+    return {
+        "revenue": sp,
+        "cost_of_revenue": sd,
+        "gross_profit": sp - sd,
+        "operating_expenses": st,
+        "operating_income": sp - sd - st,
+        "net_income": sp - sd - st - sq * 100,
+        "eps": n * F.lit("0.05").cast("decimal(3,2)"),
+        "eps_diluted": n * F.lit("0.04").cast("decimal(3,2)"),
+        "shares_outstanding": sq * 1000,
+    }
+
+
+def _balance_measures() -> dict[str, Column]:
+    sp, sd, st = (F.col(c) for c in ("sp", "sd", "st"))
+    off = F.when(F.col("company_key") % 17 == 0, 1).otherwise(0)
+    return {
+        "total_assets": sp * 3,
+        "current_assets": sp,
+        "total_liabilities": sp + sd * 2,
+        "current_liabilities": sd,
+        "total_equity": sp * 2 - sd * 2 + off,
+        "cash_and_equivalents": st,
+        "total_debt": sd * 2,
+        "net_debt": sd * 2 - st,
+    }
+
+
+def _cash_measures() -> dict[str, Column]:
+    sp, sd, st = (F.col(c) for c in ("sp", "sd", "st"))
+    return {
+        "operating_cash_flow": sp - sd,
+        "investing_cash_flow": -st,
+        "financing_cash_flow": -sd,
+        "free_cash_flow": sp - sd - st,
+        "capital_expenditures": -st,
+        "dividends_paid": F.when(F.col("company_key") % 4 == 0, F.lit(0).cast("decimal(24,4)")).otherwise(-sd),
+    }
+
+
+def _has_balance() -> Column:
+    return (F.col("company_key") + F.month("fiscal_date")) % 11 != 0
+
+
+def _has_cash() -> Column:
+    return (F.col("company_key") + F.month("fiscal_date")) % 13 != 0
+
+
+def _named(measures: dict[str, Column], present: Column | None = None) -> list[Column]:
+    return [(e if present is None else F.when(present, e)).alias(n) for n, e in measures.items()]
+
+
+def statements(spark: SparkSession, folder: str) -> DataFrame:
+    """Integrated statements as the fact table holds them: one scan, no joins.
+
+    Equal to joining ``income``, ``balance`` and ``cash``.
+    """
     return _filed(periods(spark, folder)).select(
         *STATEMENT_HEAD,
-        sp.alias("revenue"),
-        sd.alias("cost_of_revenue"),
-        (sp - sd).alias("gross_profit"),
-        st.alias("operating_expenses"),
-        (sp - sd - st).alias("operating_income"),
-        (sp - sd - st - sq * 100).alias("net_income"),
-        (n * F.lit("0.05").cast("decimal(3,2)")).alias("eps"),
-        (n * F.lit("0.04").cast("decimal(3,2)")).alias("eps_diluted"),
-        (sq * 1000).alias("shares_outstanding"),
+        F.col("period").alias("period_type"),
+        *_named(_income_measures()),
+        *_named(_balance_measures(), _has_balance()),
+        *_named(_cash_measures(), _has_cash()),
     )
 
 
+def income(spark: SparkSession, folder: str) -> DataFrame:
+    return _filed(periods(spark, folder)).select(*STATEMENT_HEAD, *_named(_income_measures()))
+
+
 def balance(spark: SparkSession, folder: str) -> DataFrame:
     """Balance sheets; about one in eleven is missing and some do not add up."""
-    sp, sd, st = (F.col(c) for c in ("sp", "sd", "st"))
-    off = F.when(F.col("company_key") % 17 == 0, 1).otherwise(0)
-    return (
-        _filed(periods(spark, folder))
-        .where((F.col("company_key") + F.month("fiscal_date")) % 11 != 0)
-        .select(
-            *STATEMENT_HEAD,
-            (sp * 3).alias("total_assets"),
-            sp.alias("current_assets"),
-            (sp + sd * 2).alias("total_liabilities"),
-            sd.alias("current_liabilities"),
-            (sp * 2 - sd * 2 + off).alias("total_equity"),
-            st.alias("cash_and_equivalents"),
-            (sd * 2).alias("total_debt"),
-            (sd * 2 - st).alias("net_debt"),
-        )
-    )
+    rows = _filed(periods(spark, folder)).where(_has_balance())
+    return rows.select(*STATEMENT_HEAD, *_named(_balance_measures()))
 
 
 def cash(spark: SparkSession, folder: str) -> DataFrame:
     """Cash flows; about one in thirteen is missing and a quarter of companies pay nothing."""
-    sp, sd, st = (F.col(c) for c in ("sp", "sd", "st"))
-    paid = F.when(F.col("company_key") % 4 == 0, F.lit(0).cast("decimal(24,4)")).otherwise(-sd)
-    return (
-        _filed(periods(spark, folder))
-        .where((F.col("company_key") + F.month("fiscal_date")) % 13 != 0)
-        .select(
-            *STATEMENT_HEAD,
-            (sp - sd).alias("operating_cash_flow"),
-            (-st).alias("investing_cash_flow"),
-            (-sd).alias("financing_cash_flow"),
-            (sp - sd - st).alias("free_cash_flow"),
-            (-st).alias("capital_expenditures"),
-            paid.alias("dividends_paid"),
-        )
-    )
+    rows = _filed(periods(spark, folder)).where(_has_cash())
+    return rows.select(*STATEMENT_HEAD, *_named(_cash_measures()))
 
 
 def jobs(spark: SparkSession, folder: str) -> DataFrame:
