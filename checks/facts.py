@@ -9,12 +9,13 @@ from tickerloom.functions.valuation import METRICS, peg
 from tickerloom.operators import growth, keyed, trailing
 from tickerloom.operators.asof import asof_join, known_at
 from tickerloom.operators.scd2 import apply_changes, change_counts, detect_changes, first_load
-from tickerloom.operators.series import gaps, price_change, sessions, volatility
+from tickerloom.operators.series import balanced_slots, gaps, price_change, sessions, volatility
 from tickerloom.plans import dims, facts, options, technicals, views
 from tickerloom.schemas import BALANCE_MEASURES, CASH_MEASURES, INCOME_MEASURES
+from tickerloom.session import work_dir
 from tickerloom.sources import samples
 
-from .registry import dbl, plain, query
+from .registry import ORACLE, dbl, plain, query
 
 BY = ["company_key"]
 MEASURES = (*INCOME_MEASURES, *BALANCE_MEASURES, *CASH_MEASURES)
@@ -87,17 +88,18 @@ def dim_company_current(spark, d):
 
 
 def _snapshots(spark, d):
-    """Yesterday's profiles (without every tenth company) and today's, some changed."""
+    """Yesterday's profiles, without the largest companies, and today's, without the smallest and
+    with some changes."""
     base = samples.companies(spark, d)
     key = F.col("company_key")
-    before = base.where(key % 10 != 9)
+    before = base.where(F.col("market_cap") < 250_000_000_000)
     after = base.withColumns(
         {
             "company_name": F.when(key % 5 == 0, F.concat("company_name", F.lit(" Inc"))).otherwise(F.col("company_name")),
             "sector": F.when(key % 8 == 1, F.lit("RENAMED")).otherwise(F.col("sector")),
             "market_cap": F.when(key % 6 == 2, F.col("market_cap") * 2).otherwise(F.col("market_cap")),
         }
-    ).where(key % 12 != 11)
+    ).where(F.col("market_cap") >= 0)
     return before, after
 
 
@@ -107,8 +109,8 @@ after as (
     case when company_key % 8 = 1 then 'RENAMED' else sector end as sector, industry, exchange,
     case when company_key % 6 = 2 then market_cap * 2 else market_cap end as market_cap,
     headquarters_city, headquarters_state, headquarters_country
-  from v_company where company_key % 12 <> 11),
-before as (select * from v_company where company_key % 10 <> 9),
+  from v_company where market_cap >= 0),
+before as (select * from v_company where market_cap < 250000000000),
 detected as (
   select a.*, b.symbol is null as is_new,
     case when b.symbol is null then 'all' else concat_ws(',',
@@ -231,6 +233,15 @@ def trade_price_change(spark, d):
     return plain(rows.select("company_key", "ok", "ln", "p", "d", "change_amount", "change_percent"))
 
 
+@query("trade_price_change_balanced", ORACLE["trade_price_change"])
+def trade_price_change_balanced(spark, d):
+    """The same over slots of equal size, which also holds when trades bunch in time."""
+    order = ["d", "ok", "ln", "p", "q", "disc", "tax"]
+    cut = balanced_slots(samples.trades(spark, d), BY, order, work_dir(spark, "slots"), 16)
+    rows = price_change(cut, BY, order, "p", slot=F.col("slot"))
+    return plain(rows.select("company_key", "ok", "ln", "p", "d", "change_amount", "change_percent"))
+
+
 @query(
     "price_gaps",
     """select symbol, prev as gap_start, price_date as gap_end, cast(price_date - prev as int) as days_gap,

@@ -353,13 +353,13 @@ def unpivot_rates(spark, d):
 
 @query(
     "constituent_changes",
-    """with old as (select symbol from v_company where company_key % 9 <> 4), new as (select symbol from v_company where company_key % 11 <> 2)
+    """with old as (select symbol from v_company where market_cap > 20000000000), new as (select symbol from v_company where market_cap < 200000000000)
       select symbol, 'added' as change from new where symbol not in (select symbol from old)
       union all select symbol, 'removed' from old where symbol not in (select symbol from new)""",
 )
 def constituent_changes(spark, d):
     c = samples.companies(spark, d)
-    old, new = (landing.constituents(c.where(w)) for w in ("company_key % 9 <> 4", "company_key % 11 <> 2"))
+    old, new = (landing.constituents(c.where(w)) for w in ("market_cap > 20000000000", "market_cap < 200000000000"))
     return landing.constituent_changes(old, new)
 
 

@@ -25,7 +25,7 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
             raise ValueError(f"query {name} is registered twice")
         QUERIES[name] = fn
         if sql is not None:
-            ORACLE[name] = with_views(sql)
+            ORACLE[name] = sql if sql in ORACLE.values() else with_views(sql)
         return fn
 
     return add

@@ -86,17 +86,18 @@ def keep_latest(spark, d):
 # ---- upsert ------------------------------------------------------------------------------
 
 def _price_sides(spark, d):
-    p = samples.prices(spark, d).select("symbol", "price_date", "close_price", "volume", "company_key")
-    stored = p.where("(company_key + day(price_date)) % 3 <> 0").drop("company_key")
-    coming = p.where("(company_key + day(price_date)) % 2 = 0").withColumn(
-        "close_price", F.when(F.day("price_date") % 5 == 0, F.col("close_price") + 1).otherwise(F.col("close_price"))
+    """What is stored up to a day, and a load that starts earlier and corrects some closes."""
+    p = samples.prices(spark, d).select("symbol", "price_date", "close_price", "volume")
+    stored = p.where(F.col("price_date") <= "1999-12-31")
+    coming = p.where(F.col("price_date") >= "1999-07-01").withColumn(
+        "close_price", F.when(F.col("volume") > 40, F.col("close_price") + 1).otherwise(F.col("close_price"))
     )
-    return stored, coming.drop("company_key")
+    return stored, coming
 
 
-_SIDES = """stored as (select symbol, price_date, close_price, volume from v_prices where (company_key + day(price_date)) % 3 <> 0),
-coming as (select symbol, price_date, case when day(price_date) % 5 = 0 then close_price + 1 else close_price end as close_price, volume
-           from v_prices where (company_key + day(price_date)) % 2 = 0)"""
+_SIDES = """stored as (select symbol, price_date, close_price, volume from v_prices where price_date <= date '1999-12-31'),
+coming as (select symbol, price_date, case when volume > 40 then close_price + 1 else close_price end as close_price, volume
+           from v_prices where price_date >= date '1999-07-01')"""
 
 
 @query(
@@ -391,12 +392,13 @@ def index_members(spark, d):
 
 @query(
     "entity_and_dates",
-    """select symbol, price_date, volume from v_prices where symbol in ('S000001', 'S000003', 'S000007')
-      and price_date between date '1996-01-01' and date '1997-12-31'""",
+    """select symbol, sector, price_date, volume from v_prices join (select symbol, sector from v_company) using (symbol)
+      where sector in ('ASIA', 'EUROPE') and price_date between date '1996-01-01' and date '1997-12-31'""",
 )
 def entity_and_dates(spark, d):
-    rows = samples.prices(spark, d).select("symbol", "price_date", "volume")
-    rows = keyed.only_in(rows, ["S000001", "S000003", "S000007"], "symbol")
+    sectors = samples.companies(spark, d).select("symbol", "sector")
+    rows = samples.prices(spark, d).select("symbol", "price_date", "volume").join(sectors, "symbol")
+    rows = keyed.only_in(rows, ["ASIA", "EUROPE"], "sector")
     return keyed.between(rows, "price_date", *[F.lit(x).cast("date") for x in ("1996-01-01", "1997-12-31")])
 
 
@@ -942,10 +944,10 @@ def revenue_three_sigma(spark, d):
 
 @query(
     "orphan_symbols",
-    """select symbol, count(*) as row_count from v_prices where symbol not in (select symbol from v_company where company_key % 4 <> 1) group by symbol""",
+    """select symbol, count(*) as row_count from v_prices where symbol not in (select symbol from v_company where market_cap > 0) group by symbol""",
 )
 def orphan_symbols(spark, d):
-    known = dims.company_versions(samples.companies(spark, d).where("company_key % 4 <> 1"))
+    known = dims.company_versions(samples.companies(spark, d).where("market_cap > 0"))
     return quality.orphans(samples.prices(spark, d), known)
 
 

@@ -10,8 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tickerloom.operators import quality
-from tickerloom.operators.keyed import upsert
-from tickerloom.sources import samples
+from tickerloom.sources import samples, sinks
 from tickerloom.streaming import ticks
 
 from .registry import query
@@ -68,10 +67,10 @@ def stream_without_repeats(spark, d):
 @query(
     "stream_enriched",
     """select event_id, user_id, symbol, sector from events left join
-      (select company_key as user_id, symbol, sector from v_company where company_key % 3 <> 0) using (user_id)""",
+      (select company_key as user_id, symbol, sector from v_company where market_cap > 50000000000) using (user_id)""",
 )
 def stream_enriched(spark, d):
-    reference = samples.companies(spark, d).where("company_key % 3 <> 0").select(
+    reference = samples.companies(spark, d).where("market_cap > 50000000000").select(
         F.col("company_key").alias("user_id"), "symbol", "sector"
     )
     rows = ticks.enriched(_ticks(spark, d), reference, "user_id").select("event_id", "user_id", "symbol", "sector")
@@ -153,29 +152,18 @@ def stream_touched_entities(spark, d):
 
 @query(
     "stream_upsert",
-    """select user_id, event_type, arg_max(value, {'a': ts, 'b': event_id}) as value, max(ts) as ts from events group by 1, 2""",
+    """select user_id, event_type, cast(ts as date) as day, arg_max(value, {'a': ts, 'b': event_id}) as value, max(ts) as ts from events group by 1, 2, 3""",
 )
 def stream_upsert(spark, d):
-    """Latest tick per entity and kind; each batch upserts into a new version of the table."""
-    base, check = ticks.new_paths(spark, "upsert")
-    rows = _ticks(spark, d).select("user_id", "event_type", "value", "event_id", "ts")
-    keys = ["user_id", "event_type"]
-    versions: list[int] = []
-
-    def handle(df, batch_id):
-        if versions:
-            stored = spark.read.schema(rows.schema).parquet(f"{base}/version={versions[-1]}")
-        else:
-            stored = df.limit(0)
-        upsert(stored, df, keys, [F.desc("ts"), F.desc("event_id")]).write.mode("overwrite").parquet(
-            f"{base}/version={batch_id}"
-        )
-        versions.append(batch_id)
-
+    """Latest tick per entity, kind and day; a batch rewrites the days it touches."""
+    path, check = ticks.new_paths(spark, "upsert")
+    rows = _ticks(spark, d).select("user_id", "event_type", "value", "event_id", "ts", F.to_date("ts").alias("day"))
+    keys, order = ["user_id", "event_type", "day"], [F.desc("ts"), F.desc("event_id")]
+    sinks.create_table(spark, path, rows.schema, ["day"])
+    handle = ticks.upsert_batches(path, keys, ["day"], order, rows.schema)
     _finish(ticks.run_batches(rows, handle, check, mode="append"))
-    return spark.read.schema(rows.schema).parquet(f"{base}/version={versions[-1]}").select(
-        *keys, "value", F.col("ts").cast("timestamp_ntz").alias("ts")
-    )
+    stored = spark.read.schema(rows.schema).parquet(path)
+    return stored.select(*keys, "value", F.col("ts").cast("timestamp_ntz").alias("ts"))
 
 
 @query(

@@ -57,15 +57,20 @@ def trades(spark: SparkSession, folder: str) -> DataFrame:
 
 def prices(spark: SparkSession, folder: str) -> DataFrame:
     """Daily bars: first and last trade by order number, extremes, volume."""
-    order = F.struct("ok", "ln", "p")
+    # one exact number that sorts by order, line and price: a number keeps the hash
+    # aggregate, where a struct would sort every partition first
+    order = (
+        F.col("ok").cast("decimal(19,0)") * F.lit(10**6).cast("decimal(7,0)") + F.col("ln").cast("decimal(6,0)")
+    ) * F.lit(10**12).cast("decimal(13,0)") + (F.col("p") * 100).cast("decimal(12,0)")
+    order = order.cast("decimal(38,0)")
     return (
         trades(spark, folder)
         .groupBy("company_key", F.col("d").alias("price_date"))
         .agg(
-            F.min(order)["p"].alias("open_price"),
+            F.min_by("p", order).alias("open_price"),
             F.max("p").alias("high_price"),
             F.min("p").alias("low_price"),
-            F.max(order)["p"].alias("close_price"),
+            F.max_by("p", order).alias("close_price"),
             F.sum("q").alias("volume"),
         )
         .withColumn("symbol", symbol_of(F.col("company_key")))
@@ -226,17 +231,17 @@ def jobs(spark: SparkSession, folder: str) -> DataFrame:
 
 def job_errors(spark: SparkSession, folder: str) -> DataFrame:
     """An error for each run that did not succeed."""
-    e = F.col("event_id")
+    code = (F.col("symbols_processed") % 5).cast("string")
     return (
-        table(spark, folder, "events")
-        .where(e % 10 <= 1)
+        jobs(spark, folder)
+        .where(F.col("status") != "SUCCESS")
         .select(
-            e.alias("error_id"),
-            e.cast("string").alias("job_id"),
-            F.col("event_type").alias("job_name"),
-            F.col("ts").alias("error_timestamp"),
+            F.col("job_id").cast("bigint").alias("error_id"),
+            "job_id",
+            "job_name",
+            F.col("start_time").alias("error_timestamp"),
             F.lit("ETL_ERROR").alias("error_type"),
-            F.concat(F.lit("failed with code "), (F.col("user_id") % 5).cast("string")).alias("error_message"),
+            F.concat(F.lit("failed with code "), code).alias("error_message"),
         )
     )
 

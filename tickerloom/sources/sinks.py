@@ -8,6 +8,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..operators.keyed import latest, merged
 from ..session import work_dir
@@ -61,18 +62,30 @@ def upsert_table(
     partition_by: Sequence[str],
     order: Sequence,
     update: Sequence[str] | None = None,
+    schema: T.StructType | None = None,
 ) -> dict[str, int]:
     """Upsert into a partitioned table, reading and rewriting only the partitions touched.
 
     ``partition_by`` must follow from ``keys``, so a row never changes partition. The
-    merged rows go to the shared work folder first and replace the partitions from there:
-    no path is overwritten while it is read, and running the same upsert again after a
-    failure gives the same table.
+    source is written to the shared work folder once. The range of its partition values
+    prunes the table before it is listed, and a semi-join keeps the partitions that occur.
+    The merged rows are staged as well and replace the partitions from there: no path is
+    overwritten while it is read, and the same upsert run again after a failure gives the
+    same table. ``schema`` is needed while the table may still be empty.
     """
-    coming = latest(source, keys, order)
+    base = work_dir(spark, "upsert")
+    columns = schema or spark.read.parquet(path).schema
+    latest(source, keys, order).write.parquet(f"{base}/source")
+    coming = spark.read.schema(source.schema).parquet(f"{base}/source")
+    target = spark.read.schema(columns).parquet(path)
+
     touched = coming.select(*partition_by).distinct()
-    target = spark.read.parquet(path)
-    affected = target.join(touched, list(partition_by), "left_semi")
+    in_range = target
+    for c in partition_by:
+        low, high = coming.agg(F.min(c)).scalar(), coming.agg(F.max(c)).scalar()
+        in_range = in_range.where((F.col(c) >= low) & (F.col(c) <= high))
+    affected = in_range.join(touched, list(partition_by), "left_semi").select(*columns.names)
+
     rows = merged(affected, coming, keys, update)
     seen = Observation("upsert")
     a = F.col("_action")
@@ -82,12 +95,16 @@ def upsert_table(
         F.count_if(a == "U").alias("updated"),
         F.count_if(a == "N").alias("unchanged"),
     )
-    staged = work_dir(spark, "upsert")
-    rows.drop("_action").write.partitionBy(*partition_by).parquet(staged)
-    replace_partitions(spark.read.schema(target.schema).parquet(staged), path, partition_by)
+    rows.drop("_action").write.parquet(f"{base}/merged")
+    replace_partitions(spark.read.schema(columns).parquet(f"{base}/merged"), path, partition_by)
     return dict(seen.get)
 
 
+def create_table(spark: SparkSession, path: str, schema: T.StructType, partition_by: Sequence[str] = ()) -> None:
+    """An empty table, unless something is stored there."""
+    spark.createDataFrame([], schema).write.mode("ignore").partitionBy(*partition_by).parquet(path)
+
+
 def date_slices(start: date, end: date, days: int = 90) -> Iterator[tuple[date, date]]:
     """Inclusive slices that cover ``start`` to ``end`` without overlap."""
     while start <= end:

@@ -16,6 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ..operators.keyed import latest
 from ..operators.quality import Rule, split_valid, validate
 from ..session import work_dir
+from ..sources.sinks import upsert_table
 
 
 def file_ticks(
@@ -176,6 +177,28 @@ def validated_batches(
     return handle
 
 
+def upsert_batches(
+    path: str, keys: Sequence[str], partition_by: Sequence[str], order: Sequence, schema: T.StructType
+) -> Callable[[DataFrame, int], None]:
+    """Handler that upserts a batch into a partitioned table; a repeated batch changes nothing.
+
+    A stored row wins over a later batch only if it sorts first by ``order``.
+    """
+
+    def handle(df: DataFrame, batch_id: int) -> None:
+        spark = df.sparkSession
+        batch = df.persist()
+        try:
+            days = batch.select(*partition_by).distinct()
+            stored = spark.read.schema(schema).parquet(path).join(days, list(partition_by), "left_semi")
+            newest = latest(batch.unionByName(stored.select(*df.columns)), keys, order)
+            upsert_table(spark, path, newest, keys, partition_by, order, schema=schema)
+        finally:
+            batch.unpersist()
+
+    return handle
+
+
 def touched_keys(path: str, key: str) -> Callable[[DataFrame, int], None]:
     """Handler that records which entities a batch touched, for later recomputation."""
 
