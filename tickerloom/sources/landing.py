@@ -128,14 +128,27 @@ def parse_feed(
 
 
 def read_lines(spark: SparkSession, path: str, feed: str) -> tuple[DataFrame, DataFrame]:
-    """Bulk load of one record per line: bad lines are set apart and the load goes on."""
-    raw = (
-        spark.read.schema(_envelope(feed))
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", CORRUPT)
-        .json(path)
+    """Bulk load of one record per line, columns matched by name in any letter case.
+
+    Bad lines are set apart and the load goes on.
+    """
+    parsed = spark.read.text(path).select("value", F.from_json("value", "map<string,string>").alias("_m"))
+    entries = F.map_entries("_m")
+
+    def pick(field: T.StructField) -> Column:
+        same = F.filter(entries, lambda e: F.lower(e["key"]) == field.name.lower())
+        return F.try_element_at(same, F.lit(1))["value"].try_cast(field.dataType).alias(field.name)
+
+    error = F.try_element_at("_m", F.lit(ERROR_FIELD))
+    judged = parsed.withColumn(
+        "reject_reason",
+        F.when(F.col("_m").isNull(), "malformed payload").when(error.isNotNull(), "error payload"),
+    )
+    records = judged.where(F.col("reject_reason").isNull()).select(*[pick(f) for f in PAYLOADS[feed].fields])
+    bad = judged.where(F.col("reject_reason").isNotNull()).select(
+        F.lit(feed).alias("feed"), "reject_reason", F.col("value").alias("detail")
     )
-    return _split(raw, feed, symbol_required=False)
+    return records, bad
 
 
 def statement_periods(

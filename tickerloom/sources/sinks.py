@@ -28,16 +28,20 @@ def append(df: DataFrame, path: str, partition_by: Sequence[str] = (), json_colu
     return seen.get["rows"]
 
 
-def laid_out(df: DataFrame, cluster: Sequence[str], sort: Sequence[str], spread: int = 1) -> DataFrame:
+def laid_out(
+    df: DataFrame, cluster: Sequence[str], sort: Sequence[str], spread: int = 1, partitions: int | None = None
+) -> DataFrame:
     """Rows that share ``cluster`` in the same files, sorted for min/max pruning.
 
     ``spread`` divides each cluster key over that many tasks, by a hash of the sort
-    columns, for keys too large for one.
+    columns, for keys too large for one. Without ``partitions`` their number follows the
+    data's size at run time.
     """
     keys = [F.col(c) for c in cluster]
     if spread > 1:
         keys.append(F.pmod(F.xxhash64(*sort), F.lit(spread)))
-    return df.repartition(*keys).sortWithinPartitions(*cluster, *sort)
+    spread_out = df.repartition(partitions, *keys) if partitions else df.repartition(*keys)
+    return spread_out.sortWithinPartitions(*cluster, *sort)
 
 
 def replace_partitions(df: DataFrame, path: str, partition_by: Sequence[str]) -> None:
