@@ -321,6 +321,28 @@ def map_options(spark, d):
     )
 
 
+# payload field -> measure of the sample it carries
+_VENDOR = {"revenueTTM": "revenue", "totalAssetsTTM": "total_assets", "totalDebtTTM": "total_debt"}
+
+
+@query(
+    "vendor_metrics",
+    " union all ".join(
+        f"select symbol, fiscal_date, '{name}' as metric, cast(cast({c} as decimal(20,6)) as double) as value from v_fact where {c} is not null"
+        for name, c in _VENDOR.items()
+    ),
+)
+def vendor_metrics(spark, d):
+    """A wide metric payload per statement, read into rows; its text field is left out."""
+    record = F.struct(
+        "symbol",
+        *[F.col(c).cast("decimal(20,6)").alias(name) for name, c in _VENDOR.items()],
+        F.lit("USD").alias("reportedCurrency"),
+    )
+    payloads = samples.statements(spark, d).select("fiscal_date", F.to_json(F.array(record)).alias("payload"))
+    return landing.metrics_long(payloads, "payload")
+
+
 @query(
     "json_props",
     """select event_type, count(*) as events, cast(sum(cast(json_extract(props, '$.k') as bigint)) as bigint) as k_sum,

@@ -944,10 +944,10 @@ def revenue_three_sigma(spark, d):
 
 @query(
     "orphan_symbols",
-    """select symbol, count(*) as row_count from v_prices where symbol not in (select symbol from v_company where market_cap > 0) group by symbol""",
+    """select symbol, count(*) as row_count from v_prices where symbol not in (select symbol from v_company where market_cap < 150000000000) group by symbol""",
 )
 def orphan_symbols(spark, d):
-    known = dims.company_versions(samples.companies(spark, d).where("market_cap > 0"))
+    known = dims.company_versions(samples.companies(spark, d).where("market_cap < 150000000000"))
     return quality.orphans(samples.prices(spark, d), known)
 
 

@@ -127,6 +127,12 @@ def test_statement_periods(spark):
     assert {r.period for r in landing.statement_periods(df, "quarterly").collect()} == {"Q4"}
 
 
+def test_vendor_metrics_take_any_field(spark, tmp_path):
+    (tmp_path / "a.json").write_text(json.dumps([{"symbol": "A", "currentRatioTTM": 0.92, "note": "x", "newFieldTTM": 3, "noneTTM": None}]))
+    got = sorted(tuple(r) for r in landing.read_metrics(spark, str(tmp_path)).collect())
+    assert got == [("A", "currentRatioTTM", 0.92), ("A", "newFieldTTM", 3.0)]
+
+
 def test_rates_long(spark):
     df = spark.createDataFrame([("2024-01-02", 5.5, None)], "date string, month1 double, year10 double")
     assert [tuple(r) for r in landing.rates_long(df).collect()] == [("2024-01-02", "month1", 5.5)]

@@ -12,7 +12,7 @@ from ..functions.dates import is_quarter
 from ..functions.ratios import fundamental_ratios, statement_view_ratios
 from ..functions.valuation import METRICS, with_valuation
 from ..operators.asof import asof_join, carried_forward, intervals, one_timeline
-from ..operators.keyed import not_in
+from ..operators.keyed import latest, not_in
 from ..operators.series import price_change
 from ..operators.trailing import ttm_as_known
 from ..schemas import BALANCE_MEASURES, CASH_MEASURES, INCOME_MEASURES
@@ -30,15 +30,49 @@ TTM_COLUMNS = (
 )
 
 
+def with_predecessor(
+    prices: DataFrame, by: Sequence[str], day: str, start, recent_days: int = 31, year: str | None = None
+) -> DataFrame:
+    """The rows from ``start`` on, and for each of their entities the last row before it.
+
+    Predecessors are looked for in the ``recent_days`` before ``start`` first. Older rows are
+    read only for entities that have none there; when there are no such entities, the
+    adaptive planner drops that scan. ``year`` names the partition column, if the table has
+    one, so that both reads are pruned.
+    """
+    start = F.lit(start).cast("date")
+    recent_from = F.date_sub(start, recent_days)
+
+    def span(low: Column | None, high: Column | None) -> DataFrame:
+        df = prices
+        if low is not None:
+            df = df.where(F.col(day) >= low)
+            df = df.where(F.col(year) >= F.year(low)) if year else df
+        if high is not None:
+            df = df.where(F.col(day) < high)
+            df = df.where(F.col(year) <= F.year(high)) if year else df
+        return df
+
+    by = list(by)
+    loaded = span(start, None)
+    entities = loaded.select(*by).distinct()
+    near = latest(span(recent_from, start).join(entities, by, "left_semi"), by, [F.desc(day)])
+    lacking = entities.join(near, by, "left_anti")
+    far = latest(span(None, recent_from).join(lacking, by, "left_semi"), by, [F.desc(day)])
+    return loaded.unionByName(near).unionByName(far)
+
+
 def daily_prices_fact(
-    prices: DataFrame, companies: DataFrame, dates: DataFrame, start=None
+    prices: DataFrame, companies: DataFrame, dates: DataFrame, start=None, year: str | None = None
 ) -> DataFrame:
     """Price rows with keys and the change against the previous stored day.
 
-    The change is taken over the whole series and the load window cut afterwards. The
-    dimensions join without a hint: the planner broadcasts them while they are small and
-    sort-merges beyond that.
+    With ``start`` only the rows from then on are made, each entity's first one against its
+    predecessor. The dimensions join without a hint: the planner broadcasts them while
+    they are small and sort-merges beyond that.
     """
+    if start is not None:
+        prices = with_predecessor(prices, ["symbol"], "price_date", start, year=year)
     cols = ["symbol", "price_date", "open_price", "high_price", "low_price", "close_price", "adj_close", "volume"]
     changed = price_change(prices.select(*cols), ["symbol"], ["price_date"], "close_price")
     if start is not None:

@@ -77,18 +77,6 @@ PAYLOADS: dict[str, T.StructType] = {
     ),
     "indicator": _struct("name string, date string, value double"),
     "market_cap": _struct("symbol string, date string, marketCap long"),
-    "ratios_ttm": _struct(
-        "symbol string, grossProfitMarginTTM double, operatingProfitMarginTTM double,"
-        " netProfitMarginTTM double, currentRatioTTM double, quickRatioTTM double,"
-        " debtToEquityRatioTTM double, debtToAssetsRatioTTM double, assetTurnoverTTM double,"
-        " priceToEarningsRatioTTM double, priceToBookRatioTTM double, priceToSalesRatioTTM double,"
-        " dividendYieldTTM double, dividendPayoutRatioTTM double"
-    ),
-    "key_metrics_ttm": _struct(
-        "symbol string, marketCap double, enterpriseValueTTM double, evToSalesTTM double,"
-        " evToEBITDATTM double, returnOnEquityTTM double, returnOnAssetsTTM double,"
-        " currentRatioTTM double, earningsYieldTTM double, freeCashFlowYieldTTM double"
-    ),
     "option": _struct(
         "symbol string, expirationDate string, strike double, optionType string,"
         " contractSymbol string, lastPrice double, bid double, ask double, volume long,"

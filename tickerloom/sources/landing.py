@@ -151,6 +151,28 @@ def read_lines(spark: SparkSession, path: str, feed: str) -> tuple[DataFrame, Da
     return records, bad
 
 
+def metrics_long(df: DataFrame, payload: str) -> DataFrame:
+    """A vendor's wide metric payload as rows of symbol, metric and value.
+
+    Takes whatever numeric fields the payload has, so a new field needs no new schema; fields
+    that are not numbers are left out.
+    """
+    kept = [c for c in df.columns if c != payload]
+    maps = df.select(*kept, F.explode(F.from_json(payload, "array<map<string,string>>")).alias("_m"))
+    cells = maps.select(
+        *kept,
+        F.try_element_at("_m", F.lit("symbol")).alias("symbol"),
+        F.explode(F.map_filter("_m", lambda k, _: k != "symbol")).alias("metric", "_v"),
+    ).withColumn("value", F.col("_v").try_cast("double"))
+    return cells.where(F.col("symbol").isNotNull() & F.col("value").isNotNull()).drop("_v")
+
+
+def read_metrics(spark: SparkSession, path: str) -> DataFrame:
+    """Landed metric payloads, one small file per symbol, as rows."""
+    files = spark.read.option("wholetext", True).text(path)
+    return metrics_long(files.withColumnRenamed("value", "payload"), "payload")
+
+
 def statement_periods(
     records: DataFrame, request: str = "annual", limit: int | None = None
 ) -> DataFrame:
