@@ -207,19 +207,29 @@ def daily_price_change(spark, d):
     return plain(price_change(samples.prices(spark, d), ["symbol"], ["price_date"], "close_price")).drop("company_key")
 
 
-@query(
-    "fact_daily_prices",
-    f"""select symbol, cast(strftime(price_date, '%Y%m%d') as int) as date_key,
-      {dbl('open_price', 'high_price', 'low_price', 'close_price', 'change_amount')}, volume, change_percent
-      from ({_CHANGED}) join v_company using (symbol) where price_date >= date '1998-01-01'""",
-)
-def fact_daily_prices(spark, d):
+_PRICE_FACT = f"""select symbol, cast(strftime(price_date, '%Y%m%d') as int) as date_key,
+  {dbl('open_price', 'high_price', 'low_price', 'close_price', 'change_amount')}, volume, change_percent
+  from ({_CHANGED}) join (select symbol from v_company) using (symbol)"""
+
+
+def _price_fact(spark, d, start=None):
     companies = dims.company_versions(samples.companies(spark, d))
     prices = samples.prices(spark, d).withColumn("adj_close", F.col("close_price"))
-    fact = facts.daily_prices_fact(prices, companies, shipping_days(spark, d), start="1998-01-01")
+    fact = facts.daily_prices_fact(prices, companies, shipping_days(spark, d), start=start)
     return plain(fact.join(companies.select("company_key", "symbol"), "company_key").drop("company_key", "adj_close"))
 
 
+@query("fact_daily_prices", _PRICE_FACT)
+def fact_daily_prices(spark, d):
+    return _price_fact(spark, d)
+
+
+@query("fact_daily_prices_from", _PRICE_FACT + " where price_date >= date '2001-06-01'")
+def fact_daily_prices_from(spark, d):
+    """A load window: each company's first row is compared with its last row before it."""
+    return _price_fact(spark, d, start="2001-06-01")
+
+
 @query(
     "trade_price_change",
     """select company_key, ok, ln, cast(p as double) as p, d, cast(p - prev as double) as change_amount,
@@ -227,9 +237,9 @@ def fact_daily_prices(spark, d):
       from (select *, lag(p) over (partition by company_key order by d, ok, ln, p, q, disc, tax) as prev from v_line)""",
 )
 def trade_price_change(spark, d):
-    """Change from trade to trade: a company has no bound on trades, so its series is cut by month."""
+    """Change from trade to trade: a company has no bound on trades, so its series is cut by quarter."""
     order = ["d", "ok", "ln", "p", "q", "disc", "tax"]
-    rows = price_change(samples.trades(spark, d), BY, order, "p", slot=F.trunc("d", "month"))
+    rows = price_change(samples.trades(spark, d), BY, order, "p", slot=F.trunc("d", "quarter"))
     return plain(rows.select("company_key", "ok", "ln", "p", "d", "change_amount", "change_percent"))
 
 

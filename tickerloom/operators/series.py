@@ -32,19 +32,21 @@ def previous(
         w = Window.partitionBy(*by).orderBy(*order)
         return df.withColumns({out: F.lag(c).over(w) for out, c in columns.items()})
 
-    cut = df.withColumn("_slot", slot)
     kept = F.struct(*[F.col(c).alias(out) for out, c in columns.items()])
-    tails = cut.groupBy(*by, "_slot").agg(F.max_by(kept, F.struct(*order)).alias("_tail"))
-    carried = tails.select(
-        *by, "_slot", F.lag("_tail").over(Window.partitionBy(*by).orderBy("_slot")).alias("_carry")
+    rows = df.withColumns({"_slot": slot, "_kept": kept, "_carried": F.lit(False)})
+    tails = rows.groupBy(*by, "_slot").agg(F.max_by("_kept", F.struct(*order)).alias("_tail"))
+    before = F.lag("_tail").over(Window.partitionBy(*by).orderBy("_slot"))
+    # the last row before a slot joins the slot as an extra row in front of its own
+    carried = tails.select(*by, "_slot", before.alias("_kept"), F.lit(True).alias("_carried")).where(
+        F.col("_kept").isNotNull()
     )
-    inside = Window.partitionBy(*by, "_slot").orderBy(*order)
+    inside = Window.partitionBy(*by, "_slot").orderBy(F.desc("_carried"), *order)
     return (
-        cut.join(carried, [*by, "_slot"])
-        .withColumns({"_own": F.lag(kept).over(inside), "_place": F.row_number().over(inside)})
-        .withColumn("_prev", F.when(F.col("_place") == 1, F.col("_carry")).otherwise(F.col("_own")))
+        rows.unionByName(carried, allowMissingColumns=True)
+        .withColumn("_prev", F.lag("_kept").over(inside))
+        .where(~F.col("_carried"))
         .withColumns({out: F.col("_prev")[out] for out in columns})
-        .drop("_slot", "_carry", "_own", "_place", "_prev")
+        .drop("_slot", "_kept", "_carried", "_prev")
     )
 
 

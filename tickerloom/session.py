@@ -18,9 +18,6 @@ def build_session(app: str = "tickerloom", master: str | None = None, **conf: st
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.sources.partitionOverwriteMode": "dynamic",
-        # lets a session window merge on the map side, so one busy entity
-        # reaches the reducer as a few sessions and not as all of its ticks
-        "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
         "spark.ui.enabled": "false",
     }
     settings.update(conf)

@@ -92,9 +92,10 @@ def sliding_average(
 def tick_sessions(ticks: DataFrame, by: Sequence[str], gap: str, lateness: str = "1 day") -> DataFrame:
     """Runs of ticks without a pause of ``gap``, per entity.
 
-    Needs ``spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition``, which
-    ``build_session`` sets, to merge a busy entity's ticks before the shuffle.
+    A task merges its own ticks into sessions before the shuffle, so a busy entity arrives
+    as a few sessions; the setting for that is made on the session here.
     """
+    ticks.sparkSession.conf.set("spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition", "true")
     return (
         ticks.withWatermark("ts", lateness)
         .groupBy(F.session_window("ts", gap).alias("w"), *by)
