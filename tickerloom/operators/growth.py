@@ -42,12 +42,14 @@ def against_earlier(
     measures: Sequence[str],
     how: str = "inner",
     prefix: str = "prior_",
+    source: DataFrame | None = None,
 ) -> DataFrame:
     """Join each row to the row dated exactly ``months`` earlier, values as ``prior_*``.
 
-    ``by`` may hold more than the entity, such as the period label.
+    ``by`` may hold more than the entity, such as the period label. The earlier rows come
+    from ``source``, or from ``df`` itself.
     """
-    earlier = df.select(
+    earlier = (df if source is None else source).select(
         *by,
         F.col(period).alias("_meets"),
         F.col(period).alias(f"{prefix}{period}"),
@@ -81,8 +83,9 @@ def with_cagr(
     df: DataFrame, by: Sequence[str], period: str, measure: str, years: Sequence[int]
 ) -> DataFrame:
     """``{measure}_cagr_{n}y`` for each n; NULL where no row lies exactly n years back."""
+    base = df
     for n in years:
-        df = against_earlier(df, by, period, 12 * n, [measure], "left", f"_{n}y_")
+        df = against_earlier(df, by, period, 12 * n, [measure], "left", f"_{n}y_", base)
         df = df.withColumn(f"{measure}_cagr_{n}y", cagr(measure, f"_{n}y_{measure}", n)).drop(
             f"_{n}y_{measure}", f"_{n}y_{period}"
         )
