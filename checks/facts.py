@@ -276,7 +276,7 @@ def tick_gaps(spark, d):
 
 @query(
     "tick_sessions",
-    """select user_id, cast(no as bigint) as session_no, min(ts) as session_start, max(ts) as session_end, count(*) as ticks
+    """select user_id, min(ts) as session_start, max(ts) as session_end, count(*) as ticks
       from (select user_id, ts, sum(starts) over (partition by user_id order by ts, event_id rows unbounded preceding) as no
             from (select user_id, ts, event_id, case when prev is null or date_diff('microsecond', prev, ts) >= 21600000000 then 1 else 0 end as starts
                   from (select *, lag(ts) over (partition by user_id order by ts, event_id) as prev from events)))
@@ -888,6 +888,20 @@ def option_metrics(spark, d):
     return options.chain_metrics(samples.options(spark, d))
 
 
+@query(
+    "option_daily_merge",
+    """select symbol, date, cast(sum(cast(implied_volatility as decimal(28,6))) as double) / count(implied_volatility) as avg_implied_vol, cast(sum(volume) as bigint) as total_volume,
+      cast(sum(open_interest) as bigint) as total_open_interest from v_options group by symbol, date""",
+)
+def option_daily_merge(spark, d):
+    """Days up to one are stored, from incomplete quotes on the last of them; the load of that
+    day and later ones corrects and extends them."""
+    quotes = samples.options(spark, d)
+    stored = options.daily_chain(quotes.where("date < '2024-01-15' or (date = '2024-01-15' and option_type = 'CALL')"))
+    load = options.daily_chain(quotes.where("date >= '2024-01-15'"))
+    return keyed.upsert(stored, load, ["symbol", "date"])
+
+
 @query(
     "iv_percent_rank",
     """select *, percent_rank() over (partition by symbol order by avg_implied_vol) as iv_rank from (

@@ -230,6 +230,25 @@ def statement_rejects(spark, d):
     return rejects.select("symbol", "reject_reason")
 
 
+@query(
+    "statement_versions",
+    f"""select symbol, fiscal_date, period, accepted_date, cast(cast(revenue as decimal(20,2)) as double) as revenue from v_income where {_OK}
+      union all select symbol, fiscal_date, period, accepted_date + interval 200 day, cast(cast(revenue as decimal(20,2)) + 1000 as double)
+      from v_income where {_OK} and revenue > 1000000""",
+)
+def statement_versions(spark, d):
+    """Raw history of first releases and of restatements accepted 200 days later; both were
+    loaded twice."""
+    raw, staged, _ = mapping.map_feed(_income(spark, d), "income", loaded_at())
+    restated = staged.where("revenue > 1000000").withColumns(
+        {"accepted_date": F.col("accepted_date") + F.expr("interval 200 days"), "revenue": F.col("revenue") + 1000}
+    )
+    first = raw.unionByName(mapping.raw_rows(restated, "income"))
+    again = first.withColumn("loaded_timestamp", F.col("loaded_timestamp") + F.expr("interval 1 day"))
+    versions = mapping.statement_versions(first.unionByName(again), "income")
+    return plain(versions.select("symbol", "fiscal_date", "period", "accepted_date", "revenue"))
+
+
 @query(
     "map_balance",
     f"""select symbol, fiscal_date, period, cast(cast(total_assets as decimal(20,2)) as double) as total_assets,

@@ -97,18 +97,20 @@ def test_multiple_of_average(spark):
 
 
 @pytest.mark.parametrize("seed", range(3))
-def test_sessions_equal_brute_force(spark, seed):
+@pytest.mark.parametrize("gap", [60, 1800, 9000])
+def test_sessions_equal_brute_force(spark, seed, gap):
     rng = Random(seed)
     ticks = [(rng.randrange(3), datetime(2024, 1, 1) + timedelta(minutes=rng.randrange(6000)), i) for i in range(300)]
     df = spark.createDataFrame(ticks, "u int, ts timestamp_ntz, id int")
-    got = sorted((x.u, x.session_no, x.session_start, x.session_end, x.ticks) for x in series.sessions(df, ["u"], "ts", "id", 1800).collect())
+    slots = [None, F.trunc("ts", "month"), F.date_trunc("hour", "ts")]
+    got = [sorted((x.u, x.session_start, x.session_end, x.ticks) for x in series.sessions(df, ["u"], "ts", "id", gap, s).collect()) for s in slots]
     want = []
     for u in range(3):
         runs = []
         for t in sorted(t for k, t, _ in ticks if k == u):
-            if runs and (t - runs[-1][-1]).total_seconds() < 1800:
+            if runs and (t - runs[-1][-1]).total_seconds() < gap:
                 runs[-1].append(t)
             else:
                 runs.append([t])
-        want += [(u, i + 1, r[0], r[-1], len(r)) for i, r in enumerate(runs)]
-    assert got == sorted(want)
+        want += [(u, r[0], r[-1], len(r)) for r in runs]
+    assert got == [sorted(want)] * 3

@@ -185,6 +185,29 @@ def test_replace_partitions_and_backfill(spark, tmp_path):
     assert spark.read.parquet(path).count() == 10
 
 
+def test_archive(spark, tmp_path):
+    df = spark.createDataFrame([(1, date(2024, 1, 1)), (2, date(2024, 6, 1)), (3, None)], "k int, d date")
+    for _ in range(2):
+        counts = sinks.archive(df, "d", date(2024, 3, 1), str(tmp_path / "old"), str(tmp_path / "kept"))
+        assert counts == {"archived": 1, "kept": 2}
+    assert spark.read.parquet(str(tmp_path / "old")).count() == 1
+    assert spark.read.parquet(str(tmp_path / "kept")).count() == 2
+    assert sinks.sample_rows(df, 2).count() == 2
+
+
+def test_versions_keep_what_was_known_before_a_restatement(spark):
+    def load(accepted, revenue, at):
+        payload = {"symbol": "A", "date": "2024-03-31", "period": "Q1", "acceptedDate": accepted, "revenue": revenue}
+        df = spark.createDataFrame([(json.dumps(payload),)], "p string")
+        records, _ = landing.parse_feed(df, "p", "income")
+        return mapping.map_feed(records, "income", F.lit(at).cast("timestamp_ntz"))[0]
+
+    raw = load("2024-05-01 16:00:00", 10, datetime(2024, 5, 2)).unionByName(load("2024-05-01 16:00:00", 11, datetime(2024, 5, 3)))
+    raw = raw.unionByName(load("2024-09-01 16:00:00", 20, datetime(2024, 9, 2)))
+    got = sorted((r.accepted_date, r.revenue) for r in mapping.statement_versions(raw, "income").collect())
+    assert got == [(datetime(2024, 5, 1, 16), 11), (datetime(2024, 9, 1, 16), 20)]
+
+
 def test_layout_spreads_a_busy_key(spark, tmp_path):
     df = spark.range(4000).select(F.lit(1).alias("k"), "id")
     for spread, enough in ((1, lambda n: n == 1), (8, lambda n: n > 2)):

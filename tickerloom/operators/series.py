@@ -182,34 +182,43 @@ def sessions(
 ) -> DataFrame:
     """Runs of ticks with no pause of ``gap_seconds`` or more, one row per run.
 
-    A run's rows are found through the pause before each tick. Run starts are numbered
-    per slot, and a slot's first run number comes from the starts of earlier slots, so
-    neither step needs one entity in one group.
+    Ticks are first joined to runs within their time slot (a month, unless ``slot`` says
+    otherwise; a slot should hold many ticks of a common entity). Only a slot's first run can belong to an earlier session; a summary with one
+    row per entity and slot tells which, so no step needs one entity in one group.
     """
-    slot = F.to_date(at) if slot is None else slot
-    steps = previous(df, by, [at, tie], {"_before": at}, slot).withColumns(
-        {
-            "_slot": slot,
-            "_starts": F.when(
-                F.col("_before").isNull()
-                | (F.timestamp_diff("MICROSECOND", F.col("_before"), F.col(at)) >= gap_seconds * 1_000_000),
-                1,
-            ).otherwise(0),
-        }
+
+    def apart(before: Column, after: Column) -> Column:
+        return F.timestamp_diff("MICROSECOND", before, after) >= gap_seconds * 1_000_000
+
+    inside = Window.partitionBy(*by, "_slot").orderBy(at, tie)
+    ticks = df.select(*by, at, tie, (F.date_trunc("month", at) if slot is None else slot).alias("_slot"))
+    pause = apart(F.lag(at).over(inside), F.col(at))
+    run_no = F.count_if(F.col("_breaks")).over(inside.rowsBetween(Window.unboundedPreceding, 0))
+    runs = (
+        ticks.withColumn("_breaks", pause)
+        .withColumn("_run", run_no)
+        .groupBy(*by, "_slot", "_run")
+        .agg(F.min(at).alias("_start"), F.max(at).alias("_end"), F.count(F.lit(1)).alias("_ticks"))
+    )
+
+    chain = Window.partitionBy(*by).orderBy("_slot")
+    slots = runs.groupBy(*by, "_slot").agg(
+        F.min("_start").alias("_first"),
+        F.max("_start").alias("_last"),
+        F.max("_end").alias("_until"),
+        F.count(F.lit(1)).alias("_n"),
     )
-    per_slot = steps.groupBy(*by, "_slot").agg(F.sum("_starts").alias("_n"))
-    earlier = Window.partitionBy(*by).orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_slot.select(*by, "_slot", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_base"))
-    inside = (
-        Window.partitionBy(*by, "_slot").orderBy(at, tie).rowsBetween(Window.unboundedPreceding, 0)
+    slots = slots.withColumn("_goes_on", ~apart(F.lag("_until").over(chain), F.col("_first")))
+    # where the session of a slot's last run began; open where the slot is one run that goes on
+    anchor = F.when((F.col("_n") > 1) | ~F.coalesce("_goes_on", F.lit(False)), F.col("_last"))
+    slots = slots.withColumn("_anchor", F.last(anchor, ignorenulls=True).over(chain)).select(
+        *by,
+        "_slot",
+        F.when(F.col("_goes_on"), F.lag("_anchor").over(chain)).otherwise(F.col("_first")).alias("_began"),
     )
+    began = F.when(F.col("_run") == 0, F.col("_began")).otherwise(F.col("_start"))
     return (
-        steps.withColumn("_local", F.sum("_starts").over(inside))
-        .join(offsets, [*by, "_slot"])
-        .groupBy(*by, (F.col("_base") + F.col("_local")).alias("session_no"))
-        .agg(
-            F.min(at).alias("session_start"),
-            F.max(at).alias("session_end"),
-            F.count(F.lit(1)).alias("ticks"),
-        )
+        runs.join(slots, [*by, "_slot"])
+        .groupBy(*by, began.alias("session_start"))
+        .agg(F.max("_end").alias("session_end"), F.sum("_ticks").alias("ticks"))
     )

@@ -11,8 +11,10 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..functions.arith import blank
+from ..operators.keyed import latest
 from ..schemas import MONEY, PRICE, RATE, STAGING, STAGING_KEYS
 
 # Source tag of a raw row and the payload's date formats.
@@ -226,6 +228,22 @@ def raw_rows(staged: DataFrame, feed: str, source: str = API_SOURCE) -> DataFram
     )
 
 
+def statement_versions(raw: DataFrame, feed: str) -> DataFrame:
+    """Every version of every statement in the raw history, typed as in staging.
+
+    Staging keeps the last version of a period; the raw history also holds what was known
+    before a restatement. One row per business key and acceptance time, the last loaded.
+    The point-in-time joins take several versions of a period as they are.
+    """
+    keys = STAGING_KEYS[feed]
+    body = StructType([f for f in STAGING[feed].fields if f.name not in (*keys, "loaded_timestamp")])
+    options = {"dateFormat": "yyyy-MM-dd", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss"}
+    typed = raw.select(*keys, F.from_json("raw_data", body, options).alias("_r"), "loaded_timestamp").select(
+        *keys, "_r.*", "loaded_timestamp"
+    )
+    return latest(typed, [*keys, "accepted_date"], [F.desc("loaded_timestamp")])
+
+
 def as_variant(raw: DataFrame, column: str = "raw_data") -> DataFrame:
     """The JSON text column as a variant, for path access without a schema."""
     return raw.withColumn(column, F.parse_json(column))

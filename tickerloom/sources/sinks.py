@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.keyed import latest, merged
+from ..operators.keyed import latest, merged, split_by_age
 from ..session import work_dir
 
 
@@ -149,6 +149,25 @@ def write_snapshot(symbols: DataFrame, path: str, taken_at: str) -> None:
     stamped.join(size, "taken_at").orderBy("symbol").write.mode("overwrite").json(path)
 
 
+def sample_rows(df: DataFrame, n: int = 5) -> DataFrame:
+    """Any ``n`` rows, read from as few files as give them."""
+    return df.limit(n)
+
+
+def archive(df: DataFrame, column: str, before, archive_path: str, kept_path: str) -> dict[str, int]:
+    """Rows older than ``before`` to their own folder of the archive, all others to ``kept_path``.
+
+    Both are written whole before the caller points readers to ``kept_path``, so a failure
+    leaves the old table as it was, and running it again replaces what was written.
+    """
+    old, kept = split_by_age(df, column, before)
+    old, moved = counted(old, "archived")
+    old.write.mode("overwrite").parquet(f"{archive_path}/before={before}")
+    kept, stayed = counted(kept, "kept")
+    kept.write.mode("overwrite").parquet(kept_path)
+    return {"archived": moved.get["rows"], "kept": stayed.get["rows"]}
+
+
 def table_columns(spark: SparkSession, df: DataFrame) -> DataFrame:
     """Name, type and nullability of each column, as rows."""
     rows = [(i, f.name, f.dataType.simpleString(), f.nullable) for i, f in enumerate(df.schema.fields)]
