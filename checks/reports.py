@@ -431,15 +431,15 @@ _HEALTH_AT = "timestamp '2024-01-30 12:00:00'"
 
 
 @query(
-    "pipeline_health",
+    "run_health",
     f"""select cast(count(*) filter (status = 'SUCCESS') as double) * 100 / count(*) as success_rate_7d,
       count(*) filter (status = 'SUCCESS' and start_time >= {_HEALTH_AT} - interval 24 hour) as success_24h,
       count(*) filter (status = 'PARTIAL' and start_time >= {_HEALTH_AT} - interval 24 hour) as partial_24h,
       count(*) filter (status = 'FAILED' and start_time >= {_HEALTH_AT} - interval 24 hour) as failed_24h
       from v_jobs where start_time >= {_HEALTH_AT} - interval 7 day""",
 )
-def pipeline_health(spark, d):
-    return monitoring.pipeline_health(samples.jobs(spark, d), F.lit("2024-01-30 12:00:00").cast("timestamp_ntz"))
+def run_health(spark, d):
+    return monitoring.run_health(samples.jobs(spark, d), F.lit("2024-01-30 12:00:00").cast("timestamp_ntz"))
 
 
 def since():

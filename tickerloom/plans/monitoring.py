@@ -130,7 +130,7 @@ def job_daily(jobs: DataFrame, since: Column) -> DataFrame:
     )
 
 
-def pipeline_health(jobs: DataFrame, now: Column) -> DataFrame:
+def run_health(jobs: DataFrame, now: Column) -> DataFrame:
     """Success rate of the last seven days and run counts of the last day, in one pass."""
     day_old = F.col("start_time") >= now - F.expr("interval 24 hours")
     runs = F.count(F.lit(1))

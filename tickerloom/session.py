@@ -19,6 +19,8 @@ def build_session(app: str = "tickerloom", master: str | None = None, **conf: st
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.sources.partitionOverwriteMode": "dynamic",
         "spark.ui.enabled": "false",
+        # call sites are not recorded for every column expression built
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
     }
     settings.update(conf)
     builder = SparkSession.builder.appName(app)

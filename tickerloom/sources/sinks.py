@@ -28,6 +28,13 @@ def append(df: DataFrame, path: str, partition_by: Sequence[str] = (), json_colu
     return seen.get["rows"]
 
 
+def write_run(df: DataFrame, path: str, run: str) -> int:
+    """Append-only history by run: a run's rows in their own folder, which the same run replaces."""
+    df, seen = counted(df)
+    df.write.mode("overwrite").parquet(f"{path}/run={run}")
+    return seen.get["rows"]
+
+
 def laid_out(
     df: DataFrame, cluster: Sequence[str], sort: Sequence[str], spread: int = 1, partitions: int | None = None
 ) -> DataFrame:
