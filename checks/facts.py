@@ -308,33 +308,57 @@ def statement_fact(spark, d):
 
 @query(
     "missing_statements",
-    """select i.symbol, i.fiscal_date, i.period, case when b.symbol is null then 'Missing Balance Sheet' end as balance_sheet_status,
-      case when c.symbol is null then 'Missing Cash Flow' end as cash_flow_status,
-      case when b.symbol is null and c.symbol is null then 'Missing Both' when b.symbol is null then 'Missing Balance Sheet Only'
-        when c.symbol is null then 'Missing Cash Flow Only' else 'Complete' end as data_completeness
-      from v_income i left join v_balance b on i.symbol = b.symbol and i.fiscal_date = b.fiscal_date and i.period = b.period
-      left join v_cash c on i.symbol = c.symbol and i.fiscal_date = c.fiscal_date and i.period = c.period
-      where b.symbol is null or c.symbol is null""",
+    """with kinds as (select symbol, fiscal_date, period, 1 as b, 0 as c from v_balance
+        union all select symbol, fiscal_date, period, 0, 1 from v_cash
+        union all select symbol, fiscal_date, period, 0, 0 from v_income),
+      found as (select symbol, fiscal_date, period, max(b) as b, max(c) as c from kinds group by all)
+      select symbol, fiscal_date, period, if(b = 0, 'Missing Balance Sheet', null) as balance_sheet_status,
+        if(c = 0, 'Missing Cash Flow', null) as cash_flow_status,
+        ['Missing Both', 'Missing Cash Flow Only', 'Missing Balance Sheet Only'][1 + b + 2 * c] as data_completeness
+      from found semi join v_income using (symbol, fiscal_date, period) where b + c < 2""",
 )
 def missing_statements(spark, d):
     return views.missing_statements(samples.income(spark, d), samples.balance(spark, d), samples.cash(spark, d))
 
 
-_RANK = """row_number() over (partition by symbol order by fiscal_date desc,
-  case period when 'FY' then 1 when 'Q4' then 2 when 'Q3' then 3 when 'Q2' then 4 when 'Q1' then 5 end) as rn"""
-_LATEST = f"""
-select coalesce(i.symbol, b.symbol, c.symbol) as symbol, coalesce(i.fiscal_date, b.fiscal_date, c.fiscal_date) as fiscal_date,
-  coalesce(i.period, b.period, c.period) as period, i.shares_outstanding,
-  {dbl('revenue', 'gross_profit', 'operating_income', 'net_income', 'eps_diluted', prefix='i.')},
-  {dbl('total_assets', 'total_liabilities', 'total_equity', 'cash_and_equivalents', 'total_debt', prefix='b.')},
-  {dbl('operating_cash_flow', 'free_cash_flow', 'dividends_paid', prefix='c.')}
-from (select *, {_RANK} from v_income) i
-full outer join (select *, {_RANK} from v_balance) b
-  on i.symbol = b.symbol and i.fiscal_date = b.fiscal_date and i.period = b.period and b.rn = 1
-full outer join (select *, {_RANK} from v_cash) c
-  on coalesce(i.symbol, b.symbol) = c.symbol and coalesce(i.fiscal_date, b.fiscal_date) = c.fiscal_date
-  and coalesce(i.period, b.period) = c.period and c.rn = 1
-where i.rn = 1 or b.rn = 1 or c.rn = 1"""
+# three kinds of rows: an income row of any newest period; a balance row that no income row
+# takes up; a cash row that meets neither
+_KEY = "(symbol, fiscal_date, period)"
+_I = ("revenue", "gross_profit", "operating_income", "net_income", "eps_diluted")
+_B = ("total_assets", "total_liabilities", "total_equity", "cash_and_equivalents", "total_debt")
+_C = ("operating_cash_flow", "free_cash_flow", "dividends_paid")
+
+
+def _newest(view: str) -> str:
+    order = "{'d': fiscal_date, 'p': list_position(['Q1', 'Q2', 'Q3', 'Q4', 'FY'], period)}"
+    return f"select symbol, max(fiscal_date) as fiscal_date, arg_max(period, {order}) as period from {view} group by symbol"
+
+
+def _side(prefix: str, cols: tuple[str, ...], shares: bool = False) -> str:
+    extra = f"{prefix}.shares_outstanding, " if shares else ""
+    return extra + dbl(*cols, prefix=f"{prefix}.")
+
+
+def _no_side(cols: tuple[str, ...], shares: bool = False) -> str:
+    extra = "null as shares_outstanding, " if shares else ""
+    return extra + ", ".join(f"cast(null as double) as {c}" for c in cols)
+
+
+_LATEST = f"""with ni as ({_newest('v_income')}), nb as ({_newest('v_balance')}), nc as ({_newest('v_cash')}),
+tb as (select v_balance.* from v_balance semi join nb using (symbol, fiscal_date, period)),
+tc as (select v_cash.* from v_cash semi join nc using (symbol, fiscal_date, period)),
+wanted as (from ni union from nb union from nc)
+select i.symbol, i.fiscal_date, i.period, {_side('i', _I, True)}, {_side('tb', _B)}, {_side('tc', _C)}
+from v_income i semi join wanted using (symbol, fiscal_date, period)
+left join tb using (symbol, fiscal_date, period) left join tc using (symbol, fiscal_date, period)
+union all
+select b.symbol, b.fiscal_date, b.period, {_no_side(_I, True)}, {_side('b', _B)}, {_side('tc', _C)}
+from v_balance b left join tc using (symbol, fiscal_date, period)
+where case when {_KEY.replace('(', '(b.').replace(', ', ', b.')} in (select {_KEY} from nb)
+  then {_KEY.replace('(', '(b.').replace(', ', ', b.')} not in (select {_KEY} from v_income) else tc.symbol is not null end
+union all
+select tc.symbol, tc.fiscal_date, tc.period, {_no_side(_I, True)}, {_no_side(_B)}, {_side('tc', _C)}
+from tc anti join v_income using (symbol, fiscal_date, period) anti join v_balance using (symbol, fiscal_date, period)"""
 
 
 def _latest(spark, d):

@@ -272,10 +272,9 @@ def summary_stats(spark, d):
 
 @query(
     "symbol_coverage",
-    """select count(distinct symbol) as total_symbols, count(distinct case when has_prices then symbol end) as symbols_with_prices,
-      count(distinct case when has_financials then symbol end) as symbols_with_financials
-      from (select c.symbol, exists (select 1 from v_prices p where p.symbol = c.symbol and p.volume > 80) as has_prices,
-        exists (select 1 from v_balance f where f.symbol = c.symbol and f.total_assets > 2000000) as has_financials from v_company c)""",
+    """select (select count(distinct symbol) from v_company) as total_symbols,
+      (select count(*) from (select symbol from v_company intersect select symbol from v_prices where volume > 80)) as symbols_with_prices,
+      (select count(*) from (select symbol from v_company intersect select symbol from v_balance where total_assets > 2000000)) as symbols_with_financials""",
 )
 def symbol_coverage(spark, d):
     return views.symbol_coverage(
@@ -846,14 +845,14 @@ def dq_issues(spark, d):
     return views.dq_issues(income, balance, samples.prices(spark, d), today())
 
 
-_SCORE = """case when score >= 95 then 'EXCELLENT' when score >= 90 then 'GOOD' when score >= 80 then 'FAIR' else 'POOR' end as quality_rating"""
-
-
 @query(
     "dq_scorecard",
-    f"""select metric_type, category, round(score, 2) as score_percentage, {_SCORE} from (
-      select 'Completeness' as metric_type, 'Financial Data' as category, cast(count(case when company_key % 6 <> 1 then revenue end) as double) * 100 / count(*) as score from v_income
-      union all select 'Consistency', 'Financial Statements', cast((select count(*) from v_income join v_balance using (symbol, fiscal_date, period)) as double) * 100 / (select count(*) from v_income))""",
+    """with marks as (select avg(if(company_key % 6 <> 1 and revenue is not null, 100.0::double, 0)) as has_revenue,
+        avg(if((symbol, fiscal_date, period) in (select (symbol, fiscal_date, period) from v_balance), 100.0::double, 0)) as has_balance from v_income),
+      lines as (select 'Completeness' as metric_type, 'Financial Data' as category, has_revenue as score from marks
+        union all select 'Consistency', 'Financial Statements', has_balance from marks)
+      select metric_type, category, round(score, 2) as score_percentage,
+        ['POOR', 'FAIR', 'GOOD', 'EXCELLENT'][1 + (score >= 80)::int + (score >= 90)::int + (score >= 95)::int] as quality_rating from lines""",
 )
 def dq_scorecard(spark, d):
     income = samples.income(spark, d).withColumn("revenue", F.when(F.col("company_key") % 6 != 1, F.col("revenue")))
