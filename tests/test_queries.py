@@ -3,6 +3,7 @@
 import pytest
 
 import __spark_entry__ as entry
+from checks.registry import ORACLE, QUERIES
 from checks.run import compare, duck
 
 FOLDER = "/root/testdata/sf0.001"
@@ -16,12 +17,12 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(entry.oracle_sql()) == set(entry.queries())
+    assert set(ORACLE) == set(QUERIES)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_equals_sql(spark, con, name):
-    said = compare(spark, con, name, entry.queries()[name], entry.oracle_sql()[name], FOLDER)
+    said = compare(spark, con, name, QUERIES[name], ORACLE[name], FOLDER)
     assert said == "" or (said == "EMPTY" and name in MAY_BE_EMPTY)
 
 
