@@ -32,11 +32,11 @@ _LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvw
 
 OP6_SQL = rf"""
 with recursive w as (
-  select doc_id, list_filter(string_split_regex(coalesce({_LOWER}, ''), '[\x20\x09-\x0D]+'), x -> x <> '') as w
+  select doc_id, list_filter(string_split_regex(coalesce({_LOWER}, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') as w
   from documents),
 s as (
   select doc_id, case when len(w) = 0 then [] when len(w) < 5 then [hash(w)]
-    else list_distinct(list_transform(range(1, len(w) - 3), i -> hash(w[i:i+4]))) end as s
+    else list_distinct(list_transform(range(1, len(w) - 3), lambda i: hash(w[i:i+4]))) end as s
   from w),
 inc as (select doc_id, len(s) as n, unnest(s) as g from s),
 links as (
