@@ -30,7 +30,7 @@ from .common import mixed, parallelism, shingles, stored, text_pieces, word_hash
 from .components import components
 
 #: Shingles that a task gathers before it sends them, and documents from which it sends none.
-CHUNK, COMMON = 1_500_000, 8
+CHUNK, COMMON = 800_000, 8
 #: Members of a column that one task compares with each other.
 CELL = 512
 PARITIES = 16
@@ -71,14 +71,13 @@ def _batch(rows: list[dict]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([r.get(k) for r in rows], t) for k, t in kinds], schema=pa.schema(kinds))
 
 
-def _blocks(nodes: np.ndarray, sets: list[np.ndarray], blocks: int, wide: bool) -> tuple[list[dict], np.ndarray, np.ndarray]:
+def _blocks(nodes: np.ndarray, grams: np.ndarray, sizes: np.ndarray, blocks: int, wide: bool) -> tuple[list[dict], np.ndarray, np.ndarray]:
     """Rows of (block, its part of the incidence); and of every shingle, whether it is common here.
 
     A shingle of ``COMMON`` documents of the chunk is known to be shared: its documents are not
     sent, only the shingle, so that a shingle of very many documents loads no task.
     """
-    grams = np.concatenate(sets)
-    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    owner = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
     order = np.argsort(grams)
     ranked = grams[order]
     first = np.flatnonzero(np.concatenate([[True], ranked[1:] != ranked[:-1]]))
@@ -86,12 +85,12 @@ def _blocks(nodes: np.ndarray, sets: list[np.ndarray], blocks: int, wide: bool)
     often = np.empty(len(grams), bool)
     often[order] = np.repeat(n >= COMMON, n)
     common = ranked[first[n >= COMMON]]
-    place = (grams >> np.uint64(32)) % np.uint64(blocks)
+    place = ((grams >> np.uint64(32)) % np.uint64(blocks)).astype(np.uint32)
     home = (common >> np.uint64(32)) % np.uint64(blocks)
     cut = (lambda x: x) if wide else (lambda x: (x & _LOW).astype(np.uint32))
     rest = np.flatnonzero(~often)
-    rest = rest[np.argsort(place[rest].astype(np.uint32), kind="stable")]
-    edges = np.searchsorted(place[rest], np.arange(blocks + 1, dtype=np.uint64))
+    rest = rest[np.argsort(place[rest], kind="stable")]
+    edges = np.searchsorted(place[rest], np.arange(blocks + 1, dtype=np.uint32))
     rows = []
     for k in range(blocks):
         part = rest[edges[k] : edges[k + 1]]
@@ -121,7 +120,7 @@ def _incidence(width: int, blocks: int):
         rows, local = [], np.zeros(len(sets), np.int64)
         if known:
             kept = list(known.values())
-            rows, owner, often = _blocks(names[kept], [sets[k] for k in kept], blocks, False)
+            rows, owner, often = _blocks(names[kept], np.concatenate([sets[k] for k in kept]), sizes[kept], blocks, False)
             local[kept] = np.bincount(owner, often, minlength=len(kept)).astype(np.int64)
         rows.append({"block": int(names[0] % np.uint64(blocks)), "ids": ids, "nodes": _binary(names), "sizes": _binary(sizes), "counts": _binary(local)})
         for first in range(0, len(rows), 64):
@@ -191,17 +190,19 @@ def _chosen_sets(width: int, chosen: np.ndarray):
 def _columns(blocks: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [np.array(x, np.int64).view(np.uint64) for x in batch.column("grams").to_pylist()]
+            column = batch.column("grams")
+            grams, edges = column.values.to_numpy(zero_copy_only=False).view(np.uint64), column.offsets.to_numpy()
             nodes = batch.column("node").to_numpy().view(np.uint64)
             first = 0
-            while first < len(sets):
-                end, held = first, 0
-                while end < len(sets) and held < CHUNK:
-                    held += len(sets[end])
-                    end += 1
-                rows, owner, often = _blocks(nodes[first:end], sets[first:end], blocks, True)
-                for k in np.unique(owner[often]).tolist():
-                    rows.append({"block": int(nodes[first + k] % np.uint64(blocks)), "ids": [int(nodes[first + k : first + k + 1].view(np.int64)[0])], "grams": _binary(np.concatenate(sets[first:end])[often & (owner == k)])})
+            while first < len(nodes):
+                end = max(first + 1, int(np.searchsorted(edges, edges[first] + CHUNK, "right")) - 1)
+                part = grams[edges[first] : edges[end]]
+                rows, owner, often = _blocks(nodes[first:end], part, np.diff(edges[first : end + 1]), blocks, True)
+                part, owner = part[often], owner[often]
+                starts = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]])) if len(owner) else []
+                for a, b in zip(starts, [*starts[1:], len(owner)]):
+                    node = nodes[first + owner[a]]
+                    rows.append({"block": int(node % np.uint64(blocks)), "ids": [int(node.astype(np.int64))], "grams": _binary(part[a:b])})
                 for at in range(0, len(rows), 64):
                     yield _batch(rows[at : at + 64])
                 first = end
