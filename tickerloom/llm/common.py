@@ -8,14 +8,17 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tickerloom.session import work_dir
 
 #: Bytes of text that the array code handles at once, so that memory does not follow the text.
-BLOCK = 1 << 21
+BLOCK = 1 << 20
 
 _WHITE = np.zeros(256, bool)
 _WHITE[[0x20, *range(0x09, 0x0E)]] = True
+#: Bytes between words where punctuation doesn't count: ASCII other than letters and digits.
+MARKS = np.array([k < 128 and not chr(k).isalnum() for k in range(256)])
 _UPPER = np.arange(256)
 _UPPER[ord("A") : ord("Z") + 1] += 32
 _LETTER = np.random.default_rng(20).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -58,7 +61,7 @@ class _Powers:
         return self.up[:n], self.down[:n]
 
 
-_POWERS = _Powers()
+POWERS = _Powers()
 
 
 def text_pieces(batch: pa.Array, limit: int = BLOCK) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
@@ -81,10 +84,10 @@ def text_pieces(batch: pa.Array, limit: int = BLOCK) -> Iterator[tuple[int, int,
         first = end
 
 
-def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """First and end byte of every word, a run of bytes that are not white space."""
+def word_spans(data: np.ndarray, offsets: np.ndarray, between: np.ndarray = _WHITE) -> tuple[np.ndarray, np.ndarray]:
+    """First and end byte of every word, a run of bytes that are not ``between`` words."""
     inside = np.zeros(len(data) + 1, bool)
-    inside[:-1] = ~_WHITE[data]
+    inside[:-1] = ~between[data]
     cut = np.zeros(len(data) + 1, bool)
     cut[offsets] = True
     before = np.concatenate([[False], inside[:-1]])
@@ -93,20 +96,20 @@ def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     return starts, ends
 
 
-def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def word_hashes(data: np.ndarray, offsets: np.ndarray, between: np.ndarray = _WHITE) -> tuple[np.ndarray, np.ndarray]:
     """A 64-bit hash of every word, A-Z lower-cased, and for each text the place of its first word.
 
     The hash is a polynomial over random values of the bytes, taken from running sums, so no
     word is looked at by itself. Long runs are cut into blocks at ends of words.
     """
-    starts, ends = word_spans(data, offsets)
+    starts, ends = word_spans(data, offsets, between)
     places = np.searchsorted(starts, offsets).astype(np.int64)
     out = np.empty(len(starts), np.uint64)
     at = 0
     while at < len(starts):
         to = max(at + 1, int(np.searchsorted(ends, starts[at] + BLOCK, "right")))
         low, high = int(starts[at]), int(ends[to - 1])
-        up, down = _POWERS.to(max(high - low, min(BLOCK, len(data))))
+        up, down = POWERS.to(max(high - low, min(BLOCK, len(data))))
         sums = np.zeros(high - low + 1, np.uint64)
         np.cumsum(_BYTE[data[low:high]] * up[: high - low], out=sums[1:])
         s, e = starts[at:to] - low, ends[at:to] - low
@@ -143,3 +146,37 @@ def shingles(hashes: np.ndarray, places: np.ndarray, width: int) -> list[np.ndar
         else:
             out.append(np.zeros(0, np.uint64))
     return out
+
+
+#: Bits of a bitmap of ids: 2 MB, whatever the number of ids.
+BITS = 1 << 24
+
+
+def _bits(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    bit = mixed(ids.astype(np.int64).view(np.uint64)) % np.uint64(BITS)
+    return bit >> np.uint64(6), bit & np.uint64(63)
+
+
+def bitmap(ids: DataFrame) -> np.ndarray:
+    """A bitmap of fixed size in which the bits of all ids (one long column) are set.
+
+    It lets rows go early that are not among the ids; a join must follow, as others may pass.
+    """
+
+    def bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = np.zeros(BITS // 64, np.uint64)
+        for batch in batches:
+            word, bit = _bits(batch.column(0).to_numpy())
+            np.bitwise_or.at(words, word, _ONE << bit)
+        some = np.flatnonzero(words)
+        yield pa.RecordBatch.from_pydict({"word": some, "bits": words[some].view(np.int64)})
+
+    out = np.zeros(BITS // 64, np.int64)
+    found = ids.mapInArrow(bits, "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()
+    out[found.column("word").to_numpy()] = found.column("bits").to_numpy()
+    return out.view(np.uint64)
+
+
+def in_bitmap(ids: np.ndarray, words: np.ndarray) -> np.ndarray:
+    word, bit = _bits(ids)
+    return (words[word] >> bit) & _ONE == 1

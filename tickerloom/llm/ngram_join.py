@@ -26,7 +26,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import mixed, parallelism, shingles, stored, text_pieces, word_hashes
+from .common import bitmap, in_bitmap, mixed, parallelism, shingles, stored, text_pieces, word_hashes
 from .components import components
 
 #: Shingles that a task gathers before it sends them, and documents from which it sends none.
@@ -35,7 +35,6 @@ CHUNK, COMMON = 800_000, 8
 CELL = 512
 PARITIES = 16
 _LOW = np.uint64(0xFFFFFFFF)
-_FEW = 1 << 23
 
 
 def _node(run: np.ndarray) -> int:
@@ -53,8 +52,7 @@ def _sets(batches: Iterator[pa.RecordBatch], width: int, chosen: np.ndarray | No
     """(ids, sets) of runs of rows; with ``chosen``, only of ids whose bit is set."""
     for batch in batches:
         if chosen is not None and batch.num_rows:
-            bit = mixed(batch.column("id").to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)) % np.uint64(_FEW)
-            batch = batch.filter(pa.array((chosen[bit >> np.uint64(6)] >> (bit & np.uint64(63))) & np.uint64(1) == 1))
+            batch = batch.filter(pa.array(in_bitmap(batch.column("id").to_numpy(), chosen)))
         for first, end, data, offsets in text_pieces(batch.column("text")):
             yield batch.column("id").slice(first, end - first).to_pylist(), shingles(*word_hashes(data, offsets), width)
 
@@ -229,23 +227,6 @@ def _frequencies(table: pa.Table) -> pa.Table:
     })
 
 
-def _bitmap(ids: DataFrame) -> np.ndarray:
-    """A bitmap of fixed size (1 MB) in which the ids' bits are set; others may be set too."""
-
-    def bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = np.zeros(_FEW // 64, np.uint64)
-        for batch in batches:
-            bit = mixed(batch.column(0).to_numpy().view(np.uint64)) % np.uint64(_FEW)
-            np.bitwise_or.at(words, bit >> np.uint64(6), np.uint64(1) << (bit & np.uint64(63)))
-        some = np.flatnonzero(words)
-        yield pa.RecordBatch.from_pydict({"word": some, "bits": words[some].view(np.int64)})
-
-    out = np.zeros(_FEW // 64, np.uint64)
-    for word, found in ids.mapInArrow(bits, "word long, bits long").groupBy("word").agg(F.bit_or("bits")).collect():
-        out[word] = np.array([found], np.int64).view(np.uint64)[0]
-    return out
-
-
 def jaccard_groups(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
     """One row per document: id, ``n_shingles`` and ``component_id``.
 
@@ -267,7 +248,7 @@ def jaccard_groups(documents: DataFrame, id_col: str = "doc_id", text_col: str =
     nodes = counted.groupBy("node").agg(F.max("size").alias("size"), F.sum("shared").alias("shared"), F.min("id").alias("id"))
     open_ = stored(nodes.where(f"size > 0 and id is not null and 100 * shared >= {percent} * size"), "open")
 
-    sets = docs.where("id is not null").mapInArrow(_chosen_sets(width, _bitmap(open_.select("id"))), "node long, grams array<long>, parity array<long>")
+    sets = docs.where("id is not null").mapInArrow(_chosen_sets(width, bitmap(open_.select("id"))), "node long, grams array<long>, parity array<long>")
     sets = stored(sets.join(open_.select("node"), "node", "left_semi").groupBy("node").agg(F.any_value("grams").alias("grams"), F.any_value("parity").alias("parity")), "sets")
 
     blocked = sets.select("node", "grams").mapInArrow(_columns(blocks), _SENT)

@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import ngram_join
+from . import decontaminate, ngram_join, span_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -55,3 +56,20 @@ from s join reach r on r.a = s.doc_id group by s.doc_id, len(s.s)
 @query("op6_ngram_jaccard_join", OP6_SQL)
 def op6(spark: SparkSession, folder: str) -> DataFrame:
     return ngram_join.jaccard_groups(_table(spark, folder, "documents"))
+
+
+@query("op1_benchmark_decontamination")
+def op1(spark: SparkSession, folder: str) -> DataFrame:
+    """Every leaked item of every contaminated document."""
+    return decontaminate.contaminated(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+
+
+@query("op9_sentence_span_dedup")
+def op9(spark: SparkSession, folder: str) -> DataFrame:
+    """Each document that loses sentences: where its runs stood first, and its runs."""
+    runs = span_dedup.repeated_spans(_table(spark, folder, "documents")).groupBy("doc_id")
+    return runs.agg(
+        F.sort_array(F.collect_set("first_id")).alias("first_doc_ids"),
+        F.count(F.lit(1)).alias("n_runs"),
+        F.sort_array(F.collect_list(F.struct("sentence", "low", "high", "words"))).alias("runs"),
+    )
