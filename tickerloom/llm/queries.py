@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, ngram_join, span_dedup
+from . import decontaminate, line_dedup, ngram_join, span_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -73,3 +73,10 @@ def op9(spark: SparkSession, folder: str) -> DataFrame:
         F.count(F.lit(1)).alias("n_runs"),
         F.sort_array(F.collect_list(F.struct("sentence", "low", "high", "words"))).alias("runs"),
     )
+
+
+@query("op2_fuzzy_line_dedup")
+def op2(spark: SparkSession, folder: str) -> DataFrame:
+    """Every line that repeats an earlier one, with that one."""
+    found = line_dedup.repeated_lines(_table(spark, folder, "documents"))
+    return found.select("doc_id", "line_no", F.col("first_id").alias("first_doc_id"), "first_line_no")
