@@ -31,6 +31,8 @@ from .components import components
 
 #: Shingles that a task gathers before it sends them, and documents from which it sends none.
 CHUNK, COMMON = 800_000, 8
+#: Shingles of open documents for which a block of columns is worth its while.
+CELLS = 50_000
 #: Members of a column that one task compares with each other.
 CELL = 512
 PARITIES = 16
@@ -251,6 +253,7 @@ def jaccard_groups(documents: DataFrame, id_col: str = "doc_id", text_col: str =
     sets = docs.where("id is not null").mapInArrow(_chosen_sets(width, bitmap(open_.select("id"))), "node long, grams array<long>, parity array<long>")
     sets = stored(sets.join(open_.select("node"), "node", "left_semi").groupBy("node").agg(F.any_value("grams").alias("grams"), F.any_value("parity").alias("parity")), "sets")
 
+    blocks = max(1, min(blocks, (open_.agg(F.sum("size")).first()[0] or 0) // CELLS))
     blocked = sets.select("node", "grams").mapInArrow(_columns(blocks), _SENT)
     parts = blocked.groupBy("block").applyInArrow(_frequencies, "node long, grams array<long>, degrees array<long>")
     order = F.sort_array(F.flatten(F.collect_list(F.arrays_zip(F.col("degrees").alias("n"), F.col("grams").alias("gram")))))
