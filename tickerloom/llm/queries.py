@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, line_dedup, ngram_join, span_dedup
+from . import decontaminate, line_dedup, ngram_join, quality_crf, span_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -80,3 +80,16 @@ def op2(spark: SparkSession, folder: str) -> DataFrame:
     """Every line that repeats an earlier one, with that one."""
     found = line_dedup.repeated_lines(_table(spark, folder, "documents"))
     return found.select("doc_id", "line_no", F.col("first_id").alias("first_doc_id"), "first_line_no")
+
+
+def quality_chain(spark: SparkSession, folder: str):
+    """The chain that learns from the labels that aren't held out."""
+    labels = _table(spark, folder, "labels").where("crc32(cast(doc_id as string)) % 5 != 0")
+    return quality_crf.train(_table(spark, folder, "documents"), labels)
+
+
+@query("op7_quality_crf")
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    out = quality_crf.scored(_table(spark, folder, "documents"), quality_chain(spark, folder))
+    held = F.coalesce(F.expr("crc32(cast(doc_id as string)) % 5 = 0"), F.lit(False))
+    return out.select("doc_id", held.alias("held_out"), "score", "predicted")
