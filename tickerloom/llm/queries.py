@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, line_dedup, ngram_join, quality_crf, span_dedup
+from . import decontaminate, line_dedup, ngram_join, pfair, quality_crf, span_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -93,3 +93,10 @@ def op7(spark: SparkSession, folder: str) -> DataFrame:
     out = quality_crf.scored(_table(spark, folder, "documents"), quality_chain(spark, folder))
     held = F.coalesce(F.expr("crc32(cast(doc_id as string)) % 5 = 0"), F.lit(False))
     return out.select("doc_id", held.alias("held_out"), "score", "predicted")
+
+
+@query("op8_pfair_mixing")
+def op8(spark: SparkSession, folder: str) -> DataFrame:
+    """Block and slot of every document, with sources weighted by their characters to 0.7."""
+    out = pfair.mixed_order(_table(spark, folder, "documents"))
+    return out.select("doc_id", "source", "block", "slot", "place", "release", "deadline", "in_mix")
