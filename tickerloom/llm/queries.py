@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, line_dedup, ngram_join, pfair, quality_crf, span_dedup
+from . import decontaminate, line_dedup, ngram_join, pfair, quality_crf, span_dedup, vector_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -100,3 +100,8 @@ def op8(spark: SparkSession, folder: str) -> DataFrame:
     """Block and slot of every document, with sources weighted by their characters to 0.7."""
     out = pfair.mixed_order(_table(spark, folder, "documents"))
     return out.select("doc_id", "source", "block", "slot", "place", "release", "deadline", "in_mix")
+
+
+@query("op10_embedding_near_dedup")
+def op10(spark: SparkSession, folder: str) -> DataFrame:
+    return vector_dedup.near_vectors(_table(spark, folder, "embeddings"))
