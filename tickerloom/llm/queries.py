@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, line_dedup, ngram_join, pfair, quality_crf, span_dedup, vector_dedup
+from . import decontaminate, language_id, line_dedup, ngram_join, pfair, quality_crf, span_dedup, token_count, vector_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -105,3 +105,21 @@ def op8(spark: SparkSession, folder: str) -> DataFrame:
 @query("op10_embedding_near_dedup")
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     return vector_dedup.near_vectors(_table(spark, folder, "embeddings"))
+
+
+@query("op4_language_id")
+def op4(spark: SparkSession, folder: str) -> DataFrame:
+    documents = _table(spark, folder, "documents")
+    held = F.coalesce(F.expr("crc32(cast(doc_id as string)) % 4 = 2"), F.lit(False))
+    model = language_id.train(documents.where(~held))
+    out = language_id.predicted(documents, model)
+    return out.select("doc_id", held.alias("held_out"), "lang_pred", "score", "runner_up", "ambiguous")
+
+
+#: A public unigram vocabulary; its place is a parameter of ``token_count.read_vocabulary``.
+VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
+
+
+@query("op5_unigram_token_counts")
+def op5(spark: SparkSession, folder: str) -> DataFrame:
+    return token_count.token_counts(_table(spark, folder, "documents"), *token_count.read_vocabulary(VOCABULARY))
