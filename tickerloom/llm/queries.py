@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, language_id, line_dedup, ngram_join, pfair, quality_crf, span_dedup, token_count, vector_dedup
+from . import decontaminate, language_id, line_dedup, ngram_join, pfair, quality_crf, span_dedup, token_count, url_filter, vector_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -123,3 +123,40 @@ VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 @query("op5_unigram_token_counts")
 def op5(spark: SparkSession, folder: str) -> DataFrame:
     return token_count.token_counts(_table(spark, folder, "documents"), *token_count.read_vocabulary(VOCABULARY))
+
+
+#: The rules that every judgement follows, and first labels of domains to block.
+RULES = (
+    ("org/", "allow"),
+    ("example.org/es/", "block"),
+    ("example.org/en/1", "block"),
+    ("com/fr/", "allow"),
+    ("com/de/", "block"),
+)
+BLOCKED_LABELS = ["ads-track", "adult-x", "casino-win", "cheap-pills", "free-bets", "spam-farm"]
+
+OP3_SQL = f"""
+with rules(rule, verdict) as (values {", ".join(f"('{r}', '{v}')" for r, v in RULES)}),
+u as (
+  select page_id, coalesce(translate(regexp_extract(url, '^(?s:.*?)://([^/?#]*)', 1),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') as host,
+    coalesce(regexp_extract(url, '^(?s:.*?)://[^/?#]*([^?#]*)', 1), '') as path
+  from pages),
+listed as (
+  select *, (select max_by(substr(host, k), length(host) - k) from (
+      select unnest(range(1, length(host) + 1)) as k)
+    where (k = 1 or substr(host, k - 1, 1) = '.')
+      and split_part(substr(host, k), '.', 1) in ({", ".join(f"'{x}'" for x in BLOCKED_LABELS)})) as listed
+  from u)
+select page_id, host, path, r.rule, coalesce(r.verdict, case when listed is null then 'allow' else 'block' end) as verdict, listed
+from listed left join rules r
+  on ('.' || host) like ('%.' || split_part(r.rule, '/', 1)) and starts_with(path, substr(r.rule, instr(r.rule, '/')))
+qualify row_number() over (partition by page_id order by length(r.rule) desc nulls last) = 1
+"""
+
+
+@query("op3_url_filter", OP3_SQL)
+def op3(spark: SparkSession, folder: str) -> DataFrame:
+    pages = _table(spark, folder, "pages")
+    rules = spark.createDataFrame([(r, v, True) for r, v in RULES], "entry string, verdict string, rule boolean")
+    return url_filter.UrlFilter(rules.union(url_filter.labelled_domains(pages, BLOCKED_LABELS))).judge(pages)
