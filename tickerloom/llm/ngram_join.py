@@ -307,3 +307,17 @@ def jaccard_groups(documents: DataFrame, id_col: str = "doc_id", text_col: str =
     named = named.join(whole, "label").select("node", "component_id")
     out = rows.join(named, "node", "left")
     return out.select(F.col("id").alias(id_col), F.col("size").alias("n_shingles"), F.coalesce("component_id", "id").alias("component_id"))
+
+
+def without_copies(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
+    """One document of each group of ``jaccard_groups``: the one with the smallest id.
+
+    Rows that repeat an id and its text are one document. Rows with a null id are kept.
+    """
+    groups = stored(jaccard_groups(documents, id_col, text_col, **how), "groups")
+    kept = groups.where(F.col(id_col) == F.col("component_id")).select(F.col(id_col).alias("__id"))
+    repeated = kept.groupBy("__id").count().where("count > 1").limit(1).count()
+    out = documents.join(kept.distinct(), documents[id_col] == F.col("__id"), "left_semi")
+    if repeated:
+        out = out.withColumn("__hash", F.xxhash64(text_col)).dropDuplicates([id_col, "__hash"]).drop("__hash")
+    return out.union(documents.where(F.col(id_col).isNull()))
