@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
+from operator import or_
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tickerloom.session import work_dir
@@ -39,6 +41,23 @@ def parallelism(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def few_of_each(df: DataFrame, group: str, key: str, n: int) -> DataFrame:
+    """The ``n`` rows of each group with the smallest ``key``, a column of 64-bit hashes.
+
+    Rows above a bound that the groups' sizes give go first, so that what is ranked does not
+    grow with the table. A group whose rows share few hashes may get fewer rows.
+    """
+    bounds = []
+    for row in df.groupBy(group).agg(F.count(F.lit(1)).alias("n")).collect():
+        part = min(1.0, 4 * n / row["n"])
+        bounds.append((F.col(group) == F.lit(row[group])) & (F.shiftrightunsigned(key, 1) <= min(int(part * (1 << 62)) * 2, (1 << 63) - 1)))
+    if not bounds:
+        return df
+    some = df.where(reduce(or_, bounds)).dropDuplicates([group, key])
+    rank = F.row_number().over(Window.partitionBy(group).orderBy(F.shiftrightunsigned(key, 1), key))
+    return some.withColumn("__rank", rank).where(F.col("__rank") <= n).drop("__rank")
+
+
 def mixed(x: np.ndarray) -> np.ndarray:
     """A one-to-one scrambling of 64-bit values (the finaliser of splitmix64)."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)

@@ -19,9 +19,11 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import few_of_each
+
 #: Hashed n-grams, characters that are handled at once, and most classifiers of a code.
 SLOTS, PIECE, WIDEST = 1 << 14, 400_000, 63
 
@@ -136,12 +138,12 @@ def fit(names: list[str], counts: np.ndarray, language: np.ndarray, rounds: int
 def train(documents: DataFrame, text_col: str = "text", lang_col: str = "lang", sample: int = 400) -> Model | None:
     """The model of the languages in ``documents``, or None if there are none.
 
-    Of each language the ``sample`` texts with the smallest hashes are taken.
+    Of each language the ``sample`` different texts with the smallest hashes are taken.
     Rows with a null text or language, and texts without a letter, teach nothing.
     """
     rows = documents.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("at"))
     rows = rows.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
-    ranked = rows.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy("at"))).where(F.col("rank") <= sample)
+    ranked = few_of_each(rows, "lang", "at", sample)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import mixed, text_pieces, word_hashes, word_spans
+from .common import few_of_each, mixed, text_pieces, word_hashes, word_spans
 
 _FEED = np.arange(256) == 10
 _KINDS = np.array([
@@ -158,14 +158,10 @@ def train(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_
     known = labels.select(F.col(id_col).cast("long").alias("id"), F.col(label_col).cast("int").alias("label"))
     known = known.where("id is not null and label in (0, 1)").groupBy("id").agg(F.max("label").alias("label"))
     counts = dict(known.groupBy("label").count().collect())
-    spark = documents.sparkSession
-    parts = [known.where(F.col("label") == label).orderBy(F.xxhash64("id"), "id").limit(sample // 2) for label in counts]
-    if not parts:
+    if not counts:
         return None
-    chosen = parts[0]
-    for more in parts[1:]:
-        chosen = chosen.union(more)
-    chosen = spark.createDataFrame(chosen.toArrow()) if counts else chosen
+    chosen = few_of_each(known.withColumn("at", F.xxhash64("id")), "label", "at", sample // 2).drop("at")
+    chosen = documents.sparkSession.createDataFrame(chosen.toArrow())  # at most ``sample`` rows
     docs = documents.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
