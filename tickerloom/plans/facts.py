@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -31,14 +31,15 @@ TTM_COLUMNS = (
 
 
 def with_predecessor(
-    prices: DataFrame, by: Sequence[str], day: str, start, recent_days: int = 31, year: str | None = None
+    prices: DataFrame, by: Sequence[str], day: str, start, recent_days: int = 31,
+    part: tuple[str, Callable[[Column], Column]] | None = None,
 ) -> DataFrame:
     """The rows from ``start`` on, and for each of their entities the last row before it.
 
     Predecessors are looked for in the ``recent_days`` before ``start`` first. Older rows are
     read only for entities that have none there; when there are no such entities, the
-    adaptive planner drops that scan. ``year`` names the partition column, if the table has
-    one, so that both reads are pruned.
+    adaptive planner drops that scan. ``part`` has the partition column, if the table has
+    one, and how it follows from a date, so that both reads are pruned.
     """
     start = F.lit(start).cast("date")
     recent_from = F.date_sub(start, recent_days)
@@ -47,10 +48,10 @@ def with_predecessor(
         df = prices
         if low is not None:
             df = df.where(F.col(day) >= low)
-            df = df.where(F.col(year) >= F.year(low)) if year else df
+            df = df.where(F.col(part[0]) >= part[1](low)) if part else df
         if high is not None:
             df = df.where(F.col(day) < high)
-            df = df.where(F.col(year) <= F.year(high)) if year else df
+            df = df.where(F.col(part[0]) <= part[1](high)) if part else df
         return df
 
     by = list(by)
@@ -63,7 +64,8 @@ def with_predecessor(
 
 
 def daily_prices_fact(
-    prices: DataFrame, companies: DataFrame, dates: DataFrame, start=None, year: str | None = None
+    prices: DataFrame, companies: DataFrame, dates: DataFrame, start=None,
+    part: tuple[str, Callable[[Column], Column]] | None = None,
 ) -> DataFrame:
     """Price rows with keys and the change against the previous stored day.
 
@@ -72,7 +74,7 @@ def daily_prices_fact(
     they are small and sort-merges beyond that.
     """
     if start is not None:
-        prices = with_predecessor(prices, ["symbol"], "price_date", start, year=year)
+        prices = with_predecessor(prices, ["symbol"], "price_date", start, part=part)
     cols = ["symbol", "price_date", "open_price", "high_price", "low_price", "close_price", "adj_close", "volume"]
     changed = price_change(prices.select(*cols), ["symbol"], ["price_date"], "close_price")
     if start is not None:

@@ -34,12 +34,16 @@ def build_session(app: str = "tickerloom", master: str | None = None, **conf: st
 def work_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh folder under ``spark.checkpoint.dir``, which every executor can reach.
 
-    Only a local master may run without that setting; it gets a temporary folder.
+    The setting is required: a folder of one machine would be out of reach for the others.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-        shared = tempfile.mkdtemp(prefix="tickerloom-")
-        spark.conf.set("spark.checkpoint.dir", shared)
+        raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
     return f"{shared.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
+def ready(spark: SparkSession) -> SparkSession:
+    """For entry points: on one machine, a session without a shared folder gets one of its own."""
+    if not spark.conf.get("spark.checkpoint.dir", None) and spark.sparkContext.master.startswith("local"):
+        spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="tickerloom-"))
+    return spark

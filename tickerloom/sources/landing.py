@@ -79,11 +79,13 @@ def read_feed(
     feed: str,
     symbol_from_file: str | None = None,
     symbol_required: bool = False,
+    through: str | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Records and rejects of all files under ``path``; compression goes by file extension.
 
     ``symbol_from_file`` is a pattern whose first group takes the symbol from the file
-    name, for feeds whose records carry none.
+    name, for feeds whose records carry none. With ``through`` the payloads are parsed
+    once, into that folder, and records and rejects are read from there.
     """
     raw = (
         spark.read.schema(_envelope(feed))
@@ -96,6 +98,9 @@ def read_feed(
     if symbol_from_file:
         found = F.nullif(F.regexp_extract(F.input_file_name(), symbol_from_file, 1), F.lit(""))
         raw = raw.withColumn("symbol", F.coalesce("symbol", found))
+    if through:
+        raw.write.parquet(through)
+        raw = spark.read.schema(raw.schema).parquet(through)
     return _split(raw, feed, symbol_required)
 
 
@@ -193,8 +198,11 @@ def dated(records: DataFrame, start: str | None = None, end: str | None = None)
 
 
 def historical_market_cap(
-    records: DataFrame, start: str | None = None, end: str | None = None, limit: int = 100
+    records: DataFrame, start: str | None = None, end: str | None = None, limit: int | None = None
 ) -> DataFrame:
+    """Records of the range, the newest ``limit`` per symbol if one is given."""
+    if limit is None:
+        return dated(records, start, end)
     return newest_n(dated(records, start, end), ["symbol"], [F.desc("date")], limit)
 
 

@@ -37,7 +37,16 @@ def number(c: str, kind: str = MONEY) -> Column:
 
 def whole(c: str) -> Column:
     """Integer from text that may carry a decimal point."""
-    return F.col(c).try_cast("decimal(38,6)").cast("bigint")
+    return F.col(c).try_cast("decimal(38,6)").try_cast("bigint")
+
+
+#: A measure's kind when it is read by ``whole``.
+WHOLE = "whole"
+
+
+def unreadable(field: str, kind: str) -> Column:
+    """The field is there, but isn't a number of its kind or is too large for it."""
+    return ~blank(field) & (whole(field) if kind == WHOLE else number(field, kind)).isNull()
 
 
 def or_else(first: str, second: str, kind: str = MONEY) -> Column:
@@ -159,7 +168,7 @@ def option_columns() -> dict[str, Column]:
 # feed -> (columns, keys a record must have, payload field -> staged column that must be
 # readable whenever the field is present)
 MAPPINGS: dict[str, tuple[Callable[[], dict[str, Column]], Sequence[str], dict[str, str]]] = {
-    "profile": (profile_columns, ["symbol"], {"fullTimeEmployees": "employees"}),
+    "profile": (profile_columns, ["symbol"], {}),
     "price": (price_columns, ["symbol", "date"], {"date": "price_date"}),
     "income": (income_columns, ["symbol", "date"], {}),
     "balance": (balance_columns, ["symbol", "date"], {}),
@@ -171,6 +180,27 @@ _STATEMENT_READABLE = {
     "filingDate": "filing_date",
     "acceptedDate": "accepted_date",
 }
+# feed -> payload measure and the kind of number that it must be if it is present
+MEASURES: dict[str, dict[str, str]] = {
+    "profile": {"marketCap": MONEY, "fullTimeEmployees": WHOLE},
+    "price": {
+        **dict.fromkeys(("open", "high", "low", "close", "adjClose"), PRICE), "volume": WHOLE, "changePercent": RATE,
+    },
+    "income": {
+        **dict.fromkeys(
+            ("revenue", "costOfRevenue", "grossProfit", "operatingExpenses", "operatingIncome", "netIncome"), MONEY
+        ),
+        "eps": RATE, "epsDiluted": RATE, "weightedAverageShsOut": WHOLE, "weightedAverageShsOutDil": WHOLE,
+    },
+    "balance": dict.fromkeys(
+        ("totalAssets", "totalCurrentAssets", "totalLiabilities", "totalCurrentLiabilities", "totalEquity",
+         "totalStockholdersEquity", "cashAndCashEquivalents", "totalDebt", "netDebt"), MONEY,
+    ),
+    "cashflow": dict.fromkeys(
+        ("operatingCashFlow", "netCashProvidedByInvestingActivities", "netCashProvidedByFinancingActivities",
+         "freeCashFlow", "capitalExpenditure", "commonDividendsPaid", "netDividendsPaid"), MONEY,
+    ),
+}
 
 
 def map_feed(
@@ -188,10 +218,10 @@ def map_feed(
     typed = records.withColumns({f"_{name}": e for name, e in columns().items()})
 
     reason = F.lit(None).cast("string")
+    for field, kind in reversed(list(MEASURES.get(feed, {}).items())):
+        reason = F.when(unreadable(field, kind), f"unreadable {field}").otherwise(reason)
     for field, staged in reversed(list(readable.items())):
         lost = ~blank(field) & F.col(f"_{staged}").isNull()
-        if staged == "employees":
-            lost = lost & F.col(field).try_cast("decimal(38,6)").isNull()
         reason = F.when(lost, f"unreadable {field}").otherwise(reason)
     for field in reversed(required):
         reason = F.when(blank(field), f"missing {field}").otherwise(reason)
@@ -249,13 +279,6 @@ def as_variant(raw: DataFrame, column: str = "raw_data") -> DataFrame:
     return raw.withColumn(column, F.parse_json(column))
 
 
-def map_batch(
-    batches: dict[str, DataFrame], loaded_at: Column
-) -> dict[str, tuple[DataFrame, DataFrame, DataFrame]]:
-    """``map_feed`` for several feeds at once."""
-    return {feed: map_feed(records, feed, loaded_at) for feed, records in batches.items()}
-
-
 def mapping_stats(staged: DataFrame, rejects: DataFrame) -> DataFrame:
     """Records processed and failed."""
     parts = [

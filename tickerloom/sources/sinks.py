@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from ..operators.keyed import latest, merged, split_by_age
 from ..session import work_dir
+from . import files
 
 
 def counted(df: DataFrame, name: str = "rows") -> tuple[DataFrame, Observation]:
@@ -51,14 +52,50 @@ def laid_out(
     return spread_out.sortWithinPartitions(*cluster, *sort)
 
 
+# Rows that are about to replace partitions lie here until they have; readers of the table
+# don't see folders whose name begins with an underscore.
+PENDING = "_pending"
+
+
 def replace_partitions(df: DataFrame, path: str, partition_by: Sequence[str]) -> None:
-    """Overwrite the partitions that occur in ``df`` and leave the others."""
-    (
-        df.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*partition_by)
-        .parquet(path)
-    )
+    """Overwrite the partitions that occur in ``df`` and leave the others.
+
+    The rows are staged in the table's folder first and marked as whole, then they replace
+    the partitions from there. A failure before the mark leaves the table as it was; after
+    it, ``finish`` brings the table to its new state from the staged rows. One writer at a time.
+
+    Rows are dealt out by partition, so that a task writes few of them; the adaptive planner
+    divides a large partition over several tasks.
+    """
+    spark = df.sparkSession
+    finish(spark, path, partition_by)
+    df.hint("rebalance", *[F.col(c) for c in partition_by]).write.mode("overwrite").parquet(f"{path}/{PENDING}/rows")
+    files.mark(spark, f"{path}/{PENDING}/whole")
+    finish(spark, path, partition_by)
+
+
+def finish(spark: SparkSession, path: str, partition_by: Sequence[str]) -> None:
+    """Complete a replacement that was interrupted; what was not staged whole is dropped."""
+    if not files.exists(spark, f"{path}/{PENDING}"):
+        return
+    if files.exists(spark, f"{path}/{PENDING}/whole"):
+        rows = spark.read.parquet(f"{path}/{PENDING}/rows")
+        (
+            rows.hint("rebalance", *[F.col(c) for c in partition_by])
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(*partition_by)
+            .parquet(path)
+        )
+        # the mark goes first: rows without it are never taken for whole
+        files.delete(spark, f"{path}/{PENDING}/whole")
+    files.delete(spark, f"{path}/{PENDING}")
+
+
+def read_table(spark: SparkSession, path: str, schema: T.StructType, partition_by: Sequence[str]) -> DataFrame:
+    """A partitioned table, after any interrupted replacement of its partitions is completed."""
+    finish(spark, path, partition_by)
+    return spark.read.schema(schema).parquet(path)
 
 
 def copy_table(spark: SparkSession, source: str, target: str) -> None:
@@ -74,21 +111,28 @@ def upsert_table(
     order: Sequence,
     update: Sequence[str] | None = None,
     schema: T.StructType | None = None,
+    contest: bool = False,
+    changed_to: str | None = None,
 ) -> dict[str, int]:
     """Upsert into a partitioned table, reading and rewriting only the partitions touched.
 
     ``partition_by`` must follow from ``keys``, so a row never changes partition. The
-    source is written to the shared work folder once. The range of its partition values
-    prunes the table before it is listed, and a semi-join keeps the partitions that occur.
-    The merged rows are staged as well and replace the partitions from there: no path is
-    overwritten while it is read, and the same upsert run again after a failure gives the
-    same table. ``schema`` is needed while the table may still be empty.
+    source is written to the shared work folder once, and removed at the end. The range of
+    its partition values prunes the table before it is listed, and a semi-join keeps the
+    partitions that occur. The merged rows replace the partitions through
+    ``replace_partitions``: after a failure at any point, running the same upsert again gives
+    the same table and loses no stored row. ``schema`` is needed while the table may still be
+    empty.
+
+    With ``contest`` a stored row stays if it comes first in ``order``. Inserted and updated
+    rows are written to the folder ``changed_to`` before the table changes.
     """
     base = work_dir(spark, "upsert")
     columns = schema or spark.read.parquet(path).schema
+    source = source.select(*[F.col(c).cast(columns[c].dataType).alias(c) for c in source.columns])
     latest(source, keys, order).write.parquet(f"{base}/source")
     coming = spark.read.schema(source.schema).parquet(f"{base}/source")
-    target = spark.read.schema(columns).parquet(path)
+    target = read_table(spark, path, columns, partition_by)
 
     touched = coming.select(*partition_by).distinct()
     in_range = target
@@ -96,6 +140,9 @@ def upsert_table(
         low, high = coming.agg(F.min(c)).scalar(), coming.agg(F.max(c)).scalar()
         in_range = in_range.where((F.col(c) >= low) & (F.col(c) <= high))
     affected = in_range.join(touched, list(partition_by), "left_semi").select(*columns.names)
+    if contest:
+        both = affected.select(*source.columns, F.lit(False).alias("_new")).unionByName(coming.withColumn("_new", F.lit(True)))
+        coming = latest(both, keys, [*order, "_new"]).where("_new").drop("_new")
 
     rows = merged(affected, coming, keys, update)
     seen = Observation("upsert")
@@ -106,9 +153,17 @@ def upsert_table(
         F.count_if(a == "U").alias("updated"),
         F.count_if(a == "N").alias("unchanged"),
     )
-    rows.drop("_action").write.parquet(f"{base}/merged")
-    replace_partitions(spark.read.schema(columns).parquet(f"{base}/merged"), path, partition_by)
-    return dict(seen.get)
+    rows.write.parquet(f"{base}/merged")
+    staged = spark.read.schema(T.StructType(list(columns.fields)).add("_action", T.StringType())).parquet(f"{base}/merged")
+    if changed_to is not None:
+        staged.where("_action != 'N'").drop("_action").write.mode("overwrite").parquet(changed_to)
+    counts = dict(seen.get)
+    if counts["inserted"] or counts["updated"]:
+        # only partitions in which something differs are written again
+        differing = staged.where("_action != 'N'").select(*partition_by).distinct()
+        replace_partitions(staged.drop("_action").join(differing, list(partition_by), "left_semi").select(*columns.names), path, partition_by)
+    files.delete(spark, base)
+    return counts
 
 
 def create_table(spark: SparkSession, path: str, schema: T.StructType, partition_by: Sequence[str] = ()) -> None:
@@ -135,7 +190,8 @@ def backfill(
     """Build and write slice by slice; a slice that is run again replaces its partitions.
 
     Slices bound the work of one job. Where that is not needed, one slice over the whole
-    range is faster. ``partition_by`` must not be coarser than a slice.
+    range is faster. ``partition_by`` must not be coarser than a slice. A slice that was
+    interrupted is completed or left out as a whole, see ``replace_partitions``.
     """
     total = 0
     for low, high in date_slices(start, end, days):
@@ -148,12 +204,11 @@ def backfill(
 def write_snapshot(symbols: DataFrame, path: str, taken_at: str) -> None:
     """A membership list as JSON lines, each with the snapshot's time and member count.
 
-    The count is a one-row aggregate joined on the snapshot time.
+    The count is taken first, as one number.
     """
     members = symbols.where(F.col("symbol").isNotNull()).select("symbol").distinct()
-    stamped = members.withColumn("taken_at", F.lit(taken_at))
-    size = stamped.groupBy("taken_at").agg(F.count(F.lit(1)).alias("member_count"))
-    stamped.join(size, "taken_at").orderBy("symbol").write.mode("overwrite").json(path)
+    stamped = members.withColumns({"taken_at": F.lit(taken_at), "member_count": F.lit(members.count())})
+    stamped.orderBy("symbol").write.mode("overwrite").json(path)
 
 
 def sample_rows(df: DataFrame, n: int = 5) -> DataFrame:

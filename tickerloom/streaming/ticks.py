@@ -32,13 +32,17 @@ def file_ticks(
     return reader.load(path)
 
 
-def topic_ticks(spark: SparkSession, servers: str, topic: str, schema: T.StructType, group: str | None = None) -> DataFrame:
-    """JSON ticks from a Kafka topic, from the latest offsets on. Needs the Kafka connector."""
+def topic_ticks(spark: SparkSession, servers: str, topic: str, schema: T.StructType, group: str | None = None, per_batch: int = 1_000_000) -> DataFrame:
+    """JSON ticks from a Kafka topic, from the latest offsets on. Needs the Kafka connector.
+
+    A batch takes at most ``per_batch`` records, so that one after a pause has a bounded size.
+    """
     reader = (
         spark.readStream.format("kafka")
         .option("kafka.bootstrap.servers", servers)
         .option("subscribe", topic)
         .option("startingOffsets", "latest")
+        .option("maxOffsetsPerTrigger", per_batch)
     )
     if group:
         reader = reader.option("kafka.group.id", group)
@@ -187,15 +191,7 @@ def upsert_batches(
     """
 
     def handle(df: DataFrame, batch_id: int) -> None:
-        spark = df.sparkSession
-        batch = df.persist()
-        try:
-            days = batch.select(*partition_by).distinct()
-            stored = spark.read.schema(schema).parquet(path).join(days, list(partition_by), "left_semi")
-            newest = latest(batch.unionByName(stored.select(*df.columns)), keys, order)
-            upsert_table(spark, path, newest, keys, partition_by, order, schema=schema)
-        finally:
-            batch.unpersist()
+        upsert_table(df.sparkSession, path, df, keys, partition_by, order, schema=schema, contest=True)
 
     return handle
 
