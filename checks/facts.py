@@ -10,7 +10,7 @@ from tickerloom.operators import growth, keyed, trailing
 from tickerloom.operators.asof import asof_join, known_at
 from tickerloom.operators.scd2 import apply_changes, change_counts, detect_changes, first_load
 from tickerloom.operators.series import balanced_slots, gaps, price_change, sessions, volatility
-from tickerloom.plans import dims, facts, options, technicals, views
+from tickerloom.plans import daily, dims, facts, options, technicals, views
 from tickerloom.schemas import BALANCE_MEASURES, CASH_MEASURES, INCOME_MEASURES
 from tickerloom.session import work_dir
 from tickerloom.sources import samples
@@ -314,7 +314,7 @@ def statement_fact(spark, d):
       found as (select symbol, fiscal_date, period, max(b) as b, max(c) as c from kinds group by all)
       select symbol, fiscal_date, period, if(b = 0, 'Missing Balance Sheet', null) as balance_sheet_status,
         if(c = 0, 'Missing Cash Flow', null) as cash_flow_status,
-        ['Missing Both', 'Missing Cash Flow Only', 'Missing Balance Sheet Only'][1 + b + 2 * c] as data_completeness
+        case when b = 0 and c = 0 then 'Missing Both' when b = 0 then 'Missing Balance Sheet Only' when c = 0 then 'Missing Cash Flow Only' end as data_completeness
       from found semi join v_income using (symbol, fiscal_date, period) where b + c < 2""",
 )
 def missing_statements(spark, d):
@@ -323,7 +323,6 @@ def missing_statements(spark, d):
 
 # three kinds of rows: an income row of any newest period; a balance row that no income row
 # takes up; a cash row that meets neither
-_KEY = "(symbol, fiscal_date, period)"
 _I = ("revenue", "gross_profit", "operating_income", "net_income", "eps_diluted")
 _B = ("total_assets", "total_liabilities", "total_equity", "cash_and_equivalents", "total_debt")
 _C = ("operating_cash_flow", "free_cash_flow", "dividends_paid")
@@ -354,8 +353,8 @@ left join tb using (symbol, fiscal_date, period) left join tc using (symbol, fis
 union all
 select b.symbol, b.fiscal_date, b.period, {_no_side(_I, True)}, {_side('b', _B)}, {_side('tc', _C)}
 from v_balance b left join tc using (symbol, fiscal_date, period)
-where case when {_KEY.replace('(', '(b.').replace(', ', ', b.')} in (select {_KEY} from nb)
-  then {_KEY.replace('(', '(b.').replace(', ', ', b.')} not in (select {_KEY} from v_income) else tc.symbol is not null end
+where case when (b.symbol, b.fiscal_date, b.period) in (select (symbol, fiscal_date, period) from nb)
+  then (b.symbol, b.fiscal_date, b.period) not in (select (symbol, fiscal_date, period) from v_income) else tc.symbol is not null end
 union all
 select tc.symbol, tc.fiscal_date, tc.period, {_no_side(_I, True)}, {_no_side(_B)}, {_side('tc', _C)}
 from tc anti join v_income using (symbol, fiscal_date, period) anti join v_balance using (symbol, fiscal_date, period)"""
@@ -391,10 +390,7 @@ def latest_per_period_type(spark, d):
     return plain(rows.select("symbol", "period_type", "fiscal_date", "revenue", "net_income", "total_assets"))
 
 
-RATIOS = tuple(
-    "gross_margin operating_margin profit_margin roe roa current_ratio quick_ratio debt_to_equity"
-    " debt_to_assets asset_turnover book_value_per_share revenue_per_share".split()
-)
+RATIOS = daily.RATIO_NAMES
 
 
 @query("financial_ratios", f"select company_key, fiscal_date, period_type, {', '.join(RATIOS)} from v_ratio")

@@ -601,7 +601,7 @@ def audit_job_metrics(spark, d):
 @query(
     "audit_quality_issues",
     """select 'load-1' as job_id, 'STG_COMPANY_PROFILE' as table_name, symbol as record_identifier, 'market_cap_sign' as issue_type,
-      'Invalid market cap: ' || cast(market_cap as varchar) as issue_description, 'ERROR' as severity, timestamp '2024-02-01 00:30:00' as detected_at
+      'market_cap below zero: ' || cast(market_cap as varchar) as issue_description, 'ERROR' as severity, timestamp '2024-02-01 00:30:00' as detected_at
       from v_company where market_cap < 0""",
 )
 def audit_quality_issues(spark, d):
@@ -632,11 +632,11 @@ def _issues_sql(keys: str, view: str, rules: list[tuple[str, str, str]]) -> str:
             case when s_suppkey % 11 <> 0 then s_name end as company_name, cast(s_acctbal as decimal(12,2)) as market_cap,
             s_suppkey % 30 - 2 as employees from supplier)""",
         [
-            ("symbol is null or symbol = ''", "'Missing required field: symbol'", "ERROR"),
-            ("company_name is null or company_name = ''", "'Missing required field: company_name'", "ERROR"),
-            ("symbol <> '' and (length(symbol) > 10 or not regexp_matches(symbol, '^[A-Za-z0-9]+$'))", "'Invalid symbol format: ' || symbol", "ERROR"),
-            ("market_cap < 0", "'Invalid market cap: ' || cast(market_cap as varchar)", "ERROR"),
-            ("employees < 0", "'Invalid employee count: ' || cast(employees as varchar)", "ERROR"),
+            ("symbol is null or symbol = ''", "'no value: symbol'", "ERROR"),
+            ("company_name is null or company_name = ''", "'no value: company_name'", "ERROR"),
+            ("symbol <> '' and (length(symbol) > 10 or not regexp_matches(symbol, '^[A-Za-z0-9]+$'))", "'symbol out of form: ' || symbol", "ERROR"),
+            ("market_cap < 0", "'market_cap below zero: ' || cast(market_cap as varchar)", "ERROR"),
+            ("employees < 0", "'employees below zero: ' || cast(employees as varchar)", "ERROR"),
         ],
     ),
 )
@@ -671,16 +671,16 @@ _ODD = """(select symbol, price_date, open_price, case when day(price_date) = 7
   case when day(price_date) = 9 then 0 when day(price_date) = 11 then -close_price else close_price end as close_price, close_price as adj_close,
   case when company_key % 10 = 3 then -volume else volume end as volume from v_prices)"""
 _PRICE_RULES = [
-    ("close_price is null or close_price = 0", "'Missing required field: close_price'", "ERROR"),
-    ("close_price < 0", "'Negative price for close_price: ' || cast(close_price as varchar)", "ERROR"),
+    ("close_price is null or close_price = 0", "'no value: close_price'", "ERROR"),
+    ("close_price < 0", "'close_price below zero: ' || cast(close_price as varchar)", "ERROR"),
     ("high_price > 0 and low_price > 0 and low_price > high_price",
-     "'Low price (' || cast(low_price as varchar) || ') greater than high price (' || cast(high_price as varchar) || ')'", "ERROR"),
+     "'low_price ' || cast(low_price as varchar) || ' above high_price ' || cast(high_price as varchar)", "ERROR"),
     ("high_price > 0 and low_price > 0 and open_price > 0 and (open_price > high_price or open_price < low_price)",
-     "'Open price (' || cast(open_price as varchar) || ') outside of high/low range'", "WARNING"),
+     "'open_price ' || cast(open_price as varchar) || ' beyond low and high'", "WARNING"),
     ("high_price > 0 and low_price > 0 and close_price > 0 and (close_price > high_price or close_price < low_price)",
-     "'Close price (' || cast(close_price as varchar) || ') outside of high/low range'", "WARNING"),
-    ("volume < 0", "'Negative volume: ' || cast(volume as varchar)", "ERROR"),
-    ("price_date > date '2001-06-30'", "'Future date not allowed: ' || cast(price_date as varchar)", "ERROR"),
+     "'close_price ' || cast(close_price as varchar) || ' beyond low and high'", "WARNING"),
+    ("volume < 0", "'volume below zero: ' || cast(volume as varchar)", "ERROR"),
+    ("price_date > date '2001-06-30'", "'price_date after today: ' || cast(price_date as varchar)", "ERROR"),
 ]
 
 
@@ -710,8 +710,8 @@ def quarantined_prices(spark, d):
     return plain(bad.select("symbol", "price_date", "close_price", "volume"))
 
 
-_FUTURE = ("fiscal_date > date '2001-06-30'", "'Future fiscal date not allowed: ' || cast(fiscal_date as varchar)", "ERROR")
-_NAMED = ("period not in ('FY', 'Q1', 'Q2', 'Q3', 'Q4')", "'Invalid period: ' || period", "ERROR")
+_FUTURE = ("fiscal_date > date '2001-06-30'", "'fiscal_date after today: ' || cast(fiscal_date as varchar)", "ERROR")
+_NAMED = ("period not in ('FY', 'Q1', 'Q2', 'Q3', 'Q4')", "'unknown period: ' || period", "ERROR")
 
 
 @query(
@@ -723,9 +723,9 @@ _NAMED = ("period not in ('FY', 'Q1', 'Q2', 'Q3', 'Q4')", "'Invalid period: ' ||
             case when company_key % 6 = 4 then gross_profit + 5 else gross_profit end as gross_profit from v_income)""",
         [
             _NAMED, _FUTURE,
-            ("revenue < 0", "'Negative revenue unusual: ' || cast(revenue as varchar)", "ERROR"),
+            ("revenue < 0", "'revenue below zero: ' || cast(revenue as varchar)", "ERROR"),
             ("revenue > 0 and cost_of_revenue >= 0 and abs(gross_profit - (revenue - cost_of_revenue)) > 0.01",
-             "'Gross profit mismatch: ' || cast(gross_profit as varchar) || ' != ' || cast(revenue as varchar) || ' - ' || cast(cost_of_revenue as varchar)", "ERROR"),
+             "'gross_profit is not revenue less cost: ' || cast(gross_profit as varchar) || ' != ' || cast(revenue as varchar) || ' - ' || cast(cost_of_revenue as varchar)", "ERROR"),
         ],
     ),
 )
@@ -748,7 +748,7 @@ def validate_income(spark, d):
         [
             _FUTURE,
             ("total_assets > 0 and total_liabilities >= 0 and total_equity <> 0 and abs(total_assets - (total_liabilities + total_equity)) > 0.01",
-             "'Balance sheet equation violation: ' || cast(total_assets as varchar) || ' != ' || cast(total_liabilities as varchar) || ' + ' || cast(total_equity as varchar)", "ERROR"),
+             "'assets are not liabilities and equity: ' || cast(total_assets as varchar) || ' != ' || cast(total_liabilities as varchar) || ' + ' || cast(total_equity as varchar)", "ERROR"),
         ],
     ),
 )
@@ -765,7 +765,7 @@ def validate_balance(spark, d):
         [
             _FUTURE,
             ("operating_cash_flow <> 0 and capital_expenditures <> 0 and abs(free_cash_flow - (operating_cash_flow - abs(capital_expenditures))) > 0.01",
-             "'Free cash flow mismatch: ' || cast(free_cash_flow as varchar) || ' != ' || cast(operating_cash_flow as varchar) || ' - ' || cast(abs(capital_expenditures) as varchar)", "ERROR"),
+             "'free_cash_flow is not operating less capital: ' || cast(free_cash_flow as varchar) || ' != ' || cast(operating_cash_flow as varchar) || ' - ' || cast(abs(capital_expenditures) as varchar)", "ERROR"),
         ],
     ),
 )
@@ -852,7 +852,7 @@ def dq_issues(spark, d):
       lines as (select 'Completeness' as metric_type, 'Financial Data' as category, has_revenue as score from marks
         union all select 'Consistency', 'Financial Statements', has_balance from marks)
       select metric_type, category, round(score, 2) as score_percentage,
-        ['POOR', 'FAIR', 'GOOD', 'EXCELLENT'][1 + (score >= 80)::int + (score >= 90)::int + (score >= 95)::int] as quality_rating from lines""",
+        case when score >= 95 then 'EXCELLENT' when score >= 90 then 'GOOD' when score >= 80 then 'FAIR' else 'POOR' end as quality_rating from lines""",
 )
 def dq_scorecard(spark, d):
     income = samples.income(spark, d).withColumn("revenue", F.when(F.col("company_key") % 6 != 1, F.col("revenue")))

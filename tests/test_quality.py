@@ -21,10 +21,10 @@ def test_profile_rules(spark):
     rules = quality.profile_rules()
     got = messages(spark, PROFILE, ("TOOLONGSYMBOL", "Name", -1000, -10), rules)
     assert got == (
-        ["Invalid symbol format: TOOLONGSYMBOL", "Invalid market cap: -1000", "Invalid employee count: -10"], False,
+        ["symbol out of form: TOOLONGSYMBOL", "market_cap below zero: -1000", "employees below zero: -10"], False,
     )
     assert messages(spark, PROFILE, (None, "", None, None), rules)[0] == [
-        "Missing required field: symbol", "Missing required field: company_name",
+        "no value: symbol", "no value: company_name",
     ]
     assert messages(spark, PROFILE, ("ÄÖ1", "Name", 0, 0), rules) == ([], True)
     assert messages(spark, PROFILE, ("BRK-B", "Name", 1, 1), rules)[1] is False
@@ -45,11 +45,11 @@ def price(o, h, l, c, volume=1, day=date(2024, 1, 2)):
 @pytest.mark.parametrize(
     ("row", "expected", "valid"),
     [
-        (price(120, 100, 150, 120), ["Low price (150.00) greater than high price (100.00)", "Open price (120.00) outside of high/low range", "Close price (120.00) outside of high/low range"], False),
-        (price(None, None, None, -100, -1000), ["Negative price for close_price: -100.00", "Negative volume: -1000"], False),
-        (price(90, 80, 70, 75), ["Open price (90.00) outside of high/low range"], True),
-        (price(75, 80, 70, 0), ["Missing required field: close_price"], False),
-        (price(75, 80, 70, 75, day=date(2025, 1, 1)), ["Future date not allowed: 2025-01-01"], False),
+        (price(120, 100, 150, 120), ["low_price 150.00 above high_price 100.00", "open_price 120.00 beyond low and high", "close_price 120.00 beyond low and high"], False),
+        (price(None, None, None, -100, -1000), ["close_price below zero: -100.00", "volume below zero: -1000"], False),
+        (price(90, 80, 70, 75), ["open_price 90.00 beyond low and high"], True),
+        (price(75, 80, 70, 0), ["no value: close_price"], False),
+        (price(75, 80, 70, 75, day=date(2025, 1, 1)), ["price_date after today: 2025-01-01"], False),
         (price(75, 80, 70, 75), [], True),
     ],
 )
@@ -67,20 +67,20 @@ def test_statement_rules(spark):
     income = STATEMENT + "revenue decimal(20,2), cost_of_revenue decimal(20,2), gross_profit decimal(20,2)"
     assert messages(spark, income, (*head, d(100), d(60), d(40)), quality.income_rules(today)) == ([], True)
     assert messages(spark, income, (*head, d(100), d(60), d(41)), quality.income_rules(today))[0] == [
-        "Gross profit mismatch: 41.00 != 100.00 - 60.00"
+        "gross_profit is not revenue less cost: 41.00 != 100.00 - 60.00"
     ]
-    assert messages(spark, income, (*head, d(-5), None, None), quality.income_rules(today))[0] == ["Negative revenue unusual: -5.00"]
+    assert messages(spark, income, (*head, d(-5), None, None), quality.income_rules(today))[0] == ["revenue below zero: -5.00"]
     balance = STATEMENT + "total_assets decimal(20,2), total_liabilities decimal(20,2), total_equity decimal(20,2)"
     assert messages(spark, balance, (*head, d(1_000_000), d(600_000), d(500_000)), quality.balance_rules(today))[0] == [
-        "Balance sheet equation violation: 1000000.00 != 600000.00 + 500000.00"
+        "assets are not liabilities and equity: 1000000.00 != 600000.00 + 500000.00"
     ]
     cash = STATEMENT + "operating_cash_flow decimal(20,2), capital_expenditures decimal(20,2), free_cash_flow decimal(20,2)"
     assert messages(spark, cash, (*head, d(100), d(-30), d(70)), quality.cash_rules(today)) == ([], True)
     assert messages(spark, cash, (*head, d(100), d(-30), d(80)), quality.cash_rules(today))[0] == [
-        "Free cash flow mismatch: 80.00 != 100.00 - 30.00"
+        "free_cash_flow is not operating less capital: 80.00 != 100.00 - 30.00"
     ]
     bad = messages(spark, income, (None, date(2030, 1, 1), "H1", None, None, None), quality.income_rules(today))[0]
-    assert bad == ["Missing required field: symbol", "Invalid period: H1", "Future fiscal date not allowed: 2030-01-01"]
+    assert bad == ["no value: symbol", "unknown period: H1", "fiscal_date after today: 2030-01-01"]
 
 
 def test_batch_summary_and_split(spark):
@@ -120,3 +120,11 @@ def test_outside_history_needs_enough_rows(spark):
     df = spark.createDataFrame([("A", i, float(v)) for i, v in enumerate([5, 6, 7, 20, 6])], "s string, d int, v double")
     got = quality.outside_history(df, ["s"], "d", "v", min_rows=2).collect()
     assert sorted(r.v for r in got) == [7.0, 20.0]
+
+
+def test_prices_out_of_range_are_set_apart(spark):
+    rows = [("A", 1, 2, 1, 2), ("B", -1, 2, 1, 2), ("C", 1, 2_000_000, 1, 3_000_000), ("D", None, 0, 0, 1_000_000)]
+    df = spark.createDataFrame(rows, "symbol string, open_price int, high_price int, low_price int, close_price int")
+    good, bad = quality.in_price_range(df)
+    assert [r.symbol for r in good.collect()] == ["A", "D"] and good.columns == df.columns
+    assert [(r.symbol, r.field) for r in bad.collect()] == [("B", "open_price"), ("C", "high_price")]

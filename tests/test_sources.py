@@ -226,3 +226,21 @@ def test_snapshot_profile_and_copy(spark, tmp_path):
     (r,) = sinks.table_profile(df).collect()
     assert (r.column_name, r.row_count, r.present, r.approx_distinct) == ("symbol", 4, 3, 2)
     assert [r.data_type for r in sinks.table_columns(spark, df).collect()] == ["string"]
+
+
+def test_unreadable_or_too_large_measures_reject_the_record(spark):
+    rows = [("AAA", "2024-01-02", "abc", "5"), ("BBB", "2024-01-02", "1", "123456789.5"), ("CCC", "2024-01-02", "1.5", "2"), ("DDD", "2024-01-02", None, "")]
+    schema = landing.PAYLOADS["price"]
+    names = [f.name for f in schema.fields]
+    df = spark.createDataFrame([tuple({"symbol": s, "date": d, "open": o, "close": c}.get(n) for n in names) for s, d, o, c in rows], schema)
+    _, staged, bad = mapping.map_feed(df, "price", F.lit(datetime(2024, 1, 3)).cast("timestamp_ntz"))
+    assert sorted((r.symbol, r.reject_reason) for r in bad.collect()) == [("AAA", "unreadable open"), ("BBB", "unreadable close")]
+    assert {r.symbol for r in staged.collect()} == {"CCC", "DDD"}
+    whole = spark.createDataFrame([("AAA", "9" * 30), ("BBB", "12.0")], "symbol string, v string")
+    assert [r[0] for r in whole.select(mapping.whole("v")).collect()] == [None, 12]
+
+
+def test_market_caps_are_whole_without_a_limit(spark):
+    df = spark.createDataFrame([("A", f"2020-{m:02d}-{d:02d}", 1) for m in range(1, 13) for d in range(1, 29)], "symbol string, date string, marketCap long")
+    assert landing.historical_market_cap(df).count() == 336
+    assert landing.historical_market_cap(df, limit=100).count() == 100

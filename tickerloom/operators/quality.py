@@ -47,7 +47,7 @@ def say(*parts: Column | str) -> Column:
 
 def _required(texts: Sequence[str], numbers: Sequence[str] = ()) -> list[Rule]:
     checks = [(c, blank(c)) for c in texts] + [(c, unset(c)) for c in numbers]
-    return [Rule(f"required_{c}", bad, say("Missing required field: ", c)) for c, bad in checks]
+    return [Rule(f"required_{c}", bad, say("no value: ", c)) for c, bad in checks]
 
 
 def profile_rules(symbol_pattern: str = SYMBOL_PATTERN) -> list[Rule]:
@@ -55,9 +55,9 @@ def profile_rules(symbol_pattern: str = SYMBOL_PATTERN) -> list[Rule]:
     malformed = (F.length(symbol) > MAX_SYMBOL_LENGTH) | ~symbol.rlike(symbol_pattern)
     return [
         *_required(["symbol", "company_name"]),
-        Rule("symbol_format", ~blank(symbol) & malformed, say("Invalid symbol format: ", symbol)),
-        Rule("market_cap_sign", cap < 0, say("Invalid market cap: ", cap)),
-        Rule("employees_sign", staff < 0, say("Invalid employee count: ", staff)),
+        Rule("symbol_format", ~blank(symbol) & malformed, say("symbol out of form: ", symbol)),
+        Rule("market_cap_sign", cap < 0, say("market_cap below zero: ", cap)),
+        Rule("employees_sign", staff < 0, say("employees below zero: ", staff)),
     ]
 
 
@@ -66,30 +66,30 @@ def price_rules(today: Column) -> list[Rule]:
     ranged = (high > 0) & (low > 0)
     day = F.col("price_date")
 
-    def outside(field: str, label: str) -> Rule:
+    def outside(field: str) -> Rule:
         v = nz(field)
         return Rule(
             f"{field}_range",
             ranged & (v > 0) & ((v > high) | (v < low)),
-            say(f"{label} price (", F.col(field), ") outside of high/low range"),
+            say(f"{field} ", F.col(field), " beyond low and high"),
             WARNING,
         )
 
     return [
         *_required(["symbol", "price_date"], ["close_price"]),
         *[
-            Rule(f"{f}_sign", F.col(f) < 0, say(f"Negative price for {f}: ", F.col(f)))
+            Rule(f"{f}_sign", F.col(f) < 0, say(f"{f} below zero: ", F.col(f)))
             for f in PRICE_FIELDS
         ],
         Rule(
             "low_above_high",
             ranged & (low > high),
-            say("Low price (", F.col("low_price"), ") greater than high price (", F.col("high_price"), ")"),
+            say("low_price ", F.col("low_price"), " above high_price ", F.col("high_price")),
         ),
-        outside("open_price", "Open"),
-        outside("close_price", "Close"),
-        Rule("volume_sign", F.col("volume") < 0, say("Negative volume: ", F.col("volume"))),
-        Rule("future_price_date", day > today, say("Future date not allowed: ", day)),
+        outside("open_price"),
+        outside("close_price"),
+        Rule("volume_sign", F.col("volume") < 0, say("volume below zero: ", F.col("volume"))),
+        Rule("future_price_date", day > today, say("price_date after today: ", day)),
     ]
 
 
@@ -97,8 +97,8 @@ def _statement_rules(today: Column) -> list[Rule]:
     period, day = F.col("period"), F.col("fiscal_date")
     return [
         *_required(["symbol", "fiscal_date", "period"]),
-        Rule("period_name", ~blank(period) & ~period.isin(*PERIODS), say("Invalid period: ", period)),
-        Rule("future_fiscal_date", day > today, say("Future fiscal date not allowed: ", day)),
+        Rule("period_name", ~blank(period) & ~period.isin(*PERIODS), say("unknown period: ", period)),
+        Rule("future_fiscal_date", day > today, say("fiscal_date after today: ", day)),
     ]
 
 
@@ -110,11 +110,11 @@ def income_rules(today: Column) -> list[Rule]:
     revenue, cost, gross = F.col("revenue"), F.col("cost_of_revenue"), F.col("gross_profit")
     return [
         *_statement_rules(today),
-        Rule("revenue_sign", revenue < 0, say("Negative revenue unusual: ", revenue)),
+        Rule("revenue_sign", revenue < 0, say("revenue below zero: ", revenue)),
         Rule(
             "gross_profit_identity",
             (nz(revenue) > 0) & (nz(cost) >= 0) & _off_by(gross, nz(revenue) - nz(cost)),
-            say("Gross profit mismatch: ", gross, " != ", revenue, " - ", cost),
+            say("gross_profit is not revenue less cost: ", gross, " != ", revenue, " - ", cost),
         ),
     ]
 
@@ -126,7 +126,7 @@ def balance_rules(today: Column) -> list[Rule]:
         Rule(
             "balance_identity",
             (nz(a) > 0) & (nz(l) >= 0) & (nz(e) != 0) & _off_by(nz(a), nz(l) + nz(e)),
-            say("Balance sheet equation violation: ", a, " != ", l, " + ", e),
+            say("assets are not liabilities and equity: ", a, " != ", l, " + ", e),
         ),
     ]
 
@@ -138,7 +138,7 @@ def cash_rules(today: Column) -> list[Rule]:
         Rule(
             "free_cash_flow_identity",
             (nz(ocf) != 0) & (nz(capex) != 0) & _off_by(fcf, ocf - F.abs(capex)),
-            say("Free cash flow mismatch: ", fcf, " != ", ocf, " - ", F.abs(capex)),
+            say("free_cash_flow is not operating less capital: ", fcf, " != ", ocf, " - ", F.abs(capex)),
         ),
     ]
 
@@ -239,6 +239,15 @@ def repair_prices(df: DataFrame, max_price: int = 1_000_000) -> DataFrame:
     )
 
 
+def in_price_range(df: DataFrame, low: int = 0, high: int = 1_000_000) -> tuple[DataFrame, DataFrame]:
+    """Bars whose prices all lie from ``low`` to ``high``, and the others with the first field
+    that doesn't. A missing price is judged by the rule on required fields, not here."""
+    bad = [(c, ~F.coalesce(F.col(c).between(low, high), F.lit(True))) for c in ("open_price", "high_price", "low_price", "close_price")]
+    field = F.coalesce(*[F.when(b, c) for c, b in bad])
+    judged = df.withColumn("field", field)
+    return judged.where(F.col("field").isNull()).drop("field"), judged.where(F.col("field").isNotNull())
+
+
 def repair_website(c: Column | str) -> Column:
     c = F.col(c) if isinstance(c, str) else c
     return F.when(c.rlike(r"^https?://[^\s/$.?#].[^\s]*$"), c)
