@@ -36,6 +36,15 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Let rows go to Python in batches of bounded size, however long their texts are.
+
+    The setting stays on the session, as plans run after they are made; it changes no result.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(2 << 20))
+
+
 def parallelism(spark: SparkSession) -> int:
     """Partitions of a shuffle, as the session sets them."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import MARKS, mixed, text_pieces, word_hashes
+from .common import MARKS, mixed, small_batches, text_pieces, word_hashes
 
 #: Bytes of items that one broadcast index may hold, ranges of its items, postings in a block.
 PART, RANGES, POSTINGS = 8 << 20, 64, 16
@@ -213,6 +213,7 @@ def contaminated(
     item are searched and reported each for itself. Empty tables give no rows.
     """
     spark = documents.sparkSession
+    small_batches(spark)
     items = benchmark.select(F.col(item_col).cast("long").alias("item"), F.col(item_text_col).alias("text")).where("text is not null")
     docs = documents.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0

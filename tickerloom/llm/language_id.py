@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import few_of_each
+from .common import few_of_each, small_batches
 
 #: Hashed n-grams, characters that are handled at once, and most classifiers of a code.
 SLOTS, PIECE, WIDEST = 1 << 14, 400_000, 63
@@ -176,6 +176,7 @@ def predicted(documents: DataFrame, model: Model | None, id_col: str = "doc_id",
     Rows that repeat an id are each predicted.
     """
     docs = documents.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    small_batches(documents.sparkSession)
     held = documents.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

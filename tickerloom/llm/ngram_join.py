@@ -26,11 +26,11 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bitmap, in_bitmap, mixed, parallelism, shingles, stored, text_pieces, word_hashes
+from .common import bitmap, in_bitmap, mixed, parallelism, shingles, small_batches, stored, text_pieces, word_hashes
 from .components import components
 
 #: Shingles that a task gathers before it sends them, and documents from which it sends none.
-CHUNK, COMMON = 800_000, 8
+CHUNK, COMMON = 400_000, 8
 #: Shingles of open documents for which a block of columns is worth its while.
 CELLS = 50_000
 #: Members of a column that one task compares with each other.
@@ -242,6 +242,7 @@ def jaccard_groups(documents: DataFrame, id_col: str = "doc_id", text_col: str =
     its name, and get a null component if they reach no id. An empty table gives no rows.
     """
     spark = documents.sparkSession
+    small_batches(spark)
     blocks = parallelism(spark)
     docs = documents.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     sent = docs.mapInArrow(_incidence(width, blocks), _SENT)

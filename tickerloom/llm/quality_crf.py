@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import few_of_each, mixed, text_pieces, word_hashes, word_spans
+from .common import few_of_each, mixed, small_batches, text_pieces, word_hashes, word_spans
 
 _FEED = np.arange(256) == 10
 _KINDS = np.array([
@@ -194,6 +194,8 @@ def scored(documents: DataFrame, chain: Chain | None, id_col: str = "doc_id", te
     that repeat an id are each scored.
     """
 
+    small_batches(documents.sparkSession)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first, end, data, offsets in text_pieces(batch.column("text")):
@@ -211,6 +213,8 @@ def scored(documents: DataFrame, chain: Chain | None, id_col: str = "doc_id", te
 def without_rejected(documents: DataFrame, chain: Chain | None, text_col: str = "text", least: float = 0.3) -> DataFrame:
     """The rows of ``documents`` whose score is at least ``least``, in one pass and with all columns."""
 
+    small_batches(documents.sparkSession)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = []

@@ -27,6 +27,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import small_batches
+
 #: The character that stands for a space, and most words whose counts a task keeps.
 SPACE, KEPT = "▁", 300_000
 PENALTY = 10.0
@@ -137,6 +139,7 @@ def token_counts(documents: DataFrame, pieces: list[tuple[str, float]], byte_fal
     repeat an id are each counted; a null id is kept.
     """
     docs = documents.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    small_batches(documents.sparkSession)
     held = documents.sparkSession.sparkContext.broadcast((pieces, byte_fallback, prefix))  # as large as the vocabulary
     name = uuid.uuid4().hex
 
