@@ -414,7 +414,7 @@ def historical_market_cap(spark, d):
     records = samples.prices(spark, d).select(
         "symbol", F.col("price_date").cast("string").alias("date"), (F.col("volume") * 1000).alias("marketCap")
     )
-    return landing.historical_market_cap(records, "1999-01-01", "2000-12-31")
+    return landing.historical_market_cap(records, "1999-01-01", "2000-12-31", limit=100)
 
 
 @query(
