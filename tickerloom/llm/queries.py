@@ -78,7 +78,7 @@ def op9(spark: SparkSession, folder: str) -> DataFrame:
 @query("op2_fuzzy_line_dedup")
 def op2(spark: SparkSession, folder: str) -> DataFrame:
     """Every line that repeats an earlier one, with that one."""
-    found = line_dedup.repeated_lines(_table(spark, folder, "documents"))
+    found = line_dedup.repeated_lines(_table(spark, folder, "documents"), radius=None)
     return found.select("doc_id", "line_no", F.col("first_id").alias("first_doc_id"), "first_line_no")
 
 
