@@ -80,3 +80,22 @@ def test_weights_must_fit():
         pfair.shares({"a": 0}, 10)
     with pytest.raises(ValueError):
         pfair.shares({str(k): 1 for k in range(11)}, 10)
+
+
+@pytest.mark.parametrize("weights", [{str(k): 0.5 if k == 0 else 0.5 / 19 for k in range(20)}, {"a": 0.2029, "b": 0.7, "c": 0.0971}])
+def test_given_weights_hold_over_many_periods(spark, weights):
+    docs = spark.createDataFrame([(k, s, "x" * 10) for s, w in weights.items() for k in range(int(w * 6000) + 1)], "doc_id long, source string, text string")
+    got = pfair.mixed_order(docs, weights, block=10).where("in_mix").select("slot", "source").distinct().orderBy("slot").collect()
+    done, total = Counter(), sum(Fraction(str(w)) for w in weights.values())
+    for t, r in enumerate(got, 1):
+        assert r.slot == t - 1
+        done[r.source] += 1
+        if t % 97 == 0 or t > len(got) - 50:
+            assert all(abs(done[s] - Fraction(str(w)) / total * t) < 1 for s, w in weights.items())
+    assert len(got) > 5000
+
+
+def test_shares_follow_weights():
+    assert pfair.shares({"a": 0.5, "b": 0.2, "c": 0.2, "d": 0.1}, 50) == {"a": 25, "b": 10, "c": 10, "d": 5}
+    assert pfair.shares({"a": 0.5} | {str(k): Fraction(1, 38) for k in range(19)}, 1000)["a"] == 500
+    assert pfair.shares({"a": 998, "b": 1, "c": 0.001}, 10) == {"a": 8, "b": 1, "c": 1}

@@ -6,56 +6,100 @@ and must have run by slot ``ceil((j + 1) / w)``; in every slot the released bloc
 earliest deadline runs. With weights that sum to 1 no deadline is missed, so after ``t`` slots
 every source has run more than ``w t - 1`` and fewer than ``w t + 1`` blocks.
 
-Weights are made multiples of ``1 / period``, so windows and schedule repeat after ``period``
-slots. One period is scheduled on the driver, a table of ``period`` rows whatever the corpus;
-block ``j`` then runs in slot ``j // share * period + slot[j % share]``. Block numbers come
-from running sums within buckets of documents and over buckets, so no source, however large,
-is in one task.
+Weights are taken as they are, in whole numbers of any size, so windows never drift from the
+target weights however long the corpus is and however many sources it has. Blocks are
+scheduled on the driver, which holds one block of each source; every ``period`` slots, or more
+if there are more sources, are written to the shared folder, and documents are joined to the
+blocks. Block numbers come from running sums within buckets of documents and over buckets, so
+no source, however large, is in one task.
 """
 
 from __future__ import annotations
 
 import heapq
+from collections.abc import Iterator
 from fractions import Fraction
+from itertools import batched, islice
+from math import lcm
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import work_dir
+
 #: Documents in a bucket on average.
 BUCKET = 5000
+#: Blocks that are written at once at least.
+WRITTEN = 50_000
 
 
 def shares(weights: dict, period: int) -> dict:
     """Whole numbers that sum to ``period``, in proportion to the weights, each at least 1.
 
-    Largest remainders are rounded up first, ties in order of the names.
+    Largest remainders are rounded up first, ties in order of the names. They are for schedules
+    that must repeat after a period; ``mixed_order`` doesn't round.
     """
     if any(w <= 0 for w in weights.values()):
         raise ValueError("weights must be above 0")
     if len(weights) > period:
         raise ValueError(f"{len(weights)} sources need a period of as many slots at least")
-    total = sum(map(Fraction, weights.values()))
-    exact = {s: Fraction(w) * (period - len(weights)) / total + 1 for s, w in weights.items()}
-    out = {s: int(x) for s, x in exact.items()}
-    for s in sorted(exact, key=lambda s: (out[s] - exact[s], str(s)))[: period - sum(out.values())]:
+    whole, free, out = exact(weights), period, {}
+    # sources of less than a slot get one, the others share what is left in proportion
+    left = sum(whole.values())
+    for s in sorted(whole, key=lambda s: whole[s]):
+        if whole[s] * free >= left:
+            break
+        out[s], free, left = 1, free - 1, left - whole[s]
+    rest = {s: Fraction(n * free, left) for s, n in whole.items() if s not in out}
+    out |= {s: int(x) for s, x in rest.items()}
+    for s in sorted(rest, key=lambda s: (out[s] - rest[s], str(s)))[: period - sum(out.values())]:
         out[s] += 1
-    return out
+    return {s: out[s] for s in weights}
 
 
-def schedule(share: dict) -> list:
-    """The source that runs in each slot of a period: earliest deadline first, ties by name."""
-    period = sum(share.values())
-    releases = sorted((j * period // n, -(-(j + 1) * period // n), str(s), s, j) for s, n in share.items() for j in range(n))
-    ready, out, k = [], [], 0
-    for slot in range(period):
-        while k < len(releases) and releases[k][0] <= slot:
-            heapq.heappush(ready, releases[k][1:])
-            k += 1
-        deadline, _, source, _ = heapq.heappop(ready)
+def exact(weights: dict) -> dict:
+    """Whole numbers in exactly the proportion of the weights; a float counts as it is written."""
+    if any(w <= 0 for w in weights.values()):
+        raise ValueError("weights must be above 0")
+    parts = {s: w if isinstance(w, Fraction) else Fraction(str(w)) for s, w in weights.items()}
+    unit = lcm(*(x.denominator for x in parts.values()))
+    return {s: int(x * unit) for s, x in parts.items()}
+
+
+def slots(whole: dict, blocks: dict | None = None) -> Iterator[tuple]:
+    """(slot, source, block, release, deadline), earliest deadline first, ties by name.
+
+    ``whole`` are weights in whole numbers. A source has no end, or as many blocks as ``blocks``
+    says; the first that any source lacks is in the list too, and from there on only blocks that
+    are there.
+    """
+    total = sum(whole.values())
+    window = lambda s, j: (j * total // whole[s], -(-(j + 1) * total // whole[s]))
+    waiting = [(*window(s, 0), str(s), k, s, 0) for k, s in enumerate(whole)]
+    heapq.heapify(waiting)
+    ready, slot, full = [], 0, True
+    while waiting or ready:
+        if not ready and waiting[0][0] > slot:
+            slot = waiting[0][0]
+        while waiting and waiting[0][0] <= slot:
+            release, *job = heapq.heappop(waiting)
+            heapq.heappush(ready, (*job, release))
+        deadline, name, k, s, j, release = heapq.heappop(ready)
+        there = blocks is None or j < blocks[s]
+        if not there and not full:
+            continue
         if deadline <= slot:
             raise AssertionError("a block missed its deadline")
-        out.append(source)
-    return out
+        yield slot, s, j, release, deadline
+        full = full and there
+        if there:
+            heapq.heappush(waiting, (*window(s, j + 1), name, k, s, j + 1))
+        slot += 1
+
+
+def schedule(share: dict) -> list:
+    """The source that runs in each slot of a period of as many slots as the shares sum to."""
+    return [s for _, s, *_ in islice(slots(share), sum(share.values()))]
 
 
 def mixed_order(
@@ -89,17 +133,16 @@ def mixed_order(
         named = {s: float(v[0]) ** power for s, v in totals.items()}
     else:
         named = {s: weights[v[2]] for s, v in totals.items() if v[2] in weights}
-    share = shares(named, period) if named else {}
-    order = schedule(share) if share else []
-    count = dict.fromkeys(share, 0)
-    rows = []
-    for slot, s in enumerate(order):
-        rows.append((s, share[s], count[s], slot))
-        count[s] += 1
-    # the slot of the first block that a source lacks
-    first = {s: [slot for slot, x in enumerate(order) if x == s] for s in share}
-    lacks = {s: -(-totals[s][0] // block) for s in share}
-    end = min((lacks[s] // share[s] * period + first[s][lacks[s] % share[s]] for s in share), default=0)
+    lacks = {s: -(-totals[s][0] // block) for s in named}
+    path, end = work_dir(spark, "blocks"), None
+    kind = "__slot long, __source string, block long, release long, deadline long"
+    spark.createDataFrame([], kind).write.parquet(path)
+    for rows in batched(slots(exact(named), lacks) if named else [], max(period, len(named), WRITTEN)):
+        if end is None:
+            # the slot of the first block that a source lacks
+            end = next((slot for slot, s, j, *_ in rows if j == lacks[s]), None)
+        spark.createDataFrame(list(rows), kind).write.mode("append").parquet(path)
+    end = end or 0
 
     buckets = max(1, sum(v[1] for v in totals.values()) // BUCKET)
     # a bucket is a range of the order, so running sums over buckets and within them make one order
@@ -111,13 +154,7 @@ def mixed_order(
     docs = docs.join(before, ["__source", "__bucket"]).withColumn("__at", F.col("__at") + F.col("__before"))
     docs = docs.withColumns({"block": F.floor(F.col("__at") / block), "place": F.col("__at") % block})
 
-    table = spark.createDataFrame(rows, "__source string, __share long, __in long, __slot long")
-    per = spark.createDataFrame([(s, n) for s, n in share.items()], "__source string, __each long")
-    docs = docs.join(F.broadcast(per), "__source", "left").withColumn("__in", F.col("block") % F.col("__each"))
-    docs = docs.join(F.broadcast(table), ["__source", "__in"], "left")  # at most ``period`` rows
-    slot = F.floor(F.col("block") / F.col("__share")) * period + F.col("__slot")
-    docs = docs.withColumns({
-        "slot": slot, "release": F.floor(F.col("block") * period / F.col("__share")), "deadline": F.ceil((F.col("block") + 1) * period / F.col("__share")),
-        "in_mix": F.coalesce(slot < end, F.lit(False)),
-    })
+    table = spark.read.schema(kind).parquet(path)
+    docs = docs.join(table, ["__source", "block"], "left").withColumn("slot", F.col("__slot"))
+    docs = docs.withColumn("in_mix", F.coalesce(F.col("slot") < end, F.lit(False)))
     return docs.select(*documents.columns, "block", "slot", "place", "release", "deadline", "in_mix")
