@@ -95,6 +95,13 @@ def test_given_weights_hold_over_many_periods(spark, weights):
     assert len(got) > 5000
 
 
+def test_more_sources_than_a_period(spark):
+    df = spark.range(6000).selectExpr("id as doc_id", "concat('host', id % 1500) as source", "repeat('x', 100) as text")
+    got = pfair.mixed_order(df, block=100).collect()
+    assert len({r.slot for r in got}) == len(got) == 6000 and all(r.release <= r.slot < r.deadline for r in got)
+    assert sum(r.in_mix for r in got) == 6000
+
+
 def test_shares_follow_weights():
     assert pfair.shares({"a": 0.5, "b": 0.2, "c": 0.2, "d": 0.1}, 50) == {"a": 25, "b": 10, "c": 10, "d": 5}
     assert pfair.shares({"a": 0.5} | {str(k): Fraction(1, 38) for k in range(19)}, 1000)["a"] == 500
