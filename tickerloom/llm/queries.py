@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, language_id, line_dedup, ngram_join, pfair, quality_crf, span_dedup, token_count, url_filter, vector_dedup
+from . import decontaminate, language_id, line_dedup, merkle, ngram_join, pfair, quality_crf, span_dedup, token_count, url_filter, vector_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -160,3 +160,67 @@ def op3(spark: SparkSession, folder: str) -> DataFrame:
     pages = _table(spark, folder, "pages")
     rules = spark.createDataFrame([(r, v, True) for r, v in RULES], "entry string, verdict string, rule boolean")
     return url_filter.UrlFilter(rules.union(url_filter.labelled_domains(pages, BLOCKED_LABELS))).judge(pages)
+
+
+def _fields(text: str) -> str:
+    values = ["cast(doc_id as varchar)", "source", "lang", "cast(n_chars as varchar)", text]
+    return "sha256(" + " || ".join(f"coalesce(strlen({v}) || ':' || {v}, '-')" for v in values) + ")"
+
+
+#: CRC-32 of a decimal number: by a table of the bytes' remainders, itself made bit by bit.
+_CRC_TABLE = "select list_transform(range(256), lambda b: list_reduce([b] || range(8), lambda c, k: case when c % 2 = 1 then xor(c >> 1, 3988292384) else c >> 1 end)) as t"
+_CRC = (
+    "xor(4294967295, list_reduce([4294967295] || list_transform(string_split(cast(doc_id as varchar), ''), lambda x: cast(ascii(x) as bigint)),"
+    " lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])))"
+)
+
+OP11_SQL = f"""
+with recursive crc as (select t from ({_CRC_TABLE})),
+leaves as (
+  select doc_id, source, {_fields("text")} as leaf,
+    case when {_CRC} % 2 = 0 then {_fields("replace(text, chr(10), '')")} else {_fields("text")} end as found
+  from documents, crc),
+placed as (
+  select *, row_number() over (partition by source order by doc_id nulls first, leaf) - 1 as i, count(*) over (partition by source) as n
+  from leaves),
+nodes as (
+  select 0 as lvl, source, i, n, leaf as h from placed
+  union all
+  select lvl + 1, source, i // 3, any_value((n + 2) // 3), sha256(string_agg(h, '' order by i))
+  from nodes where n > 1 group by lvl, source, i // 3),
+subroots as (
+  select source, h as subroot, row_number() over (order by source nulls first) - 1 as i, count(*) over () as n
+  from nodes where n = 1),
+tops as (
+  select 0 as lvl, i, n, subroot as h from subroots
+  union all
+  select lvl + 1, i // 3, any_value((n + 2) // 3), sha256(string_agg(h, '' order by i)) from tops where n > 1 group by lvl, i // 3),
+runs as (select lvl, source, i // 3 as run, list(h order by i) as hs from nodes where n > 1 group by lvl, source, i // 3),
+top_runs as (select lvl, i // 3 as run, list(h order by i) as hs from tops where n > 1 group by lvl, i // 3),
+up as (
+  select doc_id, source, leaf, 0 as lvl, i, n, found as now, '' as proof from placed
+  union all
+  select doc_id, u.source, leaf, u.lvl + 1, i // 3, (n + 2) // 3,
+    sha256(array_to_string(list_transform(hs, lambda h, k: case when k = i % 3 + 1 then now else h end), '')),
+    proof || array_to_string(list_filter(hs, lambda h, k: k <> i % 3 + 1), '')
+  from up u join runs r on r.lvl = u.lvl and r.source is not distinct from u.source and r.run = i // 3 where n > 1),
+over as (
+  select doc_id, leaf, subroot, 0 as lvl, s.i, s.n, now, proof
+  from up u join subroots s on s.source is not distinct from u.source where u.n = 1
+  union all
+  select doc_id, leaf, subroot, o.lvl + 1, i // 3, (n + 2) // 3,
+    sha256(array_to_string(list_transform(hs, lambda h, k: case when k = i % 3 + 1 then now else h end), '')),
+    proof || array_to_string(list_filter(hs, lambda h, k: k <> i % 3 + 1), '')
+  from over o join top_runs r on r.lvl = o.lvl and r.run = i // 3 where n > 1)
+select doc_id, leaf, subroot, t.h as root, sha256(proof) as proof_sha256, now as folded_root, now = t.h as verified
+from over o, tops t where o.n = 1 and t.n = 1
+"""
+
+
+@query("op11_merkle_manifest", OP11_SQL)
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's leaf and proof; half of the documents are checked without their line ends."""
+    tampered = F.when(F.expr("crc32(cast(doc_id as string)) % 2 = 0"), F.translate("text", "\n", "")).otherwise(F.col("text"))
+    out = merkle.manifest(_table(spark, folder, "documents"), found={"text": tampered})
+    proof = F.sha2(merkle.as_text(merkle.siblings(F.col("path"))), 256)
+    return out.select("doc_id", "leaf", "subroot", "root", proof.alias("proof_sha256"), "folded_root", "verified")
