@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, language_id, line_dedup, merkle, ngram_join, pfair, quality_crf, span_dedup, token_count, url_filter, vector_dedup
+from . import decontaminate, language_id, line_dedup, merkle, ngram_join, pfair, quality_crf, span_dedup, token_count, url_filter, vector_dedup, whitening
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -224,3 +224,17 @@ def op11(spark: SparkSession, folder: str) -> DataFrame:
     out = merkle.manifest(_table(spark, folder, "documents"), found={"text": tampered})
     proof = F.sha2(merkle.as_text(merkle.siblings(F.col("path"))), 256)
     return out.select("doc_id", "leaf", "subroot", "root", proof.alias("proof_sha256"), "folded_root", "verified")
+
+
+@query("op12_embedding_whitening")
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    """Every usable vector's coordinate on each of the eight leading components."""
+    vectors = _table(spark, folder, "embeddings")
+    model = whitening.fit(vectors, components=8)
+    error = whitening.identity_error(vectors, model)
+    rows = whitening.whitened(vectors, model).select("vec_id", F.expr("try_cast(deviation as long)").alias("deviation"), F.posexplode("whitened").alias("at", "whitened"))
+    explained = F.element_at(F.array(*map(F.lit, model.explained or [0.0])), F.col("at") + 1)
+    return rows.select(
+        "vec_id", (F.col("at") + 1).alias("component"), F.lit(model.n).cast("long").alias("n"), "deviation", "whitened",
+        explained.alias("explained"), F.lit(error).alias("identity_error"),
+    )
