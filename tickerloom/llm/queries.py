@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, language_id, line_dedup, merkle, ngram_join, pfair, quality_crf, span_dedup, token_count, url_filter, vector_dedup, whitening
+from . import decontaminate, language_id, license_scan, line_dedup, merkle, ngram_join, pfair, quality_crf, span_dedup, token_count, url_filter, vector_dedup, whitening
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -238,3 +238,48 @@ def op12(spark: SparkSession, folder: str) -> DataFrame:
         "vec_id", (F.col("at") + 1).alias("component"), F.lit(model.n).cast("long").alias("n"), "deviation", "whitened",
         explained.alias("explained"), F.lit(error).alias("identity_error"),
     )
+
+
+def _consecutive(words: list[str]) -> str:
+    here = " and ".join(f"w[i + {k}] = '{w}'" for k, w in enumerate(words))
+    return f"list_filter(range(1, len(w) - {len(words) - 2}), lambda i: {here})"
+
+
+_BASE = [t for t in license_scan.TEMPLATES if t.base]
+_EVIDENCE = ", ".join(
+    f"case when regexp_matches(t, '{license_scan.as_pattern(t.text)} ') then {{'label': '{t.label}', 'weight': {t.weight}, 'base': {t.base}}} end"
+    for t in license_scan.TEMPLATES
+)
+_LABELS = "array_to_string(list_sort(list_distinct(list_transform({}, lambda x: x.label))), ',')"
+
+OP13_SQL = rf"""
+with w as (
+  select doc_id, regexp_extract_all(coalesce({_LOWER}, ''), '[0-9a-z\x{{80}}-\x{{10FFFF}}]+') as w from documents),
+t as (
+  select doc_id, len(w) as n_words, flatten([{", ".join(_consecutive(license_scan.words_of(t.text)) for t in _BASE)}]) as places,
+    ' ' || array_to_string(w, ' ') || ' ' as t
+  from w),
+e as (select *, list_filter([{_EVIDENCE}], lambda x: x is not null) as e from t)
+select doc_id, cast(n_words as bigint) as n_words, cast(len(places) as bigint) as n_base,
+  list_min(places) - 1 as first_word, list_max(places) - 1 as last_word,
+  {_LABELS.format("list_filter(e, lambda x: x.base)")} as base_labels, {_LABELS.format("e")} as labels,
+  cast(coalesce(list_max(list_transform(e, lambda x: x.weight)), 0) as double) as score
+from e
+"""
+
+
+@query("op13_license_scan", OP13_SQL)
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    """The license phrases and wordings of every document; the score is the strongest evidence."""
+    found = license_scan.license_places(_table(spark, folder, "documents"), license_scan.TEMPLATES)
+    base = F.filter("places", lambda p: p["base"])
+    starts = F.transform(base, lambda p: p["first"])
+
+    def labels(places):
+        return F.concat_ws(",", F.array_sort(F.array_distinct(F.transform(places, lambda p: p["label"]))))
+
+    return found.select(
+        "doc_id", "n_words", F.size(base).cast("long").alias("n_base"), F.array_min(starts).alias("first_word"), F.array_max(starts).alias("last_word"),
+        labels(base).alias("base_labels"), labels(F.col("places")).alias("labels"),
+        F.coalesce(F.array_max(F.transform("places", lambda p: p["weight"])), F.lit(0.0)).alias("score"),
+    )
