@@ -159,10 +159,10 @@ def stream_upsert(spark, d):
     path, check = ticks.new_paths(spark, "upsert")
     rows = _ticks(spark, d).select("user_id", "event_type", "value", "event_id", "ts", F.to_date("ts").alias("day"))
     keys, order = ["user_id", "event_type", "day"], [F.desc("ts"), F.desc("event_id")]
-    sinks.create_table(spark, path, rows.schema, ["day"])
+    sinks.create_table(spark, path, rows.schema)
     handle = ticks.upsert_batches(path, keys, ["day"], order, rows.schema)
     _finish(ticks.run_batches(rows, handle, check, mode="append"))
-    stored = spark.read.schema(rows.schema).parquet(path)
+    stored = sinks.read_table(spark, path)
     return stored.select(*keys, "value", F.col("ts").cast("timestamp_ntz").alias("ts"))
 
 

@@ -1,8 +1,11 @@
-"""Table writes that stop half way lose no stored row and are completed by the next run."""
+"""Table writes that stop half way leave the old version; the feed of changes loses none."""
+
+from datetime import date
 
 import pytest
+from pyspark.sql import functions as F
 
-from tickerloom.sources import files, sinks
+from tickerloom.sources import files, sinks, versions
 
 SCHEMA = "k long, v string, p int"
 
@@ -13,7 +16,7 @@ def rows(spark, df_or_path):
 
 def table(spark, path):
     old = spark.createDataFrame([(k, "old", k % 3) for k in range(12)], SCHEMA)
-    sinks.create_table(spark, path, old.schema, ["p"])
+    sinks.create_table(spark, path, old.schema)
     sinks.replace_partitions(old, path, ["p"])
     return old.schema
 
@@ -30,10 +33,15 @@ class Stop(Exception):
     pass
 
 
-@pytest.mark.parametrize("step", range(8))
+OLD = sorted((k, "old", k % 3) for k in range(12))
+STEPS = ("delete", "exists", "children", "mark", "read_text", "write_new")
+
+
+@pytest.mark.parametrize("step", range(11))
 def test_stopped_at_any_step_and_run_again(spark, tmp_path, monkeypatch, step):
     path = str(tmp_path / "t")
     schema = table(spark, path)
+    versions.advance(spark, path, "reader", versions.newest(spark, path).number)
     count = [0]
 
     def stopping(real):
@@ -45,44 +53,161 @@ def test_stopped_at_any_step_and_run_again(spark, tmp_path, monkeypatch, step):
 
         return call
 
-    for name in ("delete", "mark", "exists"):
+    for name in STEPS:
         monkeypatch.setattr(files, name, stopping(getattr(files, name)))
     try:
         upsert(spark, path, schema)
     except Stop:
         pass
     monkeypatch.undo()
-    read = rows(spark, sinks.read_table(spark, path, schema, ["p"]))
-    assert len(read) >= 12 and {k for k, *_ in read} >= set(range(12))
+    # old or new as a whole, and the feed tells which
+    read = rows(spark, sinks.read_table(spark, path))
+    listed = {r.k for r in versions.changes(spark, path, schema, "reader")[0].collect()}
+    assert (read, listed) in ((OLD, set()), (WANT, {1, 4, 99}))
+    upsert(spark, path, schema)
+    assert rows(spark, sinks.read_table(spark, path)) == WANT
+    feed, upto = versions.changes(spark, path, schema, "reader")
+    assert {r.k for r in feed.collect()} == {1, 4, 99}
+    versions.advance(spark, path, "reader", upto)
+    assert versions.changes(spark, path, schema, "reader")[0].count() == 0
+
+
+def test_readers_see_one_version_throughout_every_write(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    schema = table(spark, path)
+    before, seen = sinks.read_table(spark, path), []
+
+    def looking(real):
+        def call(*a, **b):
+            monkeypatch.undo()
+            seen.append(rows(spark, sinks.read_table(spark, path)))
+            watch()
+            return real(*a, **b)
+
+        return call
+
+    def watch():
+        for name in STEPS:
+            monkeypatch.setattr(files, name, looking(getattr(files, name)))
+
+    watch()
     upsert(spark, path, schema)
-    assert rows(spark, sinks.read_table(spark, path, schema, ["p"])) == WANT
-    assert not files.exists(spark, f"{path}/{sinks.PENDING}")
+    monkeypatch.undo()
+    assert len(seen) >= 10 and all(state in (OLD, WANT) for state in seen)
+    assert seen == sorted(seen, key=lambda state: state == WANT)
+    # a frame made before the write still reads what was there then
+    assert rows(spark, before) == OLD and rows(spark, sinks.read_table(spark, path)) == WANT
 
 
-def test_partitions_removed_but_not_yet_written(spark, tmp_path):
-    """The writer removes a partition's folder before it moves the new one in."""
+def test_folders_of_stopped_writes_are_removed(spark, tmp_path, monkeypatch):
     path = str(tmp_path / "t")
     schema = table(spark, path)
-    new = spark.createDataFrame([(1, "new", 1), (4, "new", 1), (7, "old", 1), (10, "old", 1)], SCHEMA)
-    new.write.parquet(f"{path}/{sinks.PENDING}/rows")
-    files.mark(spark, f"{path}/{sinks.PENDING}/whole")
-    files.delete(spark, f"{path}/p=1")
+    monkeypatch.setattr(files, "write_new", lambda *a: (_ for _ in ()).throw(Stop()))
+    with pytest.raises(Stop):
+        upsert(spark, path, schema)
+    monkeypatch.undo()
+    assert len(files.children(spark, f"{path}/data")) == 2
     upsert(spark, path, schema)
-    assert rows(spark, sinks.read_table(spark, path, schema, ["p"])) == WANT
+    assert len(files.children(spark, f"{path}/data")) == 2 and rows(spark, sinks.read_table(spark, path)) == WANT
 
 
-def test_work_folders_are_removed_and_changes_listed(spark, tmp_path):
+def test_untouched_partitions_keep_their_folders(spark, tmp_path):
     path = str(tmp_path / "t")
     schema = table(spark, path)
+    first = versions.newest(spark, path)
     shared = spark.conf.get("spark.checkpoint.dir")
     before = files.children(spark, shared)
-    counts = upsert(spark, path, schema, changed_to=str(tmp_path / "changed"))
-    assert counts == {"inserted": 1, "updated": 2, "unchanged": 6}
+    assert upsert(spark, path, schema) == {"inserted": 1, "updated": 2, "unchanged": 6}
     assert files.children(spark, shared) == before
-    assert {r.k for r in spark.read.parquet(str(tmp_path / "changed")).collect()} == {1, 4, 99}
-    untouched = files.children(spark, f"{path}/p=2")
+    second = versions.newest(spark, path)
+    assert second.folders["p=2"] == first.folders["p=2"] and second.folders["p=1"] != first.folders["p=1"]
+    # nothing differs now: no new version, no new folder
+    kept = files.children(spark, f"{path}/data")
+    assert upsert(spark, path, schema) == {"inserted": 0, "updated": 0, "unchanged": 9}
+    assert versions.newest(spark, path) == second
+    versions.tidy(spark, path)
+    assert files.children(spark, f"{path}/data") == kept
+
+
+def test_a_consumer_gets_each_change_until_it_moves_on(spark, tmp_path):
+    path = str(tmp_path / "t")
+    schema = table(spark, path)
+
+    def feed(consumer="c"):
+        df, upto = versions.changes(spark, path, schema, consumer)
+        return sorted(r.k for r in df.collect()), upto
+
+    everything, upto = feed()
+    assert everything == list(range(12))
+    versions.advance(spark, path, "c", upto)
+    assert feed() == ([], upto)
+    for v in ("one", "two"):
+        source = spark.createDataFrame([(1, v, 1), (2, "old", 2)], SCHEMA)
+        sinks.upsert_table(spark, path, source, ["k"], ["p"], ["v"], schema=schema)
+    assert feed()[0] == [1, 1] == feed()[0]
+    versions.advance(spark, path, "c", feed()[1])
+    # a replaced partition counts as changed, unless its rows say what was done
+    sinks.replace_partitions(spark.createDataFrame([(1, "x", 1)], SCHEMA), path, ["p"])
+    marked = spark.createDataFrame([(2, "old", 2, "N"), (5, "y", 2, "U")], SCHEMA + ", _action string")
+    sinks.replace_partitions(marked, path, ["p"])
+    assert feed()[0] == [1, 5] and sinks.read_table(spark, path).columns == ["k", "v", "p"]
+
+
+def test_versions_a_consumer_needs_are_kept(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(versions, "KEEP", 2)
+    path = str(tmp_path / "t")
+    schema = table(spark, path)
+    versions.advance(spark, path, "slow", versions.newest(spark, path).number)
+
+    def load(k):
+        sinks.upsert_table(spark, path, spark.createDataFrame([(k, "v", 0)], SCHEMA), ["k"], ["p"], ["v"], schema=schema)
+
+    for k in range(100, 106):
+        load(k)
+    assert sorted(r.k for r in versions.changes(spark, path, schema, "slow")[0].collect()) == list(range(100, 106))
+    versions.forget(spark, path, "slow")
+    load(106)
+    load(107)
+    assert len(versions.numbers(spark, path)) == 3 and len(files.children(spark, f"{path}/data")) <= 5
+    # who comes back after its versions are gone gets the whole table
+    versions.advance(spark, path, "late", 2)
+    assert versions.changes(spark, path, schema, "late")[0].count() == sinks.read_table(spark, path).count() == 20
+
+
+def test_a_batch_is_written_once(spark, tmp_path):
+    path = str(tmp_path / "t")
+    schema = table(spark, path)
+    assert upsert(spark, path, schema, batch=("stream", 4))["updated"] == 2
+    other = spark.createDataFrame([(1, "again", 1)], SCHEMA)
+    for batch, updated in ((("stream", 4), 0), (("stream", 3), 0), (("other", 1), 1), (("stream", 5), 0)):
+        assert sinks.upsert_table(spark, path, other, ["k"], ["p"], ["v"], schema=schema, batch=batch)["updated"] == updated
+    assert versions.newest(spark, path).batches == {"stream": 5, "other": 1}
+
+
+def test_the_second_of_two_writers_fails(spark, tmp_path):
+    path = str(tmp_path / "t")
+    schema = table(spark, path)
+    known = versions.newest(spark, path)
     upsert(spark, path, schema)
-    assert files.children(spark, f"{path}/p=2") == untouched
+    with pytest.raises(FileExistsError):
+        versions.publish(spark, path, known, schema, "_version=vx", ["p=1"])
+    assert rows(spark, sinks.read_table(spark, path)) == WANT
+
+
+def test_odd_partition_values_and_none(spark, tmp_path):
+    path, schema = str(tmp_path / "t"), "k long, v string, p string, q date"
+    some = [(1, "a", None, date(2024, 1, 1)), (2, "b", "x/y=z %", None), (3, "c", "ä:#", date(2024, 1, 2))]
+    source = spark.createDataFrame(some, schema)
+    sinks.create_table(spark, path, source.schema)
+    for _ in range(2):
+        sinks.upsert_table(spark, path, source, ["k"], ["p", "q"], ["v"])
+    assert sorted(map(tuple, sinks.read_table(spark, path).collect()), key=repr) == sorted(some, key=repr)
+    changed = sinks.upsert_table(spark, path, source.where("k = 2").withColumn("v", F.lit("new")), ["k"], ["p", "q"], ["v"])
+    assert changed == {"inserted": 0, "updated": 1, "unchanged": 0}
+    empty = str(tmp_path / "empty")
+    sinks.create_table(spark, empty, source.schema)
+    assert sinks.upsert_table(spark, empty, source.limit(0), ["k"], ["p", "q"], ["v"])["inserted"] == 0
+    assert sinks.read_table(spark, empty).count() == 0
 
 
 def test_contest_keeps_the_row_that_comes_first(spark, tmp_path):
@@ -90,13 +215,14 @@ def test_contest_keeps_the_row_that_comes_first(spark, tmp_path):
     schema = table(spark, path)
     source = spark.createDataFrame([(1, "zzz", 1), (2, "aaa", 2), (50, "new", 2)], SCHEMA)
     sinks.upsert_table(spark, path, source, ["k"], ["p"], ["v"], schema=schema, contest=True)
-    got = {k: v for k, v, _ in rows(spark, sinks.read_table(spark, path, schema, ["p"]))}
+    got = {k: v for k, v, _ in rows(spark, sinks.read_table(spark, path))}
     assert (got[1], got[2], got[50], got[0], len(got)) == ("old", "aaa", "new", "old", 13)
 
 
 def test_few_files_for_each_partition(spark, tmp_path):
     path = str(tmp_path / "t")
     many = spark.range(0, 4000, 1, 64).selectExpr("id as k", "'x' as v", "cast(id % 7 as int) as p")
-    sinks.create_table(spark, path, many.schema, ["p"])
+    sinks.create_table(spark, path, many.schema)
     sinks.replace_partitions(many, path, ["p"])
-    assert all(len([f for f in files.children(spark, f"{path}/p={p}") if f.startswith("part")]) == 1 for p in range(7))
+    folder = versions.newest(spark, path).folders["p=3"]
+    assert all(len([f for f in files.children(spark, f"{path}/data/{folder}/p={p}") if f.startswith("part")]) == 1 for p in range(7))

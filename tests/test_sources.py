@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tickerloom import schemas
-from tickerloom.sources import landing, mapping, sinks
+from tickerloom.sources import landing, mapping, sinks, versions
 
 AT = datetime(2024, 1, 1, 6)
 
@@ -158,16 +158,16 @@ def test_append_counts(spark, tmp_path):
 
 
 def test_upsert_table_rewrites_only_touched_partitions(spark, tmp_path):
-    path = tmp_path / "t"
+    path = str(tmp_path / "t")
     start = prices(spark, [("A", date(2022, 1, 1), 1, 0), ("A", date(2023, 1, 1), 2, 0), ("B", date(2023, 1, 1), 3, 0), ("A", date(2024, 1, 1), 4, 0)])
-    start.coalesce(1).write.partitionBy("year").parquet(str(path))
-    untouched = {p.name for y in (2022, 2024) for p in (path / f"year={y}").iterdir()}
+    sinks.replace_partitions(start, path, ["year"])
+    untouched = [versions.newest(spark, path).folders[f"year={y}"] for y in (2022, 2024)]
     coming = prices(spark, [("A", date(2023, 1, 1), 20, 1), ("A", date(2023, 1, 1), 19, 0), ("C", date(2023, 5, 1), 30, 0), ("C", date(2025, 1, 1), 31, 0)])
-    args = (spark, str(path), coming, ["symbol", "day"], ["year"], [F.desc("at")])
+    args = (spark, path, coming, ["symbol", "day"], ["year"], [F.desc("at")])
     assert sinks.upsert_table(*args) == {"inserted": 2, "updated": 1, "unchanged": 1}
-    got = sorted((r.symbol, str(r.day), r.close) for r in spark.read.parquet(str(path)).collect())
+    got = sorted((r.symbol, str(r.day), r.close) for r in sinks.read_table(spark, path).collect())
     assert got == [("A", "2022-01-01", 1), ("A", "2023-01-01", 20), ("A", "2024-01-01", 4), ("B", "2023-01-01", 3), ("C", "2023-05-01", 30), ("C", "2025-01-01", 31)]
-    assert untouched == {p.name for y in (2022, 2024) for p in (path / f"year={y}").iterdir()}
+    assert untouched == [versions.newest(spark, path).folders[f"year={y}"] for y in (2022, 2024)]
     assert sinks.upsert_table(*args)["unchanged"] == 4
 
 
@@ -182,7 +182,7 @@ def test_replace_partitions_and_backfill(spark, tmp_path):
     for _ in range(2):
         n = sinks.backfill(lambda a, b: build(a, b).withColumn("d", F.col("day")), date(2024, 1, 1), date(2024, 1, 10), path, ["day"], 4)
         assert n == 10
-    assert spark.read.parquet(path).count() == 10
+    assert sinks.read_table(spark, path).count() == 10
 
 
 def test_archive(spark, tmp_path):

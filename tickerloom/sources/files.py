@@ -1,7 +1,9 @@
-"""Folders of whatever file system a path names: exists, delete, mark."""
+"""Folders and small files of whatever file system a path names."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import SparkSession
 
 
@@ -33,3 +35,26 @@ def children(spark: SparkSession, path: str) -> list[str]:
     if not fs.exists(where):
         return []
     return sorted(s.getPath().getName() for s in fs.listStatus(where))
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    fs, where = _at(spark, path)
+    stream = fs.open(where)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def write_new(spark: SparkSession, path: str, text: str) -> None:
+    """A file that appears whole or not at all, and never takes the place of another."""
+    fs, where = _at(spark, path)
+    _, draft = _at(spark, f"{path}.{uuid.uuid4().hex}.draft")
+    stream = fs.create(draft, False)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+    if fs.exists(where) or not fs.rename(draft, where):
+        fs.delete(draft, False)
+        raise FileExistsError(path)

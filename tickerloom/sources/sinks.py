@@ -11,8 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.keyed import latest, merged, split_by_age
-from ..session import work_dir
-from . import files
+from . import files, versions
 
 
 def counted(df: DataFrame, name: str = "rows") -> tuple[DataFrame, Observation]:
@@ -52,50 +51,26 @@ def laid_out(
     return spread_out.sortWithinPartitions(*cluster, *sort)
 
 
-# Rows that are about to replace partitions lie here until they have; readers of the table
-# don't see folders whose name begins with an underscore.
-PENDING = "_pending"
+def replace_partitions(df: DataFrame, path: str, partition_by: Sequence[str], batch: tuple[str, int] | None = None) -> None:
+    """Overwrite the partitions that occur in ``df`` and leave the others, in one version.
 
-
-def replace_partitions(df: DataFrame, path: str, partition_by: Sequence[str]) -> None:
-    """Overwrite the partitions that occur in ``df`` and leave the others.
-
-    The rows are staged in the table's folder first and marked as whole, then they replace
-    the partitions from there. A failure before the mark leaves the table as it was; after
-    it, ``finish`` brings the table to its new state from the staged rows. One writer at a time.
-
-    Rows are dealt out by partition, so that a task writes few of them; the adaptive planner
-    divides a large partition over several tasks.
+    The rows are written once, to a folder of their own; the manifest that names it appears last
+    (see ``versions``). A failure at any point leaves the table as it was. The feed of changes has
+    all rows as changed, or those that ``df`` marks in the column ``_action``.
     """
     spark = df.sparkSession
-    finish(spark, path, partition_by)
-    df.hint("rebalance", *[F.col(c) for c in partition_by]).write.mode("overwrite").parquet(f"{path}/{PENDING}/rows")
-    files.mark(spark, f"{path}/{PENDING}/whole")
-    finish(spark, path, partition_by)
-
-
-def finish(spark: SparkSession, path: str, partition_by: Sequence[str]) -> None:
-    """Complete a replacement that was interrupted; what was not staged whole is dropped."""
-    if not files.exists(spark, f"{path}/{PENDING}"):
+    known = versions.newest(spark, path)
+    if versions.written(known, batch):
         return
-    if files.exists(spark, f"{path}/{PENDING}/whole"):
-        rows = spark.read.parquet(f"{path}/{PENDING}/rows")
-        (
-            rows.hint("rebalance", *[F.col(c) for c in partition_by])
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(*partition_by)
-            .parquet(path)
-        )
-        # the mark goes first: rows without it are never taken for whole
-        files.delete(spark, f"{path}/{PENDING}/whole")
-    files.delete(spark, f"{path}/{PENDING}")
+    columns = T.StructType([f for f in df.schema.fields if f.name != versions.ACTION])
+    folder, partitions = versions.write(df, path, partition_by)
+    if partitions or batch:
+        versions.publish(spark, path, known, columns, folder, partitions, batch)
 
 
-def read_table(spark: SparkSession, path: str, schema: T.StructType, partition_by: Sequence[str]) -> DataFrame:
-    """A partitioned table, after any interrupted replacement of its partitions is completed."""
-    finish(spark, path, partition_by)
-    return spark.read.schema(schema).parquet(path)
+def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+    """A table of versions as it is now; later writes don't change what the frame reads."""
+    return versions.read(spark, path, schema)
 
 
 def copy_table(spark: SparkSession, source: str, target: str) -> None:
@@ -112,63 +87,61 @@ def upsert_table(
     update: Sequence[str] | None = None,
     schema: T.StructType | None = None,
     contest: bool = False,
-    changed_to: str | None = None,
+    batch: tuple[str, int] | None = None,
 ) -> dict[str, int]:
     """Upsert into a partitioned table, reading and rewriting only the partitions touched.
 
-    ``partition_by`` must follow from ``keys``, so a row never changes partition. The
-    source is written to the shared work folder once, and removed at the end. The range of
-    its partition values prunes the table before it is listed, and a semi-join keeps the
-    partitions that occur. The merged rows replace the partitions through
-    ``replace_partitions``: after a failure at any point, running the same upsert again gives
-    the same table and loses no stored row. ``schema`` is needed while the table may still be
-    empty.
+    ``partition_by`` must follow from ``keys``, so a row never changes partition. The source's
+    partitions, a short list, tell which folders of the table are read. The merged rows are written
+    once; partitions in which no row differs keep their folders, and the others are switched
+    together (see ``versions``). After a failure at any point, running the same upsert again gives
+    the same table, and consumers of its changes get each of them. ``schema`` is needed for a new table.
 
-    With ``contest`` a stored row stays if it comes first in ``order``. Inserted and updated
-    rows are written to the folder ``changed_to`` before the table changes.
+    With ``contest`` a stored row stays if it comes first in ``order``. A ``batch``, a writer's name
+    and a rising number, is written once however often it is repeated.
     """
-    base = work_dir(spark, "upsert")
-    columns = schema or spark.read.parquet(path).schema
+    known = versions.newest(spark, path)
+    if versions.written(known, batch):
+        return {"inserted": 0, "updated": 0, "unchanged": 0}
+    columns = schema or known.columns
     source = source.select(*[F.col(c).cast(columns[c].dataType).alias(c) for c in source.columns])
-    latest(source, keys, order).write.parquet(f"{base}/source")
-    coming = spark.read.schema(source.schema).parquet(f"{base}/source")
-    target = read_table(spark, path, columns, partition_by)
-
-    touched = coming.select(*partition_by).distinct()
-    in_range = target
-    for c in partition_by:
-        low, high = coming.agg(F.min(c)).scalar(), coming.agg(F.max(c)).scalar()
-        in_range = in_range.where((F.col(c) >= low) & (F.col(c) <= high))
-    affected = in_range.join(touched, list(partition_by), "left_semi").select(*columns.names)
-    if contest:
-        both = affected.select(*source.columns, F.lit(False).alias("_new")).unionByName(coming.withColumn("_new", F.lit(True)))
-        coming = latest(both, keys, [*order, "_new"]).where("_new").drop("_new")
-
-    rows = merged(affected, coming, keys, update)
-    seen = Observation("upsert")
-    a = F.col("_action")
-    rows = rows.observe(
-        seen,
-        F.count_if(a == "I").alias("inserted"),
-        F.count_if(a == "U").alias("updated"),
-        F.count_if(a == "N").alias("unchanged"),
-    )
-    rows.write.parquet(f"{base}/merged")
-    staged = spark.read.schema(T.StructType(list(columns.fields)).add("_action", T.StringType())).parquet(f"{base}/merged")
-    if changed_to is not None:
-        staged.where("_action != 'N'").drop("_action").write.mode("overwrite").parquet(changed_to)
-    counts = dict(seen.get)
-    if counts["inserted"] or counts["updated"]:
-        # only partitions in which something differs are written again
-        differing = staged.where("_action != 'N'").select(*partition_by).distinct()
-        replace_partitions(staged.drop("_action").join(differing, list(partition_by), "left_semi").select(*columns.names), path, partition_by)
-    files.delete(spark, base)
-    return counts
-
-
-def create_table(spark: SparkSession, path: str, schema: T.StructType, partition_by: Sequence[str] = ()) -> None:
-    """An empty table, unless something is stored there."""
-    spark.createDataFrame([], schema).write.mode("ignore").partitionBy(*partition_by).parquet(path)
+    coming = latest(source, keys, order)
+    if known.folders:
+        # used for the list of partitions and for the merge; a lost part is computed again
+        coming = coming.persist()
+    try:
+        touched = versions.stored_as(known, versions.partition_names(coming, partition_by)) if known.folders else []
+        affected = versions.frame(spark, path, columns, known.pairs(touched))
+        winners = coming
+        if contest and touched:
+            both = affected.select(*source.columns, F.lit(False).alias("_new")).unionByName(coming.withColumn("_new", F.lit(True)))
+            winners = latest(both, keys, [*order, "_new"]).where("_new").drop("_new")
+        folder, partitions = versions.write(merged(affected, winners, keys, update, action=versions.ACTION), path, partition_by)
+    finally:
+        if known.folders:
+            coming.unpersist()
+
+    done = versions.frame(spark, path, T.StructType([*columns.fields, T.StructField(versions.ACTION, T.StringType())]), [(p, folder) for p in partitions])
+    by = [F.col(c).cast("string") for c in partition_by]
+    # as many rows as there are partitions and actions
+    counts, differing = dict.fromkeys("IUN", 0), set()
+    for row in done.groupBy(*by, versions.ACTION).agg(F.count(F.lit(1)).alias("rows")).collect():
+        *values, action, rows = row
+        counts[action] += rows
+        if action != "N":
+            differing.add(versions.partition_name(dict(zip(partition_by, values))))
+    fresh = versions.Version(0, {}, dict.fromkeys(partitions, folder))
+    changed = versions.stored_as(fresh, differing)
+    for p in set(partitions) - set(changed):
+        files.delete(spark, f"{path}/{versions.DATA}/{folder}/{p}")
+    if changed or batch:
+        versions.publish(spark, path, known, columns, folder, changed, batch)
+    return {"inserted": counts["I"], "updated": counts["U"], "unchanged": counts["N"]}
+
+
+def create_table(spark: SparkSession, path: str, schema: T.StructType) -> None:
+    """An empty table of versions, unless there is one."""
+    versions.create(spark, path, schema)
 
 
 def date_slices(start: date, end: date, days: int = 90) -> Iterator[tuple[date, date]]:
@@ -191,7 +164,7 @@ def backfill(
 
     Slices bound the work of one job. Where that is not needed, one slice over the whole
     range is faster. ``partition_by`` must not be coarser than a slice. A slice that was
-    interrupted is completed or left out as a whole, see ``replace_partitions``.
+    interrupted is left out as a whole, see ``replace_partitions``.
     """
     total = 0
     for low, high in date_slices(start, end, days):
