@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from tickerloom.operators import quality
 from tickerloom.sources import samples, sinks
-from tickerloom.streaming import ticks
+from tickerloom.streaming import state, ticks
 
 from .registry import query
 
@@ -166,6 +166,90 @@ def stream_upsert(spark, d):
     return stored.select(*keys, "value", F.col("ts").cast("timestamp_ntz").alias("ts"))
 
 
+def _arriving(spark, d, arrival, n):
+    """The events as a stream of ``n`` files that arrive one after the other."""
+    path, _ = ticks.new_paths(spark, "arrivals")
+    events = samples.table(spark, d, "events").select(*SCHEMA.names)
+    for k in range(n):
+        events.where(F.expr(arrival) == k).coalesce(1).write.mode("append").parquet(path)
+    stream = ticks.file_ticks(spark, path, SCHEMA, files_per_trigger=1)
+    return stream.withColumns({"ts": F.col("ts").cast("timestamp"), "price": F.col("value").cast("decimal(12,2)")})
+
+
+# ten files of three days each; a seventh of the ticks comes nine days late
+_TEN = "least(9, (day(ts) - 1) div 3 + case when event_id % 7 = 0 then 3 else 0 end)"
+
+
+def _user_bars(df):
+    return state.partial_bars(df, ["user_id"], "value", F.col("event_id") % 100, "event_id")
+
+
+def _as_bars(rows):
+    return rows.select("user_id", F.col("bar_start").cast("date").alias("bar_date"), "open_price", "high_price", "low_price", "close_price", "volume")
+
+
+@query("stream_bars_merged", _BARS)
+def stream_bars_merged(spark, d):
+    """Ten batches, late ticks among them, merged into one row per bar."""
+    out, check = ticks.new_paths(spark, "merged")
+    handle = state.merged_batches(out, _user_bars, ["user_id", "bar_start"], state.BAR_STATES)
+    _finish(ticks.run_batches(_arriving(spark, d, _TEN, 10), handle, check, mode="append"))
+    return _as_bars(sinks.read_table(spark, out))
+
+
+@query("stream_bars_restarted", _BARS)
+def stream_bars_restarted(spark, d):
+    """Two files a batch by the clock, stopped after the second batch and started again."""
+    out, check = ticks.new_paths(spark, "restarted")
+    stream = _arriving(spark, d, _TEN, 10)
+    handle = state.merged_batches(out, _user_bars, ["user_id", "bar_start"], state.BAR_STATES)
+    running = ticks.run_batches(stream, handle, check, mode="append", every="100 milliseconds")
+    ticks.after_batches(running, 2).stop()
+    _finish(ticks.run_batches(stream, handle, check, mode="append"))
+    return _as_bars(sinks.read_table(spark, out))
+
+
+@query(
+    "stream_averages_merged",
+    """select event_type, window_start, cast(sum(cast(value as decimal(12,2))) as double) / count(*) as average, count(*) as ticks
+      from (select event_type, value, unnest(generate_series(time_bucket(interval 6 hour, ts) - interval 18 hour, time_bucket(interval 6 hour, ts), interval 6 hour)) as window_start from events)
+      group by 1, 2""",
+)
+def stream_averages_merged(spark, d):
+    """Sliding averages over ten batches, late ticks among them."""
+    out, check = ticks.new_paths(spark, "averages")
+    partial = lambda df: state.partial_averages(df, ["event_type"], "price", "1 day", "6 hours")
+    handle = state.merged_batches(out, partial, ["event_type", "window_start", "window_end"], state.AVERAGE_STATES)
+    _finish(ticks.run_batches(_arriving(spark, d, _TEN, 10), handle, check, mode="append"))
+    return sinks.read_table(spark, out).select(
+        "event_type", F.col("window_start").cast("timestamp_ntz").alias("window_start"),
+        (F.col("price_sum").cast("double") / F.col("ticks")).alias("average"), "ticks",
+    )
+
+
+# six files of five days each; a tenth of the ticks comes ten days late
+_SIX = "least(5, (day(ts) - 1) {div} 5 + case when event_id % 10 = 3 then 2 else 0 end)"
+
+
+@query(
+    "stream_late_rows",
+    f"""select event_id, user_id, ts, coalesce(ts < newest - interval 5 day, false) as late
+      from (select *, max(ts) over (partition by user_id order by arrival range between unbounded preceding and 1 preceding) as newest
+        from (select *, {_SIX.format(div="//")} as arrival from events))""",
+)
+def stream_late_rows(spark, d):
+    """All ticks after the late ones, set aside by each user's newest time, are merged by a batch."""
+    out, check = ticks.new_paths(spark, "late")
+    stream = _arriving(spark, d, _SIX.format(div="div"), 6).select("event_id", "user_id", "ts", F.to_date("ts").alias("day"))
+    keys, part = ["event_id", "day"], ["day"]
+    state.create_late(spark, out, stream.schema, ["user_id"])
+    _finish(ticks.run_batches(stream, state.late_batches(out, ["user_id"], keys, part, ["ts"], "5 days"), check, mode="append"))
+    late = sinks.read_table(spark, f"{out}/{state.LATE}").select("event_id", F.lit(True).alias("late"))
+    state.merge_late(spark, out, keys, part, ["ts"])
+    rows = sinks.read_table(spark, f"{out}/{state.ON_TIME}").join(late, "event_id", "left")
+    return rows.select("event_id", "user_id", F.col("ts").cast("timestamp_ntz").alias("ts"), F.coalesce("late", F.lit(False)).alias("late"))
+
+
 @query(
     "late_ticks",
     "select event_id, user_id from events where ts < (select max(ts) from events) - interval 10 day",

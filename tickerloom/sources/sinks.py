@@ -6,7 +6,7 @@ from collections.abc import Callable, Iterator, Mapping, Sequence
 from datetime import date, timedelta
 from functools import reduce
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -139,6 +139,37 @@ def upsert_table(
     return {"inserted": counts["I"], "updated": counts["U"], "unchanged": counts["N"]}
 
 
+def combine_into(
+    spark: SparkSession, path: str, partial: DataFrame, keys: Sequence[str], partition_by: Sequence[str],
+    states: Mapping[str, Column], batch: tuple[str, int] | None = None,
+) -> None:
+    """Merge partial states into a stored table that has one row per key.
+
+    ``states`` gives for each other column the aggregate that merges it, such as a sum of sums or
+    the price at the first time; it must not matter in which order or in how many parts states
+    are merged. Only the partitions that ``partial`` touches are read and written, so the table
+    keeps the size of its keys however many batches come. ``partition_by`` is part of the keys.
+    """
+    known = versions.newest(spark, path)
+    if versions.written(known, batch):
+        return
+    columns = known.columns
+    partial = partial.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in columns.fields])
+    if known.folders:
+        # for the list of partitions and for the merge; a lost part is computed again
+        partial = partial.persist()
+    try:
+        touched = versions.stored_as(known, versions.partition_names(partial, partition_by)) if known.folders else []
+        stored = versions.frame(spark, path, columns, known.pairs(touched)).withColumn("_came", F.lit(False))
+        both = stored.unionByName(partial.withColumn("_came", F.lit(True)))
+        rows = both.groupBy(*keys).agg(*[e.alias(c) for c, e in states.items()], F.max("_came").alias("_came"))
+        rows = rows.withColumn(versions.ACTION, F.when(F.col("_came"), "U").otherwise("N")).select(*columns.names, versions.ACTION)
+        replace_partitions(rows, path, partition_by, batch)
+    finally:
+        if known.folders:
+            partial.unpersist()
+
+
 def create_table(spark: SparkSession, path: str, schema: T.StructType) -> None:
     """An empty table of versions, unless there is one."""
     versions.create(spark, path, schema)

@@ -6,6 +6,7 @@ attach the sink. Event time is ``ts`` as ``timestamp``, which watermarks require
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -146,6 +147,18 @@ def run_batches(
     return writer.start()
 
 
+def after_batches(running: StreamingQuery, n: int, seconds: float = 600) -> StreamingQuery:
+    """Wait until a query has completed ``n`` batches since it started, or fail as it does."""
+    ends = time.monotonic() + seconds
+    while sum(p["numInputRows"] > 0 for p in running.recentProgress) < n:
+        if running.exception() is not None:
+            raise running.exception()
+        if not running.isActive or time.monotonic() > ends:
+            raise TimeoutError(f"fewer than {n} batches")
+        time.sleep(0.05)
+    return running
+
+
 def batch_folders(path: str) -> Callable[[DataFrame, int], None]:
     """Handler that writes a batch to its own folder; a repeated batch replaces it."""
 
