@@ -19,7 +19,8 @@ from __future__ import annotations
 
 import re
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from itertools import chain, pairwise
 from math import inf
 
 import ahocorasick
@@ -47,6 +48,23 @@ def read_vocabulary(path: str) -> tuple[list[tuple[str, float]], bool]:
     return [(model.id_to_piece(k), model.get_score(k)) for k in ids if not any(f(k) for f in odd)], sum(map(model.is_byte, ids)) == 256
 
 
+class _Kept(dict):
+    """Results of words by word. When it is full it starts anew, and takes what is used again from before."""
+
+    def __init__(self, search: Callable[[str], tuple]) -> None:
+        super().__init__()
+        self.search, self.before = search, {}
+
+    def __missing__(self, word: str) -> tuple:
+        found = self.before.get(word) or self.search(word)
+        if len(word) < 64:
+            if len(self) >= KEPT:
+                self.before = dict(self)
+                self.clear()
+            self[word] = found
+        return found
+
+
 class Counter:
     """Counts the pieces of texts; keeps the counts of words it has seen."""
 
@@ -62,39 +80,30 @@ class Counter:
         feed = "" if any("\n" in p for p in texts) else r"\n"
         # what a word is: the spaces before it and the characters up to the next space or line
         self.words = re.compile(f"{feed}|{SPACE}+[^{SPACE}{feed}]*|[^{SPACE}{feed}]+" if feed else f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+").findall if whole else lambda text: [text] if text else []
-        self.kept: dict[str, tuple] = {}
+        self.kept = _Kept(self.search)
 
     def search(self, text: str) -> tuple[int, float, bool, bool]:
         """Pieces, score, and whether the first and the last piece are unknown."""
-        n = len(text)
-        score, count, first, last = [0.0] + [-inf] * n, [0] * (n + 1), [False] * (n + 1), [False] * (n + 1)
-        done = 0
-
-        def settle(end: int, found: list[tuple[int, float]]) -> None:
-            best, start, lone = -inf, 0, False
-            for length, s in sorted(found, reverse=True):  # from the first start on
-                lone |= length == 1
-                if (now := score[end - length] + s) > best:
-                    best, start = now, end - length
-            if not lone and (now := score[end - 1] + self.unknown) > best:
-                start = end - 1
-                score[end], last[end] = now, True
-                count[end] = count[start] + (len(text[start].encode("utf-8", "replace")) if self.fallback else not last[start])
-                first[end] = first[start] if start else True
-            else:
-                score[end], count[end], first[end] = best, count[start] + 1, first[start]
-
-        found: list[tuple[int, float]] = []
-        for at, match in self.automaton.iter(text):
-            while done < at:
-                done += 1
-                settle(done, found)
-                found = []
-            found.append(match)
-        while done < n:
-            done += 1
-            settle(done, found)
-            found = []
+        n, lone_score, fallback = len(text), self.unknown, self.fallback
+        score, count, first, last = [0.0] * (n + 1), [0] * (n + 1), [False] * (n + 1), [False] * (n + 1)
+        at, best, start, lone = 1, -inf, 0, False
+        # matches come by end and, for one end, the longest first, so the first start comes first;
+        # one more end behind the text settles the last one
+        for end, (length, s) in chain(self.automaton.iter(text), [(n, (1, 0.0))]):
+            while at <= end:
+                if not lone and (now := score[at - 1] + lone_score) > best:
+                    start = at - 1
+                    score[at], last[at] = now, True
+                    count[at] = count[start] + (len(text[start].encode("utf-8", "replace")) if fallback else not last[start])
+                    first[at] = first[start] if start else True
+                else:
+                    score[at], count[at], first[at] = best, count[start] + 1, first[start]
+                at += 1
+                best, lone = -inf, False
+            if length == 1:
+                lone = True
+            if (now := score[end + 1 - length] + s) > best:
+                best, start = now, end + 1 - length
         return count[n], score[n], first[n], last[n]
 
     def count(self, text: str | None) -> tuple[int, float]:
@@ -102,22 +111,12 @@ class Counter:
         if not text:
             return 0, 0.0
         text = text.replace(" ", SPACE)
-        words = self.words(SPACE + text if self.prefix else text)
-        kept, pieces, score, unknown = self.kept, 0, 0.0, False
-        for word in words:
-            found = kept.get(word)
-            if found is None:
-                found = self.search(word)
-                if len(word) < 64:
-                    if len(kept) >= KEPT:
-                        kept.clear()
-                    kept[word] = found
-            pieces += found[0]
-            score += found[1]
-            if not self.fallback:
-                pieces -= unknown and found[2]
-                unknown = found[3]
-        return pieces, score
+        found = list(map(self.kept.__getitem__, self.words(SPACE + text if self.prefix else text)))
+        pieces, score = sum([f[0] for f in found]), sum([f[1] for f in found])
+        if not self.fallback:
+            # an unknown piece that goes on in the next word is one piece
+            pieces -= sum([a[3] and b[2] for a, b in pairwise(found)])
+        return pieces, float(score)
 
 
 _COUNTERS: dict[str, Counter] = {}
