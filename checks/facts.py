@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tickerloom.functions.ratios import fundamental_ratios, with_extra_ratios
-from tickerloom.functions.valuation import METRICS, peg
+from tickerloom.functions.valuation import METRICS
 from tickerloom.operators import growth, keyed, trailing
 from tickerloom.operators.asof import asof_join, known_at
 from tickerloom.operators.scd2 import apply_changes, change_counts, detect_changes, first_load
 from tickerloom.operators.series import balanced_slots, gaps, price_change, sessions, volatility
-from tickerloom.plans import daily, dims, facts, options, technicals, views
+from tickerloom.plans import daily, dims, facts, growth_table, options, technicals, views
 from tickerloom.schemas import BALANCE_MEASURES, CASH_MEASURES, INCOME_MEASURES
 from tickerloom.session import work_dir
 from tickerloom.sources import samples
@@ -758,11 +758,7 @@ def growth_quality(spark, d):
       and growth_consistency_score > 0.8""",
 )
 def growth_screen(spark, d):
-    return _quality(spark, d).where(
-        (F.col("revenue_growth_rate") > 15)
-        & (F.col("operating_income_growth_rate") > F.col("revenue_growth_rate"))
-        & (F.col("growth_consistency_score") > 0.8)
-    )
+    return growth_table.fast_growers(_quality(spark, d))
 
 
 _FACT_MEASURES = list(growth.GROWTH_MEASURES)
@@ -776,30 +772,52 @@ def _cells(cur: str, prior: str) -> str:
     )
 
 
+_TTM_MEASURES = ", ".join(
+    f"q.{m}" if m == "book_value_per_share"
+    else "case when latest_shares_outstanding > 0 then cast(ttm_revenue as double) / cast(latest_shares_outstanding as double) end" if m in _PER_SHARE
+    else f"t.latest_{m}" if m in ("total_assets", "total_equity") else f"t.ttm_{m}"
+    for m in _FACT_MEASURES
+)
+_STEPS = ", ".join(f"('{kind}', {n}, {back})" for kind, periods in growth_table.PERIODS.items() for n, back in periods.items())
+_GROWTH = f"""
+with r as (
+  select company_key, case when period = 'FY' then 'ANNUAL' else 'QUARTERLY' end as kind, fiscal_date, cast(accepted_date as date) as calculation_date, {", ".join(_FACT_MEASURES)} from v_ratio
+  union all
+  select t.company_key, 'TTM', t.newest_quarter_date, t.calculation_date, {_TTM_MEASURES}
+  from v_ttm t join v_ratio q on q.company_key = t.company_key and q.fiscal_date = t.newest_quarter_date and q.period <> 'FY'),
+placed as (select *, year(fiscal_date) * 4 + quarter(fiscal_date) as pos from r),
+steps(kind, periods_back, back) as (values {_STEPS}),
+g as (
+  select c.company_key, c.calculation_date, c.kind as period_type, c.fiscal_date as current_period_date, p.fiscal_date as prior_period_date,
+    cast(s.periods_back as int) as periods_back, {_cells('c', 'p')}
+  from placed c join steps s on s.kind = c.kind join placed p on p.company_key = c.company_key and p.kind = c.kind and p.pos = c.pos - s.back),
+fact as (
+  select *, round(avg(revenue_growth_rate) over f, 6) as growth_moving_average, round(stddev_samp(revenue_growth_rate) over f, 6) as growth_consistency_score,
+    revenue_growth_rate - lag(revenue_growth_rate) over w as growth_acceleration
+  from g window w as (partition by company_key, period_type, periods_back order by current_period_date),
+    f as (partition by company_key, period_type, periods_back order by current_period_date rows between 3 preceding and current row))
+"""
+
+
+def _growth_fact(spark, d):
+    return growth_table.growth_fact(facts.ratios_fact(statements(spark, d)))
+
+
+@query("growth_fact", _GROWTH + "select * from fact")
+def growth_fact(spark, d):
+    """Quarters, fiscal years and trailing years against one to five years before."""
+    return plain(_growth_fact(spark, d))
+
+
 @query(
-    "growth_fact",
-    f"""select c.company_key, cast(c.accepted_date as date) as calculation_date, 'QUARTERLY' as period_type, c.fiscal_date as current_period_date,
-      p.fiscal_date as prior_period_date, cast(4 as int) as periods_back, {_cells('c', 'p')}
-      from v_ratio c join v_ratio p on c.company_key = p.company_key and c.period_type = p.period_type
-        and cast(c.fiscal_date - interval 1 year as date) = p.fiscal_date where c.period <> 'FY'
-      union all
-      select c.company_key, cast(c.accepted_date as date), 'QUARTERLY', c.fiscal_date, p.fiscal_date, cast(1 as int), {_cells('c', 'p')}
-      from (select *, lag(fiscal_date) over (partition by company_key order by fiscal_date) as pd from v_ratio where period <> 'FY') c
-      join v_ratio p on c.company_key = p.company_key and c.pd = p.fiscal_date and p.period <> 'FY'""",
+    "growth_fast_years",
+    _GROWTH + """select company_key, current_period_date, revenue_growth_rate, operating_income_growth_rate, growth_consistency_score from fact
+      where period_type = 'TTM' and periods_back = 1 and revenue_growth_rate > 15 and operating_income_growth_rate > revenue_growth_rate and growth_consistency_score > 0.8""",
 )
-def growth_fact(spark, d):
-    q = filings(spark, d).withColumn("calculation_date", F.to_date("accepted_date"))
-    q = q.select(*BY, "period_type", "fiscal_date", "calculation_date", *_FACT_MEASURES)
-    names = {m: m for m in _FACT_MEASURES}
-    yearly = growth.against_earlier(q, [*BY, "period_type"], "fiscal_date", 12, _FACT_MEASURES)
-    step = growth.sequential(q, BY, "fiscal_date", _FACT_MEASURES).withColumnsRenamed(
-        {f"prev_{m}": f"prior_{m}" for m in (*_FACT_MEASURES, "fiscal_date")}
-    )
-    parts = [
-        growth.growth_rows(rows, BY, "fiscal_date", "calculation_date", "QUARTERLY", back, names)
-        for rows, back in ((yearly, 4), (step, 1))
-    ]
-    return plain(parts[0]).unionByName(plain(parts[1]))
+def growth_fast_years(spark, d):
+    """Trailing years with fast growth and operating leverage."""
+    rows = growth_table.fast_growers(_growth_fact(spark, d).where("period_type = 'TTM' and periods_back = 1"))
+    return rows.select("company_key", "current_period_date", "revenue_growth_rate", "operating_income_growth_rate", "growth_consistency_score")
 
 
 @query(
@@ -812,17 +830,7 @@ def growth_fact(spark, d):
     from v_metrics m join g on m.company_key = g.company_key and m.ttm_quarter_date = g.newest_quarter_date""",
 )
 def peg_ratio(spark, d):
-    q = filings(spark, d)
-    ttm = trailing.ttm_in_order(q, BY)
-    yearly = growth.against_earlier(
-        ttm.select(*BY, "newest_quarter_date", "ttm_eps_diluted"), BY, "newest_quarter_date", 12, ["ttm_eps_diluted"]
-    )
-    g = yearly.select(
-        *BY, F.col("newest_quarter_date").alias("ttm_quarter_date"),
-        growth.rates(["ttm_eps_diluted"])["ttm_eps_diluted_growth_rate"].alias("eps_growth"),
-    )
-    m = metrics(spark, d).select(*BY, "price_date", "ttm_quarter_date", "pe_ratio_ttm")
-    return m.join(g, [*BY, "ttm_quarter_date"]).withColumn("peg_ratio", peg("pe_ratio_ttm", "eps_growth")).drop("ttm_quarter_date")
+    return growth_table.peg_ratios(samples.prices(spark, d).select(*BY, "price_date", "close_price"), filings(spark, d))
 
 
 # ---- technicals --------------------------------------------------------------------------

@@ -169,15 +169,16 @@ def staging_ratios(income: DataFrame, balance: DataFrame) -> DataFrame:
 
 
 def known_valuation_inputs(
-    filings: DataFrame, ttm: DataFrame | None, by: Sequence[str], at: str = "known_from"
+    filings: DataFrame, ttm: DataFrame | None, by: Sequence[str], at: str = "known_from", carry: Sequence[str] = ()
 ) -> DataFrame:
     """Per entity and acceptance time the newest quarter and trailing year known then.
 
-    Without ``ttm`` the filings carry their trailing year themselves (``with_ttm``).
+    Without ``ttm`` the filings carry their trailing year themselves (``with_ttm``). ``carry``
+    names further columns of the trailing year.
     """
     by = list(by)
     quarter = ["accepted_date", "fiscal_date", *FILING_COLUMNS]
-    year = ["newest_quarter_date", *TTM_COLUMNS]
+    year = ["newest_quarter_date", *TTM_COLUMNS, *carry]
     if ttm is None:
         once = intervals(filings, by, "accepted_date", ["fiscal_date"], "_end")
         year_struct = F.when(
@@ -208,14 +209,16 @@ def market_metrics(
     by: Sequence[str] = ("company_key",),
     day: str = "price_date",
     places: int | None = None,
+    carry: Sequence[str] = (),
 ) -> DataFrame:
     """Valuation of every price by the newest quarter and trailing year known that day.
 
     ``filings`` are quarterly rows with their ratios. What is known is laid on one
     timeline, so the prices take part in a single as-of join. A filing accepted during a
-    day counts from the next day. Prices before any filing are dropped.
+    day counts from the next day. Prices before any filing are dropped. ``carry`` names further
+    columns of the trailing year to return.
     """
-    state = known_valuation_inputs(filings, ttm, by)
+    state = known_valuation_inputs(filings, ttm, by, carry=carry)
     known = asof_join(prices, state, list(by), day, "known_from", how="inner")
     return with_valuation(known, places).select(
         *prices.columns,
@@ -223,6 +226,7 @@ def market_metrics(
         F.col("filing.fiscal_date").alias("filing_fiscal_date"),
         F.col("ttm.newest_quarter_date").alias("ttm_quarter_date"),
         *METRICS,
+        *[F.col(f"ttm.{c}").alias(c) for c in carry],
     )
 
 
