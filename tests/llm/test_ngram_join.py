@@ -1,11 +1,13 @@
 import random
 from itertools import combinations
 
+import numpy as np
 import pytest
 from helpers import Union, corpus, shingle_set, words
 
+from tickerloom.llm import ngram_join
 from tickerloom.llm.components import components
-from tickerloom.llm.ngram_join import jaccard_groups
+from tickerloom.llm.ngram_join import _blocks, jaccard_groups
 
 
 def brute(rows, percent=80):
@@ -52,6 +54,25 @@ def test_repeated_and_null_ids(spark):
     assert got == [(0, 1, 0), (0, 2, 1), (1, 2, 1), (1, 2, 1), (2, 2, 1), (3, 2, 1)]
 
 
+def test_shingles_that_the_cut_makes_equal_count_each():
+    """Two shingles of one document with equal low bits: one is sent, both count as shared."""
+    low, blocks = 77, 4
+    # block 1 twice, block 2 once; a second document has other shingles
+    grams = np.array([(1 << 32) | low, (5 << 32) | low, (2 << 32) | low, (9 << 32) | 5], np.uint64)
+    rows, owner, often = _blocks(np.array([10, 11], np.uint64), grams, np.array([3, 1]), blocks, False)
+    assert owner.tolist() == [0, 0, 0, 1] and sorted(often[:2].tolist()) == [False, True] and not often[2:].any()
+    sent = {r["block"]: len(r["grams"]) // 4 for r in rows}
+    assert sent == {1: 2, 2: 1}
+
+
+def test_many_blocks(spark, monkeypatch):
+    """Blocks follow the bytes of the texts and the shingles of open documents."""
+    rows = corpus(4)
+    monkeypatch.setattr(ngram_join, "BYTES", 500)
+    monkeypatch.setattr(ngram_join, "CELLS", 200)
+    assert ours(spark, rows) == brute(rows)
+
+
 def test_empty_table_and_clashing_columns(spark):
     df = spark.createDataFrame([], "doc_id long, text string, node long, size int")
     assert jaccard_groups(df).collect() == []

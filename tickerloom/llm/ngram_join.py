@@ -33,6 +33,8 @@ from .components import components
 CHUNK, COMMON = 400_000, 8
 #: Shingles of open documents for which a block of columns is worth its while.
 CELLS = 50_000
+#: Bytes of text for which there is a block of the whole incidence.
+BYTES = 64 << 20
 #: Members of a column that one task compares with each other.
 CELL = 512
 PARITIES = 16
@@ -88,6 +90,15 @@ def _blocks(nodes: np.ndarray, grams: np.ndarray, sizes: np.ndarray, blocks: int
     place = ((grams >> np.uint64(32)) % np.uint64(blocks)).astype(np.uint32)
     home = (common >> np.uint64(32)) % np.uint64(blocks)
     cut = (lambda x: x) if wide else (lambda x: (x & _LOW).astype(np.uint32))
+    if not wide:
+        # of a document's shingles in a block that the cut makes equal one is sent and all count as shared
+        names = (owner.astype(np.uint64) << np.uint64(32)) | (grams & _LOW)
+        ranked = np.sort(names)
+        equal = ranked[1:][ranked[1:] == ranked[:-1]]
+        if len(equal):
+            doubled = np.flatnonzero(np.isin(names, equal))
+            _, kept = np.unique(np.stack([names[doubled], place[doubled].astype(np.uint64)]), axis=1, return_index=True)
+            often[np.delete(doubled, kept)] = True
     rest = np.flatnonzero(~often)
     rest = rest[np.argsort(place[rest], kind="stable")]
     edges = np.searchsorted(place[rest], np.arange(blocks + 1, dtype=np.uint32))
@@ -211,21 +222,16 @@ def _columns(blocks: int):
 
 
 def _frequencies(table: pa.Table) -> pa.Table:
-    """Of one block: for each node its shingles that others have, with their numbers of documents."""
+    """Of one block: (node, shingle, its number of documents) for each entry that others share."""
     alone = table.filter(pc.is_valid(table.column("ids"))).to_pylist()
     nodes, grams, common = _parts(table.filter(pc.is_null(table.column("ids"))), np.uint64)
     n = _degrees(grams, common)
     some = n > 1
-    nodes, grams, n = nodes[some], grams[some], n[some]
-    order = np.argsort(nodes, kind="stable")
-    nodes, grams, n = nodes[order].view(np.int64), grams[order].view(np.int64), n[order]
-    first = np.flatnonzero(np.concatenate([[True], nodes[1:] != nodes[:-1]])) if len(nodes) else np.zeros(0, np.int64)
-    edges = np.concatenate([first, [len(nodes)]])
-    more = [np.frombuffer(r["grams"], np.int64) for r in alone]
+    more = [np.frombuffer(r["grams"], np.uint64) for r in alone]
+    owners = [np.full(len(x), r["ids"][0], np.int64) for r, x in zip(alone, more)]
     return pa.table({
-        "node": pa.array([*nodes[first].tolist(), *(r["ids"][0] for r in alone)], pa.int64()),
-        "grams": pa.array([*(grams[a:b] for a, b in zip(edges[:-1], edges[1:])), *more], pa.list_(pa.int64())),
-        "degrees": pa.array([*(n[a:b] for a, b in zip(edges[:-1], edges[1:])), *(np.full(len(x), 1 << 30) for x in more)], pa.list_(pa.int64())),
+        "node": np.concatenate([nodes[some].view(np.int64), *owners]), "gram": np.concatenate([grams[some], *more]).view(np.int64),
+        "n": np.concatenate([n[some], *(np.full(len(x), 1 << 30) for x in more)]).astype(np.int64),
     })
 
 
@@ -243,8 +249,10 @@ def jaccard_groups(documents: DataFrame, id_col: str = "doc_id", text_col: str =
     """
     spark = documents.sparkSession
     small_batches(spark)
-    blocks = parallelism(spark)
     docs = documents.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    # a block is one task's group: it keeps its size however long the corpus is
+    length = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    blocks = max(parallelism(spark), -(-length // BYTES))
     sent = docs.mapInArrow(_incidence(width, blocks), _SENT)
     counted = stored(sent.groupBy("block").applyInArrow(_bounds, "id long, node long, size long, shared long"), "bounds")
     rows = counted.where("size is not null").select("id", "size", F.when(F.col("size") > 0, F.col("node")).alias("node"))
@@ -254,10 +262,10 @@ def jaccard_groups(documents: DataFrame, id_col: str = "doc_id", text_col: str =
     sets = docs.where("id is not null").mapInArrow(_chosen_sets(width, bitmap(open_.select("id"))), "node long, grams array<long>, parity array<long>")
     sets = stored(sets.join(open_.select("node"), "node", "left_semi").groupBy("node").agg(F.any_value("grams").alias("grams"), F.any_value("parity").alias("parity")), "sets")
 
-    blocks = max(1, min(blocks, (open_.agg(F.sum("size")).first()[0] or 0) // CELLS))
+    blocks = max(1, (open_.agg(F.sum("size")).first()[0] or 0) // CELLS)
     blocked = sets.select("node", "grams").mapInArrow(_columns(blocks), _SENT)
-    parts = blocked.groupBy("block").applyInArrow(_frequencies, "node long, grams array<long>, degrees array<long>")
-    order = F.sort_array(F.flatten(F.collect_list(F.arrays_zip(F.col("degrees").alias("n"), F.col("grams").alias("gram")))))
+    parts = blocked.groupBy("block").applyInArrow(_frequencies, "node long, gram long, n long")
+    order = F.sort_array(F.collect_list(F.struct("n", "gram")))
     ranked = parts.groupBy("node").agg(order.alias("order")).join(sets.select("node", F.size("grams").cast("long").alias("size"), *[F.col("parity")[k].alias(f"p{k}") for k in range(PARITIES)]), "node")
     ranked = ranked.withColumn("own", F.col("size") - F.size("order"))
     prefix = F.expr(f"cast(size - ceil({percent} * size / 100) + 1 - own as int)")
