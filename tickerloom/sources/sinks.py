@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Mapping, Sequence
 from datetime import date, timedelta
 from functools import reduce
+from zlib import crc32
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -51,21 +52,26 @@ def laid_out(
     return spread_out.sortWithinPartitions(*cluster, *sort)
 
 
-def replace_partitions(df: DataFrame, path: str, partition_by: Sequence[str], batch: tuple[str, int] | None = None) -> None:
+def replace_partitions(
+    df: DataFrame, path: str, partition_by: Sequence[str], batch: tuple[str, int] | None = None, note: tuple[str, int] | None = None
+) -> list[tuple[str, str]]:
     """Overwrite the partitions that occur in ``df`` and leave the others, in one version.
 
     The rows are written once, to a folder of their own; the manifest that names it appears last
     (see ``versions``). A failure at any point leaves the table as it was. The feed of changes has
-    all rows as changed, or those that ``df`` marks in the column ``_action``.
+    all rows as changed, or those that ``df`` marks in the column ``_action``. A ``batch`` is
+    written once, see ``upsert_table``; a ``note`` is only kept with the version. Returns the
+    partitions written with their folder.
     """
     spark = df.sparkSession
     known = versions.newest(spark, path)
     if versions.written(known, batch):
-        return
+        return []
     columns = T.StructType([f for f in df.schema.fields if f.name != versions.ACTION])
     folder, partitions = versions.write(df, path, partition_by)
-    if partitions or batch:
-        versions.publish(spark, path, known, columns, folder, partitions, batch)
+    if partitions or batch or note or known is versions.NOTHING:
+        versions.publish(spark, path, known, columns, folder, partitions, batch or note)
+    return [(p, folder) for p in partitions]
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
@@ -190,21 +196,148 @@ def backfill(
     path: str,
     partition_by: Sequence[str],
     days: int = 90,
+    position: Callable[[date, date], int] | None = None,
 ) -> int:
-    """Build and write slice by slice; a slice that is run again replaces its partitions.
+    """Build and write slice by slice; returns the rows written.
 
     Slices bound the work of one job. Where that is not needed, one slice over the whole
     range is faster. ``partition_by`` must not be coarser than a slice. A slice that was
     interrupted is left out as a whole, see ``replace_partitions``.
+
+    ``position`` tells for a slice where its input stands, such as ``input_position``. The table's
+    ledger then has the position of each slice written, in the same step as its rows: run again,
+    the backfill does the slices that are open and those whose input has changed. Without it all
+    slices are written each time.
     """
     total = 0
     for low, high in date_slices(start, end, days):
-        df, seen = counted(build(low, high))
-        replace_partitions(df, path, partition_by)
-        total += seen.get["rows"]
+        at = None if position is None else position(low, high)
+        entry = f"slice {low} {high}"
+        df = build(low, high)
+        if at is not None and versions.newest(df.sparkSession, path).batches.get(entry) == at:
+            continue
+        pairs = replace_partitions(df, path, partition_by, note=None if at is None else (entry, at))
+        # the files' footers tell
+        total += versions.frame(df.sparkSession, path, df.schema, pairs).count()
     return total
 
 
+def input_position(spark: SparkSession, path: str, within: Callable[[str], bool]) -> int:
+    """A number that changes when the partitions of a table that ``within`` names are rewritten."""
+    pairs = sorted((p, f) for p, f in versions.newest(spark, path).folders.items() if within(p))
+    return crc32(repr(pairs).encode())
+
+
+# ---- layout ------------------------------------------------------------------------------
+
+def interleaved(df: DataFrame, keys: Sequence[str], name: str, bits: int = 6) -> DataFrame:
+    """``df`` with a sort key in which the keys' places take turns bit by bit, so that rows near in
+    it are near in every key. A key's place is its bucket among ``2**bits`` of about equal size,
+    whose bounds are approximate quantiles: one pass, and one row of bounds for the driver. Numbers,
+    dates and times only; NULL has the first place."""
+
+    def number(c: str) -> Column:
+        kind = df.schema[c].dataType
+        if isinstance(kind, T.DateType):
+            return F.unix_date(c)
+        return F.unix_micros(F.col(c).cast("timestamp")) if isinstance(kind, (T.TimestampType, T.TimestampNTZType)) else F.col(c).cast("double")
+
+    shares = [k / 2**bits for k in range(1, 2**bits)]
+    bounds = df.agg(*[F.percentile_approx(number(c), shares, 1000).alias(c) for c in keys]).first()
+    places = {}
+    for j, c in enumerate(keys):
+        above = [(number(c) >= F.lit(b)).cast("long") for b in sorted(set(bounds[c] or []))]
+        places[f"{name}_{j}"] = F.coalesce(reduce(lambda a, b: a + b, above, F.lit(0).cast("long")), F.lit(0))
+    bit = [
+        F.shiftleft(F.shiftright(f"{name}_{j}", k).bitwiseAND(1), k * len(keys) + j)
+        for j in range(len(keys))
+        for k in range(bits)
+    ]
+    return df.withColumns(places).withColumn(name, reduce(lambda a, b: a + b, bit)).drop(*places)
+
+
+def cluster_table(
+    spark: SparkSession, path: str, partition_by: Sequence[str], keys: Sequence[str], files_each: int, partitions: Sequence[str] | None = None
+) -> int:
+    """Rewrite partitions so that a read of few values of any key opens few of their files.
+
+    Each partition is cut into about ``files_each`` files by ranges of the ``interleaved`` keys;
+    the others stay. The rows don't change, and consumers of changes see none. Returns the number of
+    partitions rewritten.
+    """
+    known = versions.newest(spark, path)
+    names = list(known.folders) if partitions is None else [p for p in partitions if p in known.folders]
+    if not names:
+        return 0
+    rows = interleaved(versions.frame(spark, path, known.columns, known.pairs(names)), keys, "_place")
+    parts = [F.col(c) for c in partition_by]
+    laid = rows.withColumn(versions.ACTION, F.lit("N")).repartitionByRange(files_each * len(names), *parts, "_place")
+    laid = laid.sortWithinPartitions(*parts, "_place").drop("_place")
+    folder, written = versions.write(laid, path, partition_by, dealt=True)
+    versions.publish(spark, path, known, known.columns, folder, written)
+    return len(written)
+
+
+# ---- profiles ----------------------------------------------------------------------------
+
+#: Cells of a distinct count's sketch, as a power of two: a standard error of about 1.6 %.
+CELLS = 12
+
+
+def _sketched(columns: T.StructType) -> T.StructType:
+    schema = T.StructType([T.StructField("part", T.StringType()), T.StructField("folder", T.StringType()), T.StructField("row_count", T.LongType())])
+    for f in columns.fields:
+        schema = schema.add(f"{f.name}_present", T.LongType()).add(f"{f.name}_distinct", T.BinaryType())
+    return schema.add("bucket", T.IntegerType())
+
+
+def update_sketches(spark: SparkSession, path: str, sketches: str) -> int:
+    """Bring the sketches of a table of versions up to it, reading only folders that have none.
+
+    A partition's folder never changes, so its sketch (rows, and for each column values present
+    and a mergeable distinct count) holds for as long as a version names the folder. The sketches'
+    table has one row per partition. Returns the number of folders read.
+    """
+    known = versions.newest(spark, path)
+    schema = _sketched(known.columns)
+    create_table(spark, sketches, schema)
+    have = {(r.part, r.folder) for r in read_table(spark, sketches, schema).select("part", "folder").collect()}
+    lacking = [pair for pair in known.pairs() if pair not in have]
+    if not lacking:
+        return 0
+    cells = [F.count(F.lit(1)).alias("row_count")]
+    for f in known.columns.fields:
+        cells += [F.count(f.name).alias(f"{f.name}_present"), F.hll_sketch_agg(F.col(f.name).cast("string"), F.lit(CELLS)).alias(f"{f.name}_distinct")]
+    # a file's address is escaped once more than its folder's name; a plus sign is itself there
+    where = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+    at = [F.regexp_extract(where, f"/{versions.DATA}/([^/]*)/(.*)/[^/]*$", k).alias(c) for k, c in ((2, "part"), (1, "folder"))]
+    new = versions.frame(spark, path, known.columns, lacking, at).groupBy("part", "folder").agg(*cells)
+    new = new.withColumn("bucket", F.pmod(F.xxhash64("part"), F.lit(16)).cast("int"))
+    upsert_table(spark, sketches, new, ["part", "bucket"], ["bucket"], ["folder"], schema=schema)
+    return len(lacking)
+
+
+def profile_from_sketches(spark: SparkSession, path: str, sketches: str) -> DataFrame:
+    """Rows and, per column, how many values are present and about how many differ, of the table's
+    newest version, from its sketches alone."""
+    known = versions.newest(spark, path)
+    now = spark.createDataFrame(known.pairs(), "part string, folder string")
+    rows = read_table(spark, sketches).join(now, ["part", "folder"])
+    merged_cells = [F.sum("row_count").alias("_rows")]
+    lines = []
+    for f in known.columns.fields:
+        merged_cells += [F.sum(f"{f.name}_present").alias(f"{f.name}_present"), F.hll_union_agg(f"{f.name}_distinct").alias(f"{f.name}_distinct")]
+        lines.append(
+            F.struct(
+                F.lit(f.name).alias("column_name"), F.col("_rows").alias("row_count"), F.col(f"{f.name}_present").alias("present"),
+                F.hll_sketch_estimate(f"{f.name}_distinct").alias("approx_distinct"),
+            )
+        )
+    return rows.agg(*merged_cells).select(F.explode(F.array(*lines)).alias("l")).select("l.*")
+
+
+# ---- others ------------------------------------------------------------------------------
+
 def write_snapshot(symbols: DataFrame, path: str, taken_at: str) -> None:
     """A membership list as JSON lines, each with the snapshot's time and member count.
 
