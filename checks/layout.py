@@ -100,9 +100,9 @@ def backfilled_prices(spark, d):
 
 
 # quarters' ends are the snapshots; a member's sales are above the average of the quarter
-_LISTED = """select symbol, fiscal_date as taken_at from (select symbol, fiscal_date, sp, avg(cast(sp as double)) over (partition by fiscal_date) as mean
+LISTED = """select symbol, fiscal_date as taken_at from (select symbol, fiscal_date, sp, avg(cast(sp as double)) over (partition by fiscal_date) as mean
   from v_period where period <> 'FY') where sp > mean"""
-_STAYS = f"""with listed as ({_LISTED}),
+_STAYS = f"""with listed as ({LISTED}),
   times as (select taken_at, row_number() over (order by taken_at) as no, lead(taken_at) over (order by taken_at) as next from (select distinct taken_at from listed)),
   runs as (select symbol, taken_at, no, next, no - row_number() over (partition by symbol order by no) as stay from listed join times using (taken_at)),
   stays as (select symbol, min(taken_at) as member_from, arg_max(coalesce(next, date '9999-01-01'), no) as ends, count(*) as snapshots from runs group by symbol, stay)"""

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tickerloom.sources import landing, mapping, samples
+from tickerloom.session import work_dir
+from tickerloom.sources import landing, mapping, samples, sinks
 
 from .registry import dbl, plain, query
 
@@ -349,10 +350,11 @@ _VENDOR = {"revenueTTM": "revenue", "totalAssetsTTM": "total_assets", "totalDebt
     " union all ".join(
         f"select symbol, fiscal_date, '{name}' as metric, cast(cast({c} as decimal(20,6)) as double) as value from v_fact where {c} is not null"
         for name, c in _VENDOR.items()
-    ),
+    ).replace(" as value from", " as value, cast(null as varchar) as text from")
+    + " union all select symbol, fiscal_date, 'reportedCurrency', null, 'USD' from v_fact",
 )
 def vendor_metrics(spark, d):
-    """A wide metric payload per statement, read into rows; its text field is left out."""
+    """A wide metric payload per statement, read into rows; its text field has a text and no value."""
     record = F.struct(
         "symbol",
         *[F.col(c).cast("decimal(20,6)").alias(name) for name, c in _VENDOR.items()],
@@ -368,9 +370,8 @@ def vendor_metrics(spark, d):
       max(cast(json_extract(props, '$.k') as bigint)) as k_max from events group by event_type""",
 )
 def json_props(spark, d):
-    e = samples.table(spark, d, "events").select(
-        "event_type", F.try_variant_get(F.parse_json("props"), "$.k", "bigint").alias("k")
-    )
+    records = landing.payload_records(samples.table(spark, d, "events").select("event_type", "props"), "props")
+    e = landing.fields(records, "payload", {"k": ("$.k", "bigint")})
     return e.groupBy("event_type").agg(
         F.count(F.lit(1)).alias("events"), F.sum("k").alias("k_sum"), F.max("k").alias("k_max")
     )
@@ -381,9 +382,9 @@ _PRIORITIES = {"month1": "1-URGENT", "month3": "2-HIGH", "year1": "3-MEDIUM", "y
 
 @query(
     "unpivot_rates",
-    "unpivot (select cast(cast(o_orderdate as date) as varchar) as date, "
+    "select * from (select cast(cast(o_orderdate as date) as varchar) as date, "
     + ", ".join(f"max(o_totalprice) filter (o_orderpriority = '{p}') as {c}" for c, p in _PRIORITIES.items())
-    + " from orders group by 1) on month1, month3, year1, year10, year30 into name maturity value rate",
+    + " from orders group by 1) unpivot include nulls (rate for maturity in (month1, month3, year1, year10, year30))",
 )
 def unpivot_rates(spark, d):
     wide = samples.table(spark, d, "orders").groupBy(F.col("o_orderdate").cast("date").cast("string").alias("date")).agg(
@@ -394,14 +395,56 @@ def unpivot_rates(spark, d):
 
 @query(
     "constituent_changes",
-    """with old as (select symbol from v_company where market_cap > 20000000000), new as (select symbol from v_company where market_cap < 200000000000)
+    """with old as (select symbol from v_company), new as (select case when company_key % 8 = 1 then symbol || 'N' else symbol end as symbol from v_company)
       select symbol, 'added' as change from new where symbol not in (select symbol from old)
       union all select symbol, 'removed' from old where symbol not in (select symbol from new)""",
 )
 def constituent_changes(spark, d):
+    """The whole list against a second one in which an eighth of the members go by another name."""
+    c = samples.companies(spark, d)
+    renamed = c.withColumn("symbol", F.when(F.col("company_key") % 8 == 1, F.concat("symbol", F.lit("N"))).otherwise(F.col("symbol")))
+    return landing.constituent_changes(landing.constituents(c), landing.constituents(renamed))
+
+
+@query(
+    "payload_history",
+    """select symbol, s_name as company_name, cast(length(s_name) as bigint) as name_length, s_suppkey % 3 as board_size, false as lost
+      from supplier join v_company on company_key = s_suppkey
+      union all select 'X' || symbol, null, null, null, true from v_company where company_key % 10 = 0""",
+)
+def payload_history(spark, d):
+    """Records kept as they came and read back by path, fields among them that no mapping knows; of
+    each tenth company also a file that isn't JSON."""
+    path = work_dir(spark, "payloads")
     c = samples.companies(spark, d)
-    old, new = (landing.constituents(c.where(w)) for w in ("market_cap > 20000000000", "market_cap < 200000000000"))
-    return landing.constituent_changes(old, new)
+    record = F.struct("symbol", F.col("company_name").alias("companyName"), F.struct((F.col("company_key") % 3).alias("boardSize"), F.length("company_name").alias("nameLength")).alias("extra"))
+    good = c.select("symbol", F.to_json(F.array(record)).alias("value"))
+    bad = c.where("company_key % 10 = 0").select(F.concat(F.lit("X"), "symbol").alias("symbol"), F.lit('[{"symbol": ').alias("value"))
+    texts = good.unionByName(bad).withColumnRenamed("symbol", "file")
+    rows = landing.payload_records(texts, symbol=F.col("file"))
+    sinks.write_run(rows, f"{path}/payload", "1")
+    stored = spark.read.schema(rows.schema).parquet(f"{path}/payload/run=1")
+    wanted = {"company_name": ("$.companyName", "string"), "name_length": ("$.extra.nameLength", "bigint"), "board_size": ("$.extra.boardSize", "bigint")}
+    out = landing.fields(stored, "payload", wanted)
+    return out.select("symbol", *wanted, F.col("unparsed").isNotNull().alias("lost"))
+
+
+@query(
+    "bulk_lines",
+    "select symbol, cast(price_date as varchar) as date, cast(cast(close_price as decimal(12,2)) as double) as close, false as refused from v_prices where company_key % 10 <> 3"
+    " union all select null, cast(price_date as varchar), null, true from v_prices where company_key % 10 = 3",
+)
+def bulk_lines(spark, d):
+    """One record a line, with names in another case, a field of no mapping and, for a tenth of the
+    companies, text that isn't JSON; bad lines are set apart and stop nothing."""
+    p = samples.prices(spark, d)
+    record = F.struct("symbol", F.col("price_date").cast("string").alias("DATE"), F.col("close_price").alias("Close"), F.lit(1).alias("unknown"))
+    text = F.when(F.col("company_key") % 10 == 3, F.concat(F.col("price_date").cast("string"), F.lit(" oops {"))).otherwise(F.to_json(record))
+    path = work_dir(spark, "lines")
+    p.select(text.alias("value")).write.text(path)
+    good, bad = landing.read_lines(spark, path, "price")
+    kept = good.select("symbol", "date", F.col("close").cast("double").alias("close"), F.lit(False).alias("refused"))
+    return kept.unionByName(bad.select(F.lit(None).cast("string").alias("symbol"), F.substring("detail", 1, 10).alias("date"), F.lit(None).cast("double").alias("close"), F.lit(True).alias("refused")))
 
 
 @query(

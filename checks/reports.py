@@ -10,6 +10,7 @@ from tickerloom.plans import dims, monitoring, views
 from tickerloom.sources import samples, sinks
 
 from . import facts as facts_checks
+from .layout import LISTED, snapshots
 from .registry import dbl, plain, query
 
 BY = ["company_key"]
@@ -272,15 +273,16 @@ def summary_stats(spark, d):
 
 @query(
     "symbol_coverage",
-    """select (select count(distinct symbol) from v_company) as total_symbols,
-      (select count(*) from (select symbol from v_company intersect select symbol from v_prices where volume > 80)) as symbols_with_prices,
-      (select count(*) from (select symbol from v_company intersect select symbol from v_balance where total_assets > 2000000)) as symbols_with_financials""",
+    """with c as (select symbol from v_company union all select symbol || 'X' from v_company where company_key % 5 = 0)
+      select (select count(distinct symbol) from c) as total_symbols,
+      (select count(*) from (select symbol from c intersect select symbol from v_prices)) as symbols_with_prices,
+      (select count(*) from (select symbol from c intersect select symbol from v_balance)) as symbols_with_financials""",
 )
 def symbol_coverage(spark, d):
-    return views.symbol_coverage(
-        samples.companies(spark, d), samples.prices(spark, d).where("volume > 80"),
-        samples.balance(spark, d).where("total_assets > 2000000"),
-    )
+    """All companies, and as many again as a fifth of them that have neither prices nor statements."""
+    c = samples.companies(spark, d)
+    bare = c.where("company_key % 5 = 0").withColumn("symbol", F.concat("symbol", F.lit("X")))
+    return views.symbol_coverage(c.unionByName(bare), samples.prices(spark, d), samples.balance(spark, d))
 
 
 @query(
@@ -378,13 +380,13 @@ def table_profile(spark, d):
 
 @query(
     "index_members",
-    """select symbol, cast(close_price as double) as close_price, price_date from v_prices
-      where symbol in (select 'S' || lpad(cast(l_suppkey as varchar), 6, '0') from lineitem where l_quantity = 50 and l_discount = 0.1 and l_tax = 0)""",
+    f"""select symbol, cast(close_price as double) as close_price, price_date from v_prices
+      where symbol in (select symbol from ({LISTED}) where taken_at = (select max(taken_at) from ({LISTED})))""",
 )
 def index_members(spark, d):
-    members = samples.table(spark, d, "lineitem").where("l_quantity = 50 and l_discount = 0.1 and l_tax = 0").select(
-        samples.symbol_of(F.col("l_suppkey")).alias("symbol")
-    )
+    """Bars of the members of the newest list."""
+    lists = snapshots(spark, d)
+    members = lists.join(lists.agg(F.max("taken_at").alias("taken_at")), "taken_at").select("symbol")
     rows = samples.prices(spark, d).select("symbol", "close_price", "price_date")
     return plain(keyed.only_in(rows, members, "symbol"))
 
@@ -601,7 +603,7 @@ def audit_job_metrics(spark, d):
 @query(
     "audit_quality_issues",
     """select 'load-1' as job_id, 'STG_COMPANY_PROFILE' as table_name, symbol as record_identifier, 'market_cap_sign' as issue_type,
-      'market_cap below zero: ' || cast(market_cap as varchar) as issue_description, 'ERROR' as severity, timestamp '2024-02-01 00:30:00' as detected_at
+      'market_cap below zero: ' || cast(market_cap as varchar) as issue_description, '{}' as issue_details, 'ERROR' as severity, timestamp '2024-02-01 00:30:00' as detected_at
       from v_company where market_cap < 0""",
 )
 def audit_quality_issues(spark, d):
@@ -943,11 +945,23 @@ def revenue_three_sigma(spark, d):
 
 @query(
     "orphan_symbols",
-    """select symbol, count(*) as row_count from v_prices where symbol not in (select symbol from v_company where market_cap < 150000000000) group by symbol""",
+    """select symbol || 'X' as symbol, count(*) as row_count from v_prices where company_key % 9 = 4 group by symbol""",
 )
 def orphan_symbols(spark, d):
-    known = dims.company_versions(samples.companies(spark, d).where("market_cap < 150000000000"))
-    return quality.orphans(samples.prices(spark, d), known)
+    """Bars of which a ninth of the companies bear a name that the dimension doesn't know."""
+    known = dims.company_versions(samples.companies(spark, d))
+    marked = F.when(F.col("company_key") % 9 == 4, F.concat("symbol", F.lit("X"))).otherwise(F.col("symbol"))
+    return quality.orphans(samples.prices(spark, d).withColumn("symbol", marked), known)
+
+
+@query(
+    "unrepairable_prices",
+    "select symbol, price_date, cast(close_price as double) as close_price, volume from v_prices where close_price >= 90000",
+)
+def unrepairable_prices(spark, d):
+    """Bars priced too high to be repaired, as they came."""
+    rows = price_change(samples.prices(spark, d), ["symbol"], ["price_date"], "close_price")
+    return plain(quality.repaired_prices(rows, 90000)[1].select("symbol", "price_date", "close_price", "volume"))
 
 
 @query(

@@ -67,10 +67,11 @@ def stream_without_repeats(spark, d):
 @query(
     "stream_enriched",
     """select event_id, user_id, symbol, sector from events left join
-      (select company_key as user_id, symbol, sector from v_company where market_cap > 50000000000) using (user_id)""",
+      (select company_key as user_id, symbol, sector from v_company) using (user_id)""",
 )
 def stream_enriched(spark, d):
-    reference = samples.companies(spark, d).where("market_cap > 50000000000").select(
+    """All ticks with the company of their user; users beyond the companies have none."""
+    reference = samples.companies(spark, d).select(
         F.col("company_key").alias("user_id"), "symbol", "sector"
     )
     rows = ticks.enriched(_ticks(spark, d), reference, "user_id").select("event_id", "user_id", "symbol", "sector")

@@ -126,5 +126,8 @@ def test_prices_out_of_range_are_set_apart(spark):
     rows = [("A", 1, 2, 1, 2), ("B", -1, 2, 1, 2), ("C", 1, 2_000_000, 1, 3_000_000), ("D", None, 0, 0, 1_000_000)]
     df = spark.createDataFrame(rows, "symbol string, open_price int, high_price int, low_price int, close_price int")
     good, bad = quality.in_price_range(df)
-    assert [r.symbol for r in good.collect()] == ["A", "D"] and good.columns == df.columns
-    assert [(r.symbol, r.field) for r in bad.collect()] == [("B", "open_price"), ("C", "high_price")]
+    assert [r.symbol for r in good.collect()] == ["A"] and good.columns == df.columns
+    # the bounds themselves are out, a missing price is not
+    assert [(r.symbol, r.field) for r in bad.collect()] == [("B", "open_price"), ("C", "high_price"), ("D", "high_price")]
+    rules = {r.name for r in quality.rules_for("price", F.lit(TODAY))}
+    assert {f"{c}_bounds" for c in quality.BOUNDED} <= rules

@@ -129,13 +129,26 @@ def test_statement_periods(spark):
 
 def test_vendor_metrics_take_any_field(spark, tmp_path):
     (tmp_path / "a.json").write_text(json.dumps([{"symbol": "A", "currentRatioTTM": 0.92, "note": "x", "newFieldTTM": 3, "noneTTM": None}]))
-    got = sorted(tuple(r) for r in landing.read_metrics(spark, str(tmp_path)).collect())
-    assert got == [("A", "currentRatioTTM", 0.92), ("A", "newFieldTTM", 3.0)]
+    got = sorted((tuple(r) for r in landing.read_metrics(spark, str(tmp_path)).collect()), key=repr)
+    assert got == [("A", "currentRatioTTM", 0.92, None), ("A", "newFieldTTM", 3.0, None), ("A", "noneTTM", None, None), ("A", "note", None, "x")]
 
 
 def test_rates_long(spark):
     df = spark.createDataFrame([("2024-01-02", 5.5, None)], "date string, month1 double, year10 double")
-    assert [tuple(r) for r in landing.rates_long(df).collect()] == [("2024-01-02", "month1", 5.5)]
+    assert [tuple(r) for r in landing.rates_long(df).collect()] == [("2024-01-02", "month1", 5.5), ("2024-01-02", "year10", None)]
+
+
+def test_payloads_are_kept_as_they_came(spark, tmp_path):
+    texts = {"A": '[{"symbol": "A", "new": {"x": 1}}, {"price": 2.5}]', "B": '{"symbol": "", "new": "text"}', "C": '[{"symbol": ', "D": "[]"}
+    for name, text in texts.items():
+        (tmp_path / f"{name}.json").write_text(text)
+    rows = landing.read_payloads(spark, str(tmp_path), r"([A-Z])\.json")
+    got = landing.fields(rows, "payload", {"x": ("$.new.x", "int"), "new": ("$.new", "string"), "price": ("$.price", "double")})
+    found = sorted((tuple(r) for r in got.select("symbol", "x", "new", "price", "unparsed", "source_file").collect()), key=repr)
+    assert found == sorted([
+        ("A", 1, '{"x":1}', None, None, "A.json"), ("A", None, None, 2.5, None, "A.json"), ("B", None, "text", None, None, "B.json"),
+        ("C", None, None, None, '[{"symbol": ', "C.json"),
+    ], key=repr)
 
 
 def test_conform(spark):

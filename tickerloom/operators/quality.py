@@ -23,6 +23,8 @@ MAX_SYMBOL_LENGTH = 10
 SYMBOL_PATTERN = r"^[\p{L}\p{N}]+$"
 LOOSE_SYMBOL_PATTERN = r"^[A-Za-z0-9.\-]+$"
 TOLERANCE = "0.01"
+MAX_PRICE = 1_000_000
+BOUNDED = ("open_price", "high_price", "low_price", "close_price")
 PRICE_FIELDS = ("open_price", "high_price", "low_price", "close_price", "adj_close")
 
 
@@ -167,9 +169,17 @@ def record_rules(symbol: str = "symbol", price: str = "price", volume: str = "vo
     ]
 
 
+def range_rules(low: int = 0, high: int = MAX_PRICE) -> list[Rule]:
+    """Every price that is there lies strictly between the bounds."""
+    return [
+        Rule(f"{c}_bounds", (F.col(c) <= low) | (F.col(c) >= high), say(f"{c} not between {low} and {high}: ", F.col(c)))
+        for c in BOUNDED
+    ]
+
+
 RULE_SETS = {
     "profile": lambda today: profile_rules(),
-    "price": price_rules,
+    "price": lambda today: [*price_rules(today), *range_rules()],
     "income": income_rules,
     "balance": balance_rules,
     "cashflow": cash_rules,
@@ -228,22 +238,29 @@ def validation_summary(checked: DataFrame) -> DataFrame:
     )
 
 
-def repair_prices(df: DataFrame, max_price: int = 1_000_000) -> DataFrame:
-    """Null implausible changes, floor volume at zero; drop rows priced above ``max_price``."""
+def repaired_prices(df: DataFrame, max_price: int = MAX_PRICE) -> tuple[DataFrame, DataFrame]:
+    """Null implausible changes and floor volume at zero; apart, unchanged, the rows priced at
+    ``max_price`` or above, which can't be repaired."""
     change = F.col("change_percent")
-    return df.where(nz("close_price") < max_price).withColumns(
+    beyond = nz("close_price") >= max_price
+    fixed = df.where(~beyond).withColumns(
         {
             "change_percent": F.when((change >= -100) & (change <= 1000), change),
             "volume": F.greatest(F.col("volume"), F.lit(0)),
         }
     )
+    return fixed, df.where(beyond)
+
+
+def repair_prices(df: DataFrame, max_price: int = MAX_PRICE) -> DataFrame:
+    """The rows that can be repaired, see ``repaired_prices``."""
+    return repaired_prices(df, max_price)[0]
 
 
-def in_price_range(df: DataFrame, low: int = 0, high: int = 1_000_000) -> tuple[DataFrame, DataFrame]:
-    """Bars whose prices all lie from ``low`` to ``high``, and the others with the first field
-    that doesn't. A missing price is judged by the rule on required fields, not here."""
-    bad = [(c, ~F.coalesce(F.col(c).between(low, high), F.lit(True))) for c in ("open_price", "high_price", "low_price", "close_price")]
-    field = F.coalesce(*[F.when(b, c) for c, b in bad])
+def in_price_range(df: DataFrame, low: int = 0, high: int = MAX_PRICE) -> tuple[DataFrame, DataFrame]:
+    """Bars whose prices all lie strictly between ``low`` and ``high``, and the others with the first
+    field that doesn't. A missing price is judged by the rule on required fields, not here."""
+    field = F.coalesce(*[F.when(r.broken, c) for c, r in zip(BOUNDED, range_rules(low, high))])
     judged = df.withColumn("field", field)
     return judged.where(F.col("field").isNull()).drop("field"), judged.where(F.col("field").isNotNull())
 

@@ -87,13 +87,15 @@ def job_metrics(reported: DataFrame, metrics: str = "metrics") -> DataFrame:
 
 
 def quality_issues(issues: DataFrame, job_id: Column, table: str, record: Column, at: Column) -> DataFrame:
-    """Validator issues (``operators.quality.issue_rows``) in the shape of the audit table."""
+    """Validator issues (``operators.quality.issue_rows``) in the shape of the audit table; a long
+    message is cut and its full text kept as JSON."""
     return issues.select(
         job_id.alias("job_id"),
         F.lit(table).alias("table_name"),
         record.cast("string").alias("record_identifier"),
         F.col("rule").alias("issue_type"),
         F.substring("message", 1, DESCRIPTION_LENGTH).alias("issue_description"),
+        F.when(F.length("message") > DESCRIPTION_LENGTH, F.to_json(F.struct(F.col("message").alias("full_message")))).otherwise("{}").alias("issue_details"),
         "severity",
         at.alias("detected_at"),
     )

@@ -7,7 +7,7 @@ that is not JSON; ``read_feed`` returns the records and, apart, what was rejecte
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -157,10 +157,11 @@ def read_lines(spark: SparkSession, path: str, feed: str) -> tuple[DataFrame, Da
 
 
 def metrics_long(df: DataFrame, payload: str) -> DataFrame:
-    """A vendor's wide metric payload as rows of symbol, metric and value.
+    """A vendor's wide metric payload as rows of symbol, metric, value and text.
 
-    Takes whatever numeric fields the payload has, so a new field needs no new schema; fields
-    that are not numbers are left out.
+    Takes whatever fields the payload has, so a new field needs no new schema. A field that is
+    not a number keeps its text and has no value; a null field has neither. A payload without
+    symbol keeps a null one.
     """
     kept = [c for c in df.columns if c != payload]
     maps = df.select(*kept, F.explode(F.from_json(payload, "array<map<string,string>>")).alias("_m"))
@@ -169,7 +170,7 @@ def metrics_long(df: DataFrame, payload: str) -> DataFrame:
         F.try_element_at("_m", F.lit("symbol")).alias("symbol"),
         F.explode(F.map_filter("_m", lambda k, _: k != "symbol")).alias("metric", "_v"),
     ).withColumn("value", F.col("_v").try_cast("double"))
-    return cells.where(F.col("symbol").isNotNull() & F.col("value").isNotNull()).drop("_v")
+    return cells.withColumn("text", F.when(F.col("value").isNull(), F.col("_v"))).drop("_v")
 
 
 def read_metrics(spark: SparkSession, path: str) -> DataFrame:
@@ -178,6 +179,36 @@ def read_metrics(spark: SparkSession, path: str) -> DataFrame:
     return metrics_long(files.withColumnRenamed("value", "payload"), "payload")
 
 
+def payload_records(texts: DataFrame, text: str = "value", symbol: Column | None = None) -> DataFrame:
+    """Payload texts as they came, one row per record: the record as a variant, whatever its fields.
+
+    An array gives a row for each element, any other JSON one row. ``symbol`` is the record's
+    own, or the given one where it has none. Text that isn't JSON keeps a null payload and stands
+    in ``unparsed``. Other columns are kept.
+    """
+    kept = [c for c in texts.columns if c != text]
+    whole = F.try_parse_json(text)
+    records = F.coalesce(F.try_variant_get(whole, "$", "array<variant>"), F.array(whole))
+    given = F.lit(None).cast("string") if symbol is None else symbol
+    rows = texts.select(*kept, given.alias("_given"), F.when(whole.isNull(), F.col(text)).alias("unparsed"), F.explode(records).alias("payload"))
+    own = F.nullif(F.try_variant_get("payload", "$.symbol", "string"), F.lit(""))
+    return rows.select(*kept, F.coalesce(own, "_given").alias("symbol"), "payload", "unparsed")
+
+
+def read_payloads(spark: SparkSession, path: str | Sequence[str], symbol_from_file: str | None = None) -> DataFrame:
+    """Landed files as ``payload_records`` with their ``source_file``; ``symbol_from_file`` as in ``read_feed``."""
+    texts = spark.read.option("wholetext", True).text(path).select("value", F.col("_metadata.file_name").alias("source_file"))
+    found = F.nullif(F.regexp_extract("source_file", symbol_from_file, 1), F.lit("")) if symbol_from_file else None
+    return payload_records(texts, symbol=found)
+
+
+def fields(rows: DataFrame, payload: str, wanted: Mapping[str, tuple[str, str]]) -> DataFrame:
+    """Fields of a variant column by path, as ``{name: (path, type)}``, in place of it; one that is
+    missing or of another type is NULL."""
+    kept = [c for c in rows.columns if c != payload]
+    return rows.select(*kept, *[F.try_variant_get(payload, path, kind).alias(name) for name, (path, kind) in wanted.items()])
+
+
 def statement_periods(
     records: DataFrame, request: str = "annual", limit: int | None = None
 ) -> DataFrame:
@@ -222,9 +253,9 @@ def indicator(records: DataFrame, name: str, start: str | None = None, end: str
 
 
 def rates_long(wide: DataFrame, keys: Sequence[str] = ("date",)) -> DataFrame:
-    """One row per date and maturity instead of one column per maturity; gaps are dropped."""
+    """One row per date and maturity instead of one column per maturity; a gap is a row without rate."""
     maturities = [c for c in wide.columns if c not in keys]
-    return wide.unpivot(list(keys), maturities, "maturity", "rate").where(F.col("rate").isNotNull())
+    return wide.unpivot(list(keys), maturities, "maturity", "rate")
 
 
 def constituents(records: DataFrame) -> DataFrame:
