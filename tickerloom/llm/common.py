@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tickerloom.session import work_dir
+from tickerloom.sources import files
 
 #: Bytes of text that the array code handles at once, so that memory does not follow the text.
 BLOCK = 1 << 20
@@ -36,6 +37,13 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def dropped(*tables: DataFrame) -> None:
+    """Remove tables that ``stored`` wrote; nothing that still has to be computed may read them."""
+    for table in tables:
+        for folder in {f.rsplit("/", 1)[0] for f in table.inputFiles()}:
+            files.delete(table.sparkSession, folder)
+
+
 def small_batches(spark: SparkSession) -> None:
     """Let rows go to Python in batches of bounded size, however long their texts are.
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import dropped, stored
 
 
 def _state(edges: DataFrame) -> tuple:
@@ -19,8 +19,8 @@ def components(edges: DataFrame, a: str, b: str) -> DataFrame:
     nothing. Large-star links each node's larger neighbours to its smallest neighbour,
     small-star links the smaller ones, until every component is a star about its smallest
     node; the number of rounds grows with the logarithm of the size. Each round is written to
-    the shared folder, so a lost executor costs one round at most, and smallest neighbours are
-    combined before the shuffle, so a node with very many edges is no hot spot.
+    the shared folder, in place of the one before, so a lost executor costs one round at most, and
+    smallest neighbours are combined before the shuffle, so a node with very many edges is no hot spot.
     """
     now = stored(
         edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where(
@@ -35,7 +35,8 @@ def components(edges: DataFrame, a: str, b: str) -> DataFrame:
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         down = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(down, "u").select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e"))
-        now = stored(small.select("e.u", "e.v").where("u != v").distinct(), "edges")
+        before, now = now, stored(small.select("e.u", "e.v").where("u != v").distinct(), "edges")
+        dropped(before)
         after = _state(now)
         if after == state:
             break
