@@ -5,18 +5,26 @@ from helpers import Union
 from tickerloom.llm import vector_dedup as v
 
 
+def usable(x):
+    return bool(x) and None not in x and np.isfinite(x).all() and any(x)
+
+
 def brute(rows, least=0.95):
-    good = [(i, np.array(x, float) / max(map(abs, x))) for i, x in rows if i is not None and x and None not in x and np.isfinite(x).all() and any(x)]
-    n, u = {id(x): 0 for _, x in good}, Union()
+    """Components of rows, named by their smallest id; a row without id may be in one."""
+    good = [(k, np.array(x, float) / max(map(abs, x))) for k, (_, x) in enumerate(rows) if usable(x)]
+    n, u = dict.fromkeys(range(len(rows)), 0), Union()
     for a, (i, x) in enumerate(good):
         for j, y in good[:a]:
             if len(x) == len(y) and x @ y / np.sqrt(x @ x) / np.sqrt(y @ y) >= least:
-                n[id(x)] += 1
-                n[id(y)] += 1
+                n[i] += 1
+                n[j] += 1
                 u.join(i, j)
-    out = [(i, n[id(x)], u.find(i)) for i, x in good]
-    bad = [(i, 0, i) for i, x in rows if not (i is not None and x and None not in x and np.isfinite(x).all() and any(x))]
-    return sorted(((i, k, c, i is None or i == c) for i, k, c in out + bad), key=repr)
+    names = {}
+    for k, (i, _) in enumerate(rows):
+        if i is not None:
+            names[u.find(k)] = min(names.get(u.find(k), i), i)
+    out = [(i, n[k], names.get(u.find(k))) for k, (i, _) in enumerate(rows)]
+    return sorted(((i, k, c, c is None or i == c) for i, k, c in out), key=repr)
 
 
 def corpus(seed, n=250, size=32):
@@ -43,6 +51,22 @@ def test_links_and_recall(spark, seed):
     assert np.mean([g == w for g, w in zip(got, want)]) > 0.98
 
 
+@pytest.mark.parametrize("size", [5, 250, 384, 768])
+def test_any_number_of_dimensions(spark, size):
+    rows = corpus(3, 60, size)
+    got = sorted((tuple(r) for r in v.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()), key=repr)
+    want = brute(rows)
+    assert sum(r[1] for r in got) >= 0.99 * sum(r[1] for r in want) > 0 and len(got) == len(want)
+    assert np.mean([g == w for g, w in zip(got, want)]) > 0.98
+
+
+def test_rows_without_id_link(spark):
+    near, other, lone = [1.0, 0.0, 0.0], [0.0, 1.0, 0.0], [0.0, 0.0, 1.0]
+    rows = [(7, near), (None, [1.0, 0.1, 0.0]), (9, [1.0, 0.2, 0.0]), (None, other), (None, [0.1, 1.0, 0.0]), (None, lone), (None, None)]
+    got = sorted((tuple(r) for r in v.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()), key=repr)
+    assert got == brute(rows) == sorted([(7, 2, 7, True), (9, 2, 7, False), (None, 2, 7, False), (None, 1, None, True), (None, 1, None, True), (None, 0, None, True), (None, 0, None, True)], key=repr)
+
+
 def test_cells_of_a_large_bucket(spark, monkeypatch):
     monkeypatch.setattr(v, "CELL", 16)
     rng = np.random.default_rng(4)

@@ -33,9 +33,15 @@ ROOM, CELL = 256, 1024
 _OUT = "node long, links long, star long"
 
 
+def code_bits(size: int, bits: int) -> int:
+    """Bits of the code of a vector: one for each dimension at least, in whole bytes."""
+    return max(bits, -(-size // 8) * 8)
+
+
 def rotation(size: int, bits: int, seed: int) -> np.ndarray:
-    """``size`` orthonormal rows in ``bits`` dimensions: a random rotation of padded vectors."""
-    square = np.random.default_rng([seed, size]).normal(size=(max(bits, size), max(bits, size)))
+    """``size`` orthonormal rows in ``code_bits`` dimensions: a random rotation of padded vectors."""
+    bits = code_bits(size, bits)
+    square = np.random.default_rng([seed, size]).normal(size=(bits, bits))
     turned, upper = np.linalg.qr(square)
     return (turned * np.sign(np.diag(upper)))[:size]
 
@@ -99,15 +105,15 @@ def _compare(least: float, bits: int, seed: int, spread: float) -> Callable:
         side, pair = table.column("cell").to_numpy(), table.column("pair")[0].as_py()
         nodes, weight = table.column("node").to_numpy(), table.column("weight").to_numpy()
         unit = units(np.stack([np.frombuffer(v) for v in table.column("vec").to_pylist()]))
-        signs = np.unpackbits(np.stack([np.frombuffer(c, np.uint8) for c in table.column("code").to_pylist()]), axis=1)[:, :bits]
+        signs = np.unpackbits(np.stack([np.frombuffer(c, np.uint8) for c in table.column("code").to_pylist()]), axis=1)
         factor = table.column("factor").to_numpy()
         keys = np.stack(table.column("keys").to_numpy())
         at = int(table.column("tab")[0].as_py())
         rows, cols = np.flatnonzero(side == pair["low"]), np.flatnonzero(side == pair["high"])
         # the estimate: a code's inner product with the other vector, over the code's factor
         turned = unit[cols] @ rotation(unit.shape[1], bits, seed)
-        estimate = ((2.0 * signs[rows] - 1) @ turned.T) / (np.sqrt(bits) * factor[rows, None])
-        error = spread * np.sqrt((1 - factor[rows] ** 2) / factor[rows] ** 2 / (bits - 1))
+        estimate = ((2.0 * signs[rows] - 1) @ turned.T) / (np.sqrt(signs.shape[1]) * factor[rows, None])
+        error = spread * np.sqrt((1 - factor[rows] ** 2) / factor[rows] ** 2 / (signs.shape[1] - 1))
         a, b = np.nonzero(estimate >= least - error[:, None])
         a, b = rows[a], cols[b]
         if pair["low"] == pair["high"]:
@@ -137,14 +143,15 @@ def near_vectors(
     of nearer ones more. ``component_id`` is the smallest id reachable by links.
 
     Null and zero vectors and those with null or non-finite components have no links. Vectors
-    of different lengths aren't compared. Equal vectors in several rows, also of one id, are
-    linked with each other. Rows with a null id have no links and are kept, with a null
-    component. An empty table gives no rows.
+    of different lengths aren't compared; their codes have ``bits`` bits, or as many as they have
+    dimensions. Equal vectors in several rows, also of one id, are linked with each other. Rows
+    with a null id have links like others but give no component its name; if they reach no id,
+    their component is null and they are kept. An empty table gives no rows.
     """
     if bits % 8 or bits < 64:
         raise ValueError("bits must be a multiple of 8, at least 64")
     rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("vec"))
-    fine = "id is not null and vec is not null and forall(vec, x -> x is not null and not isnan(x) and abs(x) < double('infinity')) and exists(vec, x -> x != 0)"
+    fine = "vec is not null and forall(vec, x -> x is not null and not isnan(x) and abs(x) < double('infinity')) and exists(vec, x -> x != 0)"
     fine = F.coalesce(F.expr(fine), F.lit(False))
     good = rows.where(fine)
     classes = stored(good.groupBy("vec").agg(F.min("id").alias("node"), F.count(F.lit(1)).alias("weight")), "vectors")
@@ -166,4 +173,4 @@ def near_vectors(
     heads = known.groupBy("group").agg(F.min("least").alias("component_id"))
     known = known.join(heads, "group").select("vec", (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("n_links"), "component_id")
     out = good.join(known, "vec").select("id", "n_links", "component_id").union(rows.where(~fine).select("id", F.lit(0).cast("long"), "id"))
-    return out.select(F.col("id").alias(id_col), "n_links", "component_id", F.coalesce(F.col("id") == F.col("component_id"), F.lit(True)).alias("kept"))
+    return out.select(F.col("id").alias(id_col), "n_links", "component_id", F.coalesce(F.col("id") == F.col("component_id"), F.col("component_id").isNull()).alias("kept"))
