@@ -78,6 +78,29 @@ def test_leaks_are_found_and_clean_documents_left(spark):
     assert {r.doc_id for r in kept.collect()} == {i for i, _ in rows} - {i for i, _ in want} - {53}
 
 
+def test_scores_do_not_depend_on_the_parts(spark, monkeypatch):
+    """The same hits and scores, equal to the whole benchmark's weights, however it is cut."""
+    rng = random.Random(8)
+    bench = [*items(rng, 40), (90, " ".join(words(rng, 90)) + ". Answer " + " ".join(words(rng, 4)) + "."), (3, "A repeated item. Twice.")]
+    damaged = lambda t: " ".join(w for w in t.split() if rng.random() < 0.75)
+    rows = [(k, " ".join(words(rng, 20)) + " " + damaged(bench[k % 42][1])) for k in range(84)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    table = spark.createDataFrame(bench, "item_id long, text string")
+
+    def hits():
+        return {(r.doc_id, r.item_id): r.score for r in d.contaminated(docs, table, threshold=0.4).collect()}
+
+    whole = hits()
+    assert len(whole) > 25
+    for size in (1000, 4000):
+        monkeypatch.setattr(d, "PART", size)
+        cut = hits()
+        assert set(cut) == set(whole) and all(abs(cut[x] - whole[x]) < 1e-9 for x in whole)
+    plain = {(k, i): s for k, t in rows for (i, _), s in zip(bench, scores(set(tokens(t)), bench))}
+    near = [x for x in whole if x[1] != 3 and len(dict(rows)[x[0]].split()) < 60]
+    assert near and all(abs(whole[x] - plain[x]) < 1e-9 for x in near)
+
+
 def test_empty_tables(spark):
     docs = spark.createDataFrame([(1, "a b c")], "doc_id long, text string")
     none = spark.createDataFrame([], "item_id long, text string")

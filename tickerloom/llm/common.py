@@ -37,6 +37,17 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """The names, changed where a column of the frame already bears one, in any letter case."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        out.append(name)
+    return out
+
+
 def dropped(*tables: DataFrame) -> None:
     """Remove tables that ``stored`` wrote; nothing that still has to be computed may read them."""
     for table in tables:

@@ -10,7 +10,8 @@ threshold are found. A hit counts when question and answer overlap with the pass
 
 Passages are overlapping windows of whole texts, twice as long as the longest item of their
 class of lengths, so that every item lies wholly in one window. Documents are read once and
-never shuffled. The items are broadcast in parts of a checked size, one pass for each part.
+never shuffled. The items are broadcast in parts of a checked size, one pass for each part; the
+statistics that weigh their words are counted over the whole benchmark before.
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ from __future__ import annotations
 import re
 from bisect import bisect_left
 from collections.abc import Iterator
+from dataclasses import dataclass
 from functools import reduce
 
 import numpy as np
@@ -25,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import MARKS, mixed, small_batches, text_pieces, word_hashes
+from .common import MARKS, mixed, small_batches, stored, text_pieces, unused, word_hashes
 
 #: Bytes of items that one broadcast index may hold, ranges of its items, postings in a block.
 PART, RANGES, POSTINGS = 8 << 20, 64, 16
@@ -66,10 +68,26 @@ def share(part: np.ndarray, whole: np.ndarray) -> float:
     return float(np.isin(part, whole).mean()) if len(part) else 1.0
 
 
+@dataclass
+class Statistics:
+    """Of a whole benchmark: items with words, their mean length, and in how many items terms are
+    found; ``terms`` are in order and hold at least those of the items indexed with them."""
+
+    items: int
+    mean: float
+    terms: np.ndarray
+    found: np.ndarray
+
+
+def statistics(words: list[np.ndarray]) -> Statistics:
+    terms, found = np.unique(np.concatenate([np.unique(w) for w in words]), return_counts=True)
+    return Statistics(len(words), float(np.mean([len(w) for w in words])), terms, found)
+
+
 class Index:
     """Impacts of one class of items, in order of the items."""
 
-    def __init__(self, items: list[tuple], reach: int, threshold: float, k1: float, b: float) -> None:
+    def __init__(self, items: list[tuple], reach: int, threshold: float, k1: float, b: float, known: Statistics | None = None) -> None:
         self.items, self.threshold = items, threshold
         words = [item[1] for item in items]
         lengths = np.array([len(w) for w in words])
@@ -79,9 +97,10 @@ class Index:
         owner = np.repeat(np.arange(len(items)), [len(t) for t, _ in pairs])
         times = np.concatenate([n for _, n in pairs]).astype(float)
         self.terms, term = np.unique(term, return_inverse=True)
-        found = np.bincount(term)
-        idf = np.log1p((len(items) - found + 0.5) / (found + 0.5))
-        impact = idf[term] * times * (k1 + 1) / (times + k1 * (1 - b + b * lengths[owner] / lengths.mean()))
+        known = known or statistics(words)
+        found = known.found[np.searchsorted(known.terms, self.terms)]
+        idf = np.log1p((known.items - found + 0.5) / (found + 0.5))
+        impact = idf[term] * times * (k1 + 1) / (times + k1 * (1 - b + b * lengths[owner] / known.mean))
         impact /= np.bincount(owner, impact)[owner]
         order = np.lexsort((owner, term))
         self.owner, self.impact = owner[order], impact[order]
@@ -171,6 +190,15 @@ class Index:
                 yield k, int(p - base[k]) * size, item, score
 
 
+def _terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        words = hashed(batch.column("text").to_pylist())
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("part"), pa.array([np.unique(w).view(np.int64) for w in words], pa.list_(pa.int64())), pa.array([len(w) for w in words], pa.int64())],
+            names=["part", "terms", "length"],
+        )
+
+
 _FOUND = "id long, item long, score double, question double, answer double, word long"
 
 
@@ -219,8 +247,18 @@ def contaminated(
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = -(-total // PART)
     found = []
-    for part in range(parts):
-        rows = items.where(F.pmod(F.xxhash64("text"), F.lit(parts)) == part).orderBy("item", "text").collect()
+    # what an item scores doesn't depend on the part it is in: the statistics are the whole benchmark's
+    items = items.withColumn("part", F.pmod(F.xxhash64("text"), F.lit(max(parts, 1))).cast("int"))
+    worded = stored(items.select("part", "text").mapInArrow(_terms, "part int, terms array<long>, length long").where("length > 0"), "benchmark")
+    n, mean = worded.agg(F.count(F.lit(1)), F.avg("length")).first()
+    each = worded.select("part", F.explode("terms").alias("term"))
+    often = stored(each.groupBy("term").agg(F.count(F.lit(1)).alias("found")), "benchmark-terms")
+    for part in range(parts if n else 0):
+        rows = items.where(F.col("part") == part).orderBy("item", "text").collect()
+        of = each.where(F.col("part") == part).select("term").distinct().join(often, "term").toArrow()
+        terms, counts = of.column("term").to_numpy().view(np.uint64), of.column("found").to_numpy()
+        order = np.argsort(terms)
+        whole = Statistics(n, mean, terms[order], counts[order])
         split = [split_item(r.text) for r in rows]
         known = list(zip([r.item for r in rows], hashed([r.text for r in rows]), hashed([q for q, _ in split]), hashed([a for _, a in split])))
         indexes, below = [], 0
@@ -228,7 +266,7 @@ def contaminated(
             some = [x for x in known if below < len(x[1]) <= reach]
             below = reach
             if some:
-                indexes.append(Index(some, reach, threshold, k1, b))
+                indexes.append(Index(some, reach, threshold, k1, b, whole))
         found.append(docs.mapInArrow(_scan(spark.sparkContext.broadcast(indexes), least_question, least_answer), _FOUND))
     if not found:
         found.append(spark.createDataFrame([], _FOUND))
@@ -238,5 +276,6 @@ def contaminated(
 
 def without_leaks(documents: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", **more) -> DataFrame:
     """The rows of ``documents`` whose id has no leak; rows with a null id are kept."""
-    leaks = contaminated(documents, benchmark, id_col, **more).select(F.col(id_col).alias("__leak")).distinct()
-    return documents.join(leaks, documents[id_col] == F.col("__leak"), "left_anti")
+    (leak,) = unused(documents, "__leak")
+    leaks = contaminated(documents, benchmark, id_col, **more).select(F.col(id_col).alias(leak)).distinct()
+    return documents.join(leaks, documents[id_col] == F.col(leak), "left_anti")
