@@ -7,8 +7,8 @@ earliest deadline runs. With weights that sum to 1 no deadline is missed, so aft
 every source has run more than ``w t - 1`` and fewer than ``w t + 1`` blocks.
 
 Weights are taken as they are, in whole numbers of any size, so windows never drift from the
-target weights however long the corpus is and however many sources it has. Blocks are
-scheduled on the driver, which holds one block of each source; every ``period`` slots, or more
+target weights however long the corpus is and however many sources it has. Blocks, about a
+million at most, are scheduled on the driver, which holds one of each source; every ``period`` slots, or more
 if there are more sources, are written to the shared folder, and documents are joined to the
 blocks. Block numbers come from running sums within buckets of documents and over buckets, so
 no source, however large, is in one task.
@@ -25,10 +25,13 @@ from math import lcm
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import work_dir
+from .common import unused, work_dir
 
+HELPERS = {"__source", "__size", "__order", "__tie", "__bucket", "__sum", "__before", "__at", "__slot"}
 #: Documents in a bucket on average.
 BUCKET = 5000
+#: Blocks of a corpus for the driver to schedule: longer corpora have longer blocks.
+BLOCKS = 1 << 20
 #: Blocks that are written at once at least.
 WRITTEN = 50_000
 
@@ -104,12 +107,13 @@ def schedule(share: dict) -> list:
 
 def mixed_order(
     documents: DataFrame, weights: dict | None = None, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
-    block: int = 100_000, period: int = 1000, power: float = 0.7, seed: int = 0,
+    block: int | None = None, period: int = 1000, power: float = 0.7, seed: int = 0,
 ) -> DataFrame:
     """``documents`` with ``block``, ``slot``, ``place``, ``release``, ``deadline`` and ``in_mix``.
 
     Read in order of ``slot``, then ``place``, the corpus is mixed to the weights. A block is
-    ``block`` characters of a source; a document belongs to the block in which it starts, and
+    ``block`` characters of a source, by default 100,000 or so many that the corpus has about a
+    million blocks; a document belongs to the block in which it starts, and
     one without text counts one character. ``weights`` maps sources to target weights; sources
     it doesn't name come after all others, each in its own order, with null ``slot``, ``release``
     and ``deadline``. By default every source has its number of characters to ``power``.
@@ -118,17 +122,22 @@ def mixed_order(
     first block that a source lacks. Later slots keep their order, with gaps where a source
     is used up; no row is dropped or repeated. A null source is a source of its own (a null
     key in ``weights`` names it). Repeated rows and rows with null ids are placed like others.
-    An empty table gives no rows.
+    An empty table gives no rows. Columns of the input that bear the name of a new one are replaced.
     """
     spark = documents.sparkSession
     clash = {"block", "slot", "place", "release", "deadline", "in_mix"} & set(documents.columns)
     if clash:
         documents = documents.drop(*clash)
+    # the caller's columns make room for those used here
+    own = {c: unused(documents, f"{c}_")[0] for c in documents.columns if c.lower() in HELPERS}
+    documents = documents.withColumnsRenamed(own)
+    id_col, text_col, source_col = (own.get(c, c) for c in (id_col, text_col, source_col))
     size = F.greatest(F.coalesce(F.length(text_col), F.lit(0)), F.lit(1)).cast("long")
     known = F.to_json(F.struct(F.col(source_col).cast("string").alias("s")))
     # the order of a source: random by id, the same in every run
     docs = documents.withColumns({"__source": known, "__size": size, "__order": F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.col(id_col).cast("string")), 1), "__tie": F.xxhash64(text_col)})
     totals = {r["__source"]: (r["size"], r["n"], r["name"]) for r in docs.groupBy("__source").agg(F.sum("__size").alias("size"), F.count(F.lit(1)).alias("n"), F.first(F.col(source_col).cast("string")).alias("name")).collect()}
+    block = block or max(100_000, -(-sum(v[0] for v in totals.values()) // BLOCKS))
     if weights is None:
         named = {s: float(v[0]) ** power for s, v in totals.items()}
     else:
@@ -157,4 +166,5 @@ def mixed_order(
     table = spark.read.schema(kind).parquet(path)
     docs = docs.join(table, ["__source", "block"], "left").withColumn("slot", F.col("__slot"))
     docs = docs.withColumn("in_mix", F.coalesce(F.col("slot") < end, F.lit(False)))
-    return docs.select(*documents.columns, "block", "slot", "place", "release", "deadline", "in_mix")
+    out = docs.select(*documents.columns, "block", "slot", "place", "release", "deadline", "in_mix")
+    return out.withColumnsRenamed({new: c for c, new in own.items()})
