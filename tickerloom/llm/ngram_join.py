@@ -26,7 +26,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bitmap, in_bitmap, mixed, parallelism, shingles, small_batches, stored, text_pieces, word_hashes
+from .common import bitmap, in_bitmap, mixed, parallelism, shingles, small_batches, stored, text_pieces, unused, word_hashes
 from .components import components
 
 #: Shingles that a task gathers before it sends them, and documents from which it sends none.
@@ -324,9 +324,10 @@ def without_copies(documents: DataFrame, id_col: str = "doc_id", text_col: str =
     Rows that repeat an id and its text are one document. Rows with a null id are kept.
     """
     groups = stored(jaccard_groups(documents, id_col, text_col, **how), "groups")
-    kept = groups.where(F.col(id_col) == F.col("component_id")).select(F.col(id_col).alias("__id"))
-    repeated = kept.groupBy("__id").count().where("count > 1").limit(1).count()
-    out = documents.join(kept.distinct(), documents[id_col] == F.col("__id"), "left_semi")
+    of, by = unused(documents, "__id", "__hash")
+    kept = groups.where(F.col(id_col) == F.col("component_id")).select(F.col(id_col).alias(of))
+    repeated = kept.groupBy(of).count().where("count > 1").limit(1).count()
+    out = documents.join(kept.distinct(), documents[id_col] == F.col(of), "left_semi")
     if repeated:
-        out = out.withColumn("__hash", F.xxhash64(text_col)).dropDuplicates([id_col, "__hash"]).drop("__hash")
+        out = out.withColumn(by, F.xxhash64(text_col)).dropDuplicates([id_col, by]).drop(by)
     return out.union(documents.where(F.col(id_col).isNull()))
