@@ -1,5 +1,6 @@
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -51,6 +52,57 @@ def test_slots_ignore_what_is_not_a_letter():
     assert len(whole) == 10 + 11 + 10
 
 
+@pytest.mark.parametrize("piece", [1, 2, 3, 7, 50])
+def test_cuts_change_nothing(monkeypatch, piece):
+    texts_ = ["", "a", "Ab, c", " x", "...", "ab 12 C! é\U00030000z " * 9, "a" * 20, "\ud800 b"]
+    whole = [sorted(li.gram_slots(t).tolist()) for t in texts_]
+    monkeypatch.setattr(li, "PIECE", piece)
+    assert [sorted(li.gram_slots(t).tolist()) for t in texts_] == whole
+    assert li.gram_slots("\U00030000").size == 4
+
+
+def plain_grams(text):
+    """N-grams of a whole text with their numbers, character by character."""
+    chars = [" "]
+    for c in text.lower():
+        if c.isalpha():
+            chars.append(c)
+        elif chars[-1] != " ":
+            chars.append(" ")
+    if chars[-1] != " ":
+        chars.append(" ")
+    out = Counter("".join(chars[k : k + n]) for n in (1, 2, 3) for k in range(len(chars) - n + 1))
+    del out[" "]
+    return out
+
+
+def test_decoding_equals_plain_loss_sums(spark):
+    """Every prediction against loops over grams, classifiers and codewords of the whole text."""
+    rows = [(k, t * (500_000 // len(t)) if k % 40 == 0 else t, lang) for k, t, lang in texts(160, 7)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = li.train(docs.where("doc_id % 2 = 0"), sample=30)
+    got = {r.doc_id: r for r in li.predicted(docs, model).collect()}
+    assert max(len(t) for _, t, _ in rows) > li.PIECE
+    slot = {}
+    for k, text, _ in rows:
+        grams = plain_grams(text)
+        for g in grams:
+            if g not in slot:
+                # the slot of one gram: what a text has that shows it beside its own shorter grams
+                points = sum(ord(c) * m for c, m in zip(g, (0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D))) + (len(g) << 40) if len(g) > 1 else ord(g)
+                h = (points ^ (points >> 15)) * 0xD6E8FEB86659FD93 % (1 << 64)
+                slot[g] = h >> 50
+        n = sum(grams.values())
+        margins = []
+        for c in range(model.code.shape[1]):
+            total = sum(times * float(model.weights[slot[g], c]) for g, times in grams.items())
+            margins.append(total / n**0.5 * min(1.0, n**0.5 / 20) + float(model.bias[c]))
+        losses = {name: sum(float(model.trust[c]) * np.logaddexp(0, -model.code[i, c] * m) for c, m in enumerate(margins)) for i, name in enumerate(model.names)}
+        best = min(losses, key=losses.get)
+        share = 1 / sum(np.exp(losses[best] - x) for x in losses.values())
+        assert got[k].lang_pred == best and abs(got[k].score - share) < 1e-4
+
+
 def test_held_out_accuracy_and_odd_rows(spark):
     rows = texts()
     odd = [(900, None, "aa"), (901, "", "bb"), (902, "12 !?", "cc"), (903, "the whing thing", None), (None, "ción ñar os", "dd"), (3, "eau que éoi", "cc"), (904, "schung " * 200_000, None)]

@@ -30,28 +30,40 @@ SLOTS, PIECE, WIDEST = 1 << 14, 400_000, 63
 
 @cache
 def _letters() -> np.ndarray:
-    return np.array([chr(k).isalpha() for k in range(0x30000)])
+    return np.array([chr(k).isalpha() for k in range(0x110000)])
 
 
-def gram_slots(text: str) -> np.ndarray:
-    """Hash slots of all n-grams of one to three characters that hold a letter.
+def slot_pieces(text: str) -> Iterator[np.ndarray]:
+    """Hash slots of all n-grams of one to three characters that hold a letter, a piece of the text at a time.
 
-    Letters are lower-cased; a run of anything else is one space, and so are both ends.
+    Letters are lower-cased; a run of anything else is one space, and so are both ends. A piece
+    has the grams that end in it: two characters are carried over, so it doesn't matter where
+    a text is cut.
     """
-    points = np.frombuffer(f" {text.lower()} ".encode("utf-32-le", "replace"), np.uint32)
-    letter = _letters()[np.minimum(points, 0x2FFFF)]
-    points = np.where(letter, points, 32)
-    keep = letter | np.concatenate([[True], letter[:-1]])
-    p = points[keep].astype(np.uint64)
-    grams = [p]
-    for width in (2, 3):
-        if len(p) >= width:
-            g = sum(p[k : len(p) - width + 1 + k] * np.uint64((0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D)[k]) for k in range(width))
-            grams.append(g + np.uint64(width << 40))
-    some = [grams[0][grams[0] != 32], *grams[1:]]
-    h = np.concatenate(some)
-    h = (h ^ (h >> np.uint64(15))) * np.uint64(0xD6E8FEB86659FD93)
-    return (h >> np.uint64(50)).astype(np.int64)
+    text = f" {text.lower()} "
+    carried, after_letter = np.zeros(0, np.uint64), True
+    for at in range(0, len(text), PIECE):
+        points = np.frombuffer(text[at : at + PIECE].encode("utf-32-le", "replace"), np.uint32)
+        letter = _letters()[points]
+        keep = letter | np.concatenate([[after_letter], letter[:-1]])
+        after_letter = bool(letter[-1])
+        p = np.concatenate([carried, np.where(letter, points, 32)[keep].astype(np.uint64)])
+        new = len(carried)
+        some = [p[new:][p[new:] != 32]]
+        for width in (2, 3):
+            q = p[max(0, new - width + 1) :]
+            if len(q) >= width:
+                g = sum(q[k : len(q) - width + 1 + k] * np.uint64((0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D)[k]) for k in range(width))
+                some.append(g + np.uint64(width << 40))
+        h = np.concatenate(some)
+        h = (h ^ (h >> np.uint64(15))) * np.uint64(0xD6E8FEB86659FD93)
+        yield (h >> np.uint64(50)).astype(np.int64)
+        carried = p[-2:]
+
+
+def gram_slots(text: str) -> np.ndarray:
+    """The slots of a whole text."""
+    return np.concatenate(list(slot_pieces(text)))
 
 
 def has_letter(text: str | None) -> bool:
@@ -93,8 +105,7 @@ class Model:
     def margins(self, text: str) -> np.ndarray:
         """Of each classifier, from the whole text, a piece at a time."""
         total, n = np.zeros(len(self.bias)), 0
-        for at in range(0, len(text), PIECE):
-            slots = gram_slots(text[at : at + PIECE])
+        for slots in slot_pieces(text):
             total += np.bincount(slots, minlength=SLOTS) @ self.weights
             n += len(slots)
         # the share of each slot, damped for short texts, whose shares are coarse
@@ -150,8 +161,8 @@ def train(documents: DataFrame, text_col: str = "text", lang_col: str = "lang",
             out = []
             for text in batch.column("text").to_pylist():
                 total = np.zeros(SLOTS, np.int32)
-                for at in range(0, len(text), PIECE):
-                    total += np.bincount(gram_slots(text[at : at + PIECE]), minlength=SLOTS).astype(np.int32)
+                for slots in slot_pieces(text):
+                    total += np.bincount(slots, minlength=SLOTS).astype(np.int32)
                 some = np.flatnonzero(total)
                 out.append(np.stack([some, total[some]]).astype(np.int32).tobytes())
             yield pa.RecordBatch.from_pydict({"lang": batch.column("lang"), "at": batch.column("at"), "grams": pa.array(out, pa.binary())})
