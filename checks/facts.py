@@ -490,19 +490,20 @@ def ttm_point_in_time(spark, d):
     return plain(trailing.ttm_as_known(quarters(spark, d), BY))
 
 
+_PER_PRICE = ("ttm_revenue", "ttm_net_income", "ttm_operating_income", "ttm_operating_cash_flow", "ttm_dividends_paid", "latest_total_equity", "latest_total_assets", "latest_total_debt")
+
+
 @query(
     "ttm_per_price",
-    """select p.company_key, p.price_date, cast(p.close_price as double) as close_price, t.quarters_included,
-      cast(t.ttm_revenue as double) as ttm_revenue, cast(t.ttm_net_income as double) as ttm_net_income,
-      cast(t.latest_total_equity as double) as latest_total_equity
+    f"""select p.company_key, p.price_date, cast(p.close_price as double) as close_price, t.quarters_included,
+      {dbl(*_PER_PRICE, prefix='t.')}
       from v_prices p asof join v_ttm t on p.company_key = t.company_key and cast(p.price_date as timestamp) >= t.accepted_date""",
 )
 def ttm_per_price(spark, d):
     rows = facts.ttm_per_price(samples.prices(spark, d), quarters(spark, d))
     return plain(
         rows.select(
-            "company_key", "price_date", "close_price", "quarters_included", "ttm_revenue", "ttm_net_income",
-            "latest_total_equity",
+            "company_key", "price_date", "close_price", "quarters_included", *_PER_PRICE
         )
     )
 
@@ -859,6 +860,18 @@ def sma(spark, d):
     return technicals.moving_averages(p, ["symbol"], "price_date", "close_price", technicals.AVERAGE_SPANS).drop("close_price")
 
 
+@query(
+    "equity_metrics_of_a_day",
+    f"""select * from (select symbol, price_date, {_RETURNS}, {_SMAS} from v_prices window w as (partition by symbol order by price_date))
+      where price_date = (select max(price_date) from v_prices)""",
+)
+def equity_metrics_of_a_day(spark, d):
+    """Returns and averages of the newest day, from whole histories."""
+    p = samples.prices(spark, d).select("symbol", "price_date", "close_price")
+    rows = technicals.latest_day(technicals.daily_equity_metrics(p), p.agg(F.max("price_date")).scalar())
+    return plain(rows.drop("close_price", "volatility_20d"))
+
+
 @query(
     "daily_equity_metrics",
     f"""select *, round(stddev_samp(return_1d) over (partition by symbol order by price_date rows between 19 preceding and current row) * sqrt(252.0), 6) as volatility_20d

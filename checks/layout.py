@@ -143,3 +143,18 @@ def appended_runs(spark, d):
     once = spark.read.schema(e.schema).parquet(f"{path}/runs").select("event_id")
     rows = spark.read.schema(e.schema).parquet(f"{path}/events").join(once, "event_id")
     return rows.withColumn("loads", F.lit(repeated // appended).cast("int"))
+
+
+@query(
+    "snapshot_files",
+    f"""select symbol, cast(taken_at as varchar) as taken_at, count(*) over (partition by taken_at) as member_count from ({LISTED})
+      where year(taken_at) = (select max(year(taken_at)) from ({LISTED}))""",
+)
+def snapshot_files(spark, d):
+    """The lists of the last year as files of their own, read back together."""
+    lists, path = snapshots(spark, d), work_dir(spark, "snapshots")
+    newest = lists.agg(F.max(F.year("taken_at"))).first()[0]
+    days = [r.taken_at for r in lists.where(F.year("taken_at") == newest).select("taken_at").distinct().collect()]
+    for day in days:
+        sinks.write_snapshot(lists.where(F.col("taken_at") == day), f"{path}/{day}", str(day))
+    return spark.read.schema("symbol string, taken_at string, member_count bigint").json([f"{path}/{day}" for day in days])

@@ -40,8 +40,20 @@ def latest_company(spark, d):
         F.col("o_totalprice").alias("market_cap"),
         "o_orderkey",
     )
-    order = [F.desc("loaded_timestamp"), F.desc("company_name"), F.desc("o_orderkey")]
-    return keyed.latest(history, ["symbol"], order).drop("o_orderkey")
+    return views.latest_company(history, "o_orderkey").drop("o_orderkey")
+
+
+_FILLED = ("gross_profit", "total_assets", "operating_cash_flow", "dividends_paid")
+
+
+@query(
+    "field_completeness",
+    "select symbol, " + ", ".join(f"cast(count({c}) as double) / cast(count(*) as double) * 100 as {c}" for c in _FILLED) + " from v_fact group by symbol",
+)
+def field_completeness(spark, d):
+    """Share of a company's statements that have a value, for fields of each kind of statement."""
+    rows = facts_checks.statements(spark, d)
+    return rows.groupBy("symbol").agg(*[e.alias(c) for c, e in quality.field_completeness(rows, _FILLED).items()])
 
 
 @query(

@@ -265,22 +265,22 @@ def annual_metrics(
     prices: DataFrame, annual: DataFrame, ttm: DataFrame, by: Sequence[str] = ("company_key",), day: str = "price_date"
 ) -> DataFrame:
     """Earlier valuation basis: full-year statements, earnings per share as income over
-    shares, and enterprise value without the cash deduction."""
+    shares, and enterprise value without the cash deduction. Years and trailing years are laid on
+    one timeline, so the prices take part in a single join."""
     by = list(by)
-    years = annual.select(
-        *by,
-        F.col("accepted_date").alias("annual_known"),
-        *[F.col(c).alias(f"fy_{c}") for c in ("revenue", "net_income", "total_equity", "total_debt", "shares_outstanding")],
-    )
-    trailing = ttm.select(
-        *by,
-        F.col("accepted_date").alias("ttm_known"),
-        "ttm_revenue", "ttm_net_income", "ttm_operating_income", "ttm_dividends_paid",
-        F.col("latest_shares_outstanding"),
+    of_year = ("revenue", "net_income", "total_equity", "total_debt", "shares_outstanding")
+    of_ttm = ("ttm_revenue", "ttm_net_income", "ttm_operating_income", "ttm_dividends_paid", "latest_shares_outstanding")
+    events = one_timeline(
+        {
+            "year": (annual.select(*by, "accepted_date", "fiscal_date", *of_year), "accepted_date", ["fiscal_date"]),
+            "ttm": (ttm.select(*by, "accepted_date", "newest_quarter_date", *of_ttm), "accepted_date", ["newest_quarter_date"]),
+        },
+        by,
+        "known_from",
     )
-    rows = asof_join(prices, years, by, day, "annual_known")
-    rows = asof_join(rows, trailing, by, day, "ttm_known")
-    rows = rows.where(F.col("annual_known").isNotNull() | F.col("ttm_known").isNotNull())
+    state = carried_forward(events, by, "known_from", ["year", "ttm"])
+    known = asof_join(prices, state, by, day, "known_from", how="inner")
+    rows = known.select(*prices.columns, *[F.col(f"year.{c}").alias(f"fy_{c}") for c in of_year], *[F.col(f"ttm.{c}").alias(c) for c in of_ttm])
     close, shares = F.col("close_price"), F.coalesce("fy_shares_outstanding", "latest_shares_outstanding")
     rows = rows.withColumn("market_cap", F.when((close > 0) & (shares > 0), close * shares))
     rows = rows.withColumn("enterprise_value", F.col("market_cap") + nz("fy_total_debt"))

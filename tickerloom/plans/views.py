@@ -42,9 +42,9 @@ def price_gaps(prices: DataFrame, longer_than: int = 3) -> DataFrame:
     )
 
 
-def latest_company(profiles: DataFrame) -> DataFrame:
-    """The newest loaded profile of each symbol."""
-    return latest(profiles, ["symbol"], [F.desc("loaded_timestamp"), F.desc("company_name")])
+def latest_company(profiles: DataFrame, *ties: str) -> DataFrame:
+    """The newest loaded profile of each symbol; ``ties`` are further columns, the larger first."""
+    return latest(profiles, ["symbol"], [F.desc(c) for c in ("loaded_timestamp", "company_name", *ties)])
 
 
 def latest_financials(income: DataFrame, balance: DataFrame, cash: DataFrame) -> DataFrame:
