@@ -257,3 +257,13 @@ def test_market_caps_are_whole_without_a_limit(spark):
     df = spark.createDataFrame([("A", f"2020-{m:02d}-{d:02d}", 1) for m in range(1, 13) for d in range(1, 29)], "symbol string, date string, marketCap long")
     assert landing.historical_market_cap(df).count() == 336
     assert landing.historical_market_cap(df, limit=100).count() == 100
+
+
+def test_payload_text_is_parsed_once_not_for_each_record(spark):
+    """A parse above the generator runs again for every record of the text."""
+    texts = spark.createDataFrame([('[{"symbol": "A", "x": 1}, {"x": 2}]', "f"), ("no json", "g")], "value string, source_file string")
+    rows = landing.payload_records(texts)
+    above = rows._jdf.queryExecution().optimizedPlan().toString().split("Generate")[0]
+    assert "parsejson" not in above.lower() and "parse_json" not in above.lower()
+    got = sorted((r.source_file, r.symbol or "", r.payload is None, r.unparsed or "") for r in rows.collect())
+    assert got == [("f", "", False, ""), ("f", "A", False, ""), ("g", "", True, "no json")]

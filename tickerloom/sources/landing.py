@@ -190,7 +190,9 @@ def payload_records(texts: DataFrame, text: str = "value", symbol: Column | None
     whole = F.try_parse_json(text)
     records = F.coalesce(F.try_variant_get(whole, "$", "array<variant>"), F.array(whole))
     given = F.lit(None).cast("string") if symbol is None else symbol
-    rows = texts.select(*kept, given.alias("_given"), F.when(whole.isNull(), F.col(text)).alias("unparsed"), F.explode(records).alias("payload"))
+    # the text is parsed below the generator: columns beside it are made again for each record
+    told = texts.select(*kept, given.alias("_given"), F.when(whole.isNull(), F.col(text)).alias("unparsed"), records.alias("_records"))
+    rows = told.select(*kept, "_given", "unparsed", F.explode("_records").alias("payload"))
     own = F.nullif(F.try_variant_get("payload", "$.symbol", "string"), F.lit(""))
     return rows.select(*kept, F.coalesce(own, "_given").alias("symbol"), "payload", "unparsed")
 
