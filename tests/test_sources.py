@@ -267,3 +267,15 @@ def test_payload_text_is_parsed_once_not_for_each_record(spark):
     assert "parsejson" not in above.lower() and "parse_json" not in above.lower()
     got = sorted((r.source_file, r.symbol or "", r.payload is None, r.unparsed or "") for r in rows.collect())
     assert got == [("f", "", False, ""), ("f", "A", False, ""), ("g", "", True, "no json")]
+
+
+def test_landed_files_follow_the_records_not_the_companies(spark, tmp_path, monkeypatch):
+    from checks import stored
+
+    monkeypatch.setattr(stored, "work_dir", lambda _, purpose: str(tmp_path / purpose))
+    rows = spark.range(300).selectExpr("concat('S', id) as symbol", "id as volume")
+    path = stored.land(rows, spark, "price")
+    files = [f for f in (tmp_path / "landed-price").iterdir() if f.name.endswith(".txt") and f.stat().st_size]
+    assert len(files) == 1
+    back = landing.payload_records(spark.read.option("wholetext", True).text(path))
+    assert {r.symbol for r in back.collect()} == {f"S{k}" for k in range(300)}
