@@ -571,18 +571,17 @@ def market_metrics_as_known(spark, d):
     return plain(rows.drop("symbol", "open_price", "high_price", "low_price", "close_price", "volume"))
 
 
-@query(
-    "incremental_metrics",
-    "select company_key, price_date, market_cap, pe_ratio_ttm from v_metrics where company_key % 3 = 0",
-)
+@query("incremental_metrics", "select company_key, price_date, market_cap, pe_ratio_ttm from v_metrics")
 def incremental_metrics(spark, d):
-    """Only prices whose day is not stored yet are valued; of a third of the companies the stored days
-    bear another key."""
-    marked = F.when(F.col("company_key") % 3 == 0, -1 - F.col("company_key")).otherwise(F.col("company_key"))
-    stored = samples.prices(spark, d).select(marked.alias("company_key"), "price_date")
-    todo = facts.not_yet_computed(samples.prices(spark, d), stored, [*BY, "price_date"])
-    rows = facts.market_metrics(todo, trailing.with_ttm(filings(spark, d), BY))
-    return plain(rows.select("company_key", "price_date", "market_cap", "pe_ratio_ttm"))
+    """Prices of two thirds of the companies are valued and stored; then only those whose day is not
+    stored yet. Both together are the valuation of all prices."""
+    q, path = trailing.with_ttm(filings(spark, d), BY), work_dir(spark, "valued")
+    prices = samples.prices(spark, d)
+    first = facts.market_metrics(prices.where(F.col("company_key") % 3 != 0), q).select(*BY, "price_date", "market_cap", "pe_ratio_ttm")
+    first.write.parquet(path)
+    stored = spark.read.schema(first.schema).parquet(path)
+    todo = facts.not_yet_computed(prices, stored, [*BY, "price_date"])
+    return plain(stored.unionByName(facts.market_metrics(todo, q).select(*first.columns)))
 
 
 @query(
