@@ -152,7 +152,11 @@ def appended_runs(spark, d):
 )
 def snapshot_files(spark, d):
     """The lists of the last year as files of their own, read back together."""
-    lists, path = snapshots(spark, d), work_dir(spark, "snapshots")
+    path = work_dir(spark, "snapshots")
+    # made once: the year, its days, the counts and the files all read what is stored
+    made = snapshots(spark, d)
+    made.write.parquet(f"{path}/lists")
+    lists = spark.read.schema(made.schema).parquet(f"{path}/lists")
     newest = lists.agg(F.max(F.year("taken_at"))).first()[0]
     days = [r.taken_at for r in lists.where(F.year("taken_at") == newest).select("taken_at").distinct().collect()]
     for day in days:
