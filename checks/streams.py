@@ -167,12 +167,18 @@ def stream_upsert(spark, d):
     return stored.select(*keys, "value", F.col("ts").cast("timestamp_ntz").alias("ts"))
 
 
+#: Bytes of a landed file that one task reads at least.
+ROW_GROUP = 8 << 20
+
+
 def _arriving(spark, d, arrival, n):
     """The events as a stream of ``n`` files that arrive one after the other."""
     path, _ = ticks.new_paths(spark, "arrivals")
     events = samples.table(spark, d, "events").select(*SCHEMA.names)
     for k in range(n):
-        events.where(F.expr(arrival) == k).coalesce(1).write.mode("append").parquet(path)
+        # read by many tasks, and written as one file that many tasks can read again
+        files = events.where(F.expr(arrival) == k).repartition(1)
+        files.write.mode("append").option("parquet.block.size", ROW_GROUP).parquet(path)
     stream = ticks.file_ticks(spark, path, SCHEMA, files_per_trigger=1)
     return stream.withColumns({"ts": F.col("ts").cast("timestamp"), "price": F.col("value").cast("decimal(12,2)")})
 
