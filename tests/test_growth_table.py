@@ -78,3 +78,13 @@ def test_one_row_for_each_key(spark, statements):
     fact = growth_table.growth_fact(statements[1])
     keys = ["company_key", "calculation_date", "period_type", "periods_back"]
     assert fact.count() == fact.dropDuplicates(keys).count() and growth_table.growth_fact(statements[1].limit(0)).count() == 0
+
+
+def test_more_statements_get_more_tasks(spark, statements, monkeypatch):
+    rows, df = statements
+    monkeypatch.setattr(growth_table, "EACH", 10)
+    fact = growth_table.growth_fact(df)
+    monkeypatch.undo()
+    assert "hashpartitioning(company_key#" in (plan := fact._jdf.queryExecution().executedPlan().toString())
+    assert f", {-(-len(rows) // 10)}), REPARTITION_BY_NUM" in plan
+    assert sorted(map(repr, fact.collect())) == sorted(map(repr, growth_table.growth_fact(df).collect()))

@@ -1,6 +1,6 @@
 """The growth fact: quarters, fiscal years and trailing years against earlier ones, and what it serves.
 
-All statements of a company are shuffled together once. Each period has its place on a fiscal
+All statements of a company are shuffled together once, to as many tasks as their number asks for. Each period has its place on a fiscal
 index that counts calendar quarters, so "n quarters back" is one value of the index: a range frame
 of a window finds the period there or none, whatever periods are missing between. Quarters, years
 and trailing years are three kinds of rows in the same partition and share these windows.
@@ -18,6 +18,7 @@ from ..functions.dates import is_quarter
 from ..functions.valuation import peg
 from ..operators.growth import GROWTH_MEASURES, growth_quality
 from ..operators.trailing import with_ttm
+from ..session import work_dir
 from .facts import market_metrics
 
 #: For each kind of row how many quarters lie between a period and the one ``periods_back`` of its kind.
@@ -26,6 +27,8 @@ PERIODS = {
     "ANNUAL": {1: 4, 3: 12, 5: 20},
     "TTM": {1: 4, 3: 12, 5: 20},
 }
+#: Statements that a task has on average: each becomes up to eight wide rows, which are sorted several times.
+EACH = 8192
 _SHARE = ("book_value_per_share", "revenue_per_share")
 _HELD = ("total_assets", "total_equity")
 
@@ -45,8 +48,14 @@ def _kinds(statements: DataFrame, by: Sequence[str]) -> DataFrame:
     """(by, calculation_date, fiscal_date, _index, period_type, measures): each period's own row,
     and the trailing year's that a quarter completes."""
     quarter = is_quarter("period_type")
-    # dealt by entity alone, which serves every window below; an entity has few statements
-    together = statements.where(quarter | (F.col("period_type") == "FY")).withColumn("_quarter", quarter).repartition(*by)
+    # stored, as their number is needed before they are dealt
+    spark, path = statements.sparkSession, work_dir(statements.sparkSession, "growth-statements")
+    some = statements.where(quarter | (F.col("period_type") == "FY")).withColumn("_quarter", quarter)
+    some.write.parquet(path)
+    some = spark.read.schema(some.schema).parquet(path)
+    # dealt by entity alone, which serves every window below; an entity has few statements, and more
+    # statements get more tasks, so that none has to sort more of them
+    together = some.repartition(max(2, -(-some.count() // EACH)), *by)
     framed = with_ttm(together, [*by, "_quarter"])
     own = _measured({m: F.col(m) for m in GROWTH_MEASURES})
     year = {m: F.col(f"ttm.latest_{m}" if m in _HELD else f"ttm.ttm_{m}") for m in GROWTH_MEASURES if m not in _SHARE}
