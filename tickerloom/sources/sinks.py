@@ -230,6 +230,15 @@ def input_position(spark: SparkSession, path: str, within: Callable[[str], bool]
 
 # ---- layout ------------------------------------------------------------------------------
 
+def _place(value: Column, bounds: Sequence, first: int = 0) -> Column:
+    """``first`` and how many of the sorted bounds a value reaches, none if it is NULL: each row compares
+    it with as many as halving takes."""
+    if not bounds:
+        return F.lit(first).cast("long")
+    k = len(bounds) // 2
+    return F.when(value >= F.lit(bounds[k]), _place(value, bounds[k + 1 :], first + k + 1)).otherwise(_place(value, bounds[:k], first))
+
+
 def interleaved(df: DataFrame, keys: Sequence[str], name: str, bits: int = 6) -> DataFrame:
     """``df`` with a sort key in which the keys' places take turns bit by bit, so that rows near in
     it are near in every key. A key's place is its bucket among ``2**bits`` of about equal size,
@@ -246,8 +255,7 @@ def interleaved(df: DataFrame, keys: Sequence[str], name: str, bits: int = 6) ->
     bounds = df.agg(*[F.percentile_approx(number(c), shares, 1000).alias(c) for c in keys]).first()
     places = {}
     for j, c in enumerate(keys):
-        above = [(number(c) >= F.lit(b)).cast("long") for b in sorted(set(bounds[c] or []))]
-        places[f"{name}_{j}"] = F.coalesce(reduce(lambda a, b: a + b, above, F.lit(0).cast("long")), F.lit(0))
+        places[f"{name}_{j}"] = _place(number(c), sorted(set(bounds[c] or [])))
     bit = [
         F.shiftleft(F.shiftright(f"{name}_{j}", k).bitwiseAND(1), k * len(keys) + j)
         for j in range(len(keys))
