@@ -1,5 +1,6 @@
 """Clustering, sketches, the backfill's ledger and membership on small tables."""
 
+import re
 from datetime import date, timedelta
 
 import pyarrow.parquet as pq
@@ -122,3 +123,18 @@ def test_stays_with_gaps_repeats_and_odd_rows(spark):
     met = membership.members_on(days, got, ["symbol"], "day", ["member_from", "member_to"]).collect()
     assert {(r.symbol, r.day, r.member_from) for r in met} == {("A", t[2], t[0]), ("B", t[1] + timedelta(29), t[0]), ("A", t[4] + timedelta(900), t[4])}
     assert membership.intervals(spark.createDataFrame([], "symbol string, taken_at date"), ["symbol"]).count() == 0
+
+
+def test_a_place_takes_few_comparisons(spark):
+    bounds = [float(k // 2 * 2 + 1) for k in range(0, 126, 2)]
+    place = sinks._place(F.col("v"), bounds)
+    values = [None, float("nan"), -5.0, 0.99, 1.0, 1.5, 61.0, 62.0, 125.0, 126.0, *bounds]
+    got = spark.createDataFrame([(v,) for v in values], "v double").select("v", place.alias("p"), sinks._place(F.col("v"), []).alias("none")).collect()
+    for r in got:
+        assert r.p == (0 if r.v is None else 63 if r.v != r.v else sum(r.v >= b for b in bounds)) and r.none == 0
+    # each row is compared six times, not with all 63 bounds
+    depth = deepest = 0
+    for word in re.findall(r"\b(?:CASE|END)\b", str(place)):
+        depth += 1 if word == "CASE" else -1
+        deepest = max(deepest, depth)
+    assert deepest == 6
