@@ -89,3 +89,14 @@ def test_components(spark):
             u.join(a, b)
     got = {r.node: r.component for r in components(spark.createDataFrame(edges, "x long, y long"), "x", "y").collect()}
     assert got == {x: u.find(x) for x in list(u.up)}
+
+
+def test_stars_take_no_round(spark, monkeypatch):
+    """Two more rounds only showed that nothing changes any more."""
+    from tickerloom.llm import components as module
+
+    rounds, was = [], module.stored
+    monkeypatch.setattr(module, "stored", lambda df, name: (rounds.append(name), was(df, name))[1])
+    links = [(1, 7), (1, 8), (9, 1), (4, 5), (3, 3), (None, 2)]
+    got = {r.node: r.component for r in components(spark.createDataFrame(links, "x long, y long"), "x", "y").collect()}
+    assert got == {1: 1, 7: 1, 8: 1, 9: 1, 4: 4, 5: 4} and len(rounds) == 1
