@@ -226,3 +226,34 @@ def test_few_files_for_each_partition(spark, tmp_path):
     sinks.replace_partitions(many, path, ["p"])
     folder = versions.newest(spark, path).folders["p=3"]
     assert all(len([f for f in files.children(spark, f"{path}/data/{folder}/p={p}") if f.startswith("part")]) == 1 for p in range(7))
+
+
+def test_partitions_told_by_other_rows(spark, tmp_path, monkeypatch):
+    """The source was kept and gone through twice to learn which partitions it touches."""
+    path = str(tmp_path / "t")
+    schema = table(spark, path)
+    before = versions.newest(spark, path).folders
+    monkeypatch.setattr(type(spark.range(1)), "persist", lambda *_: 1 / 0)
+    # more partitions than the source has are read, and left as they are
+    counts = upsert(spark, path, schema, near=spark.range(3).selectExpr("cast(id as int) as p"), unique=True)
+    assert counts == {"inserted": 1, "updated": 2, "unchanged": 10} and rows(spark, sinks.read_table(spark, path)) == WANT
+    after = versions.newest(spark, path).folders
+    assert {p for p in after if after[p] != before[p]} == {"p=0", "p=1"}
+
+
+def test_unique_rows_may_repeat(spark, tmp_path):
+    path = str(tmp_path / "t")
+    source = spark.createDataFrame([(1, "b", 1), (1, "a", 1), (2, "c", 0), (None, "d", 0), (None, "e", 0)], SCHEMA)
+    sinks.create_table(spark, path, source.schema)
+    sinks.upsert_table(spark, path, source, ["k"], ["p"], ["v"], unique=True)
+    assert {tuple(r) for r in sinks.read_table(spark, path).select("k", "v", "p").collect()} == {(1, "a", 1), (2, "c", 0), (None, "d", 0)}
+
+
+def test_states_told_by_other_rows(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    sinks.create_table(spark, path, spark.createDataFrame([], "k long, n long, p int").schema)
+    monkeypatch.setattr(type(spark.range(1)), "persist", lambda *_: 1 / 0)
+    for n in (1, 2):
+        some = spark.createDataFrame([(k, n, k % 2) for k in range(3 * n)], "k long, n long, p int")
+        sinks.combine_into(spark, path, some, ["k", "p"], ["p"], {"n": F.sum("n")}, near=some)
+    assert {(r.k, r.n) for r in sinks.read_table(spark, path).collect()} == {(k, 3 if k < 3 else 2) for k in range(6)}
