@@ -7,7 +7,7 @@ import pytest
 
 import __spark_entry__ as entry
 import corpus_pipeline
-from checks import layout, streams
+from checks import layout, stored, streams
 from tickerloom.llm import line_dedup
 
 
@@ -59,6 +59,15 @@ def test_arrivals_are_read_by_many_tasks(spark, folder, monkeypatch):
     assert stream.isStreaming and len(plans) == 10 and not any("Repartition 1, false" in p for p in plans)
 
 
+def test_trades_are_read_by_many_tasks(spark, folder, tmp_path, monkeypatch):
+    plans, write = [], type(spark.range(1)).write
+    monkeypatch.setattr(type(spark.range(1)), "write", property(lambda df: (plans.append(optimized(df)), write.fget(df))[1]))
+    schema = stored.trades_in_files(spark, folder, str(tmp_path / "trades"))
+    assert len(plans) == 3 and not any("Repartition 1, false" in p for p in plans)
+    assert len([f for f in (tmp_path / "trades").iterdir() if f.suffix == ".parquet"]) == 3
+    assert spark.read.schema(schema).parquet(str(tmp_path / "trades")).count() == 180
+
+
 def test_pipeline_lines_by_simhash_and_what_it_leaves(spark, monkeypatch):
     rng, used, made = random.Random(3), [], line_dedup._occurrences
     monkeypatch.setattr(line_dedup, "_occurrences", lambda *a: (used.append(a), made(*a))[1])

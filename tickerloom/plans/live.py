@@ -46,7 +46,7 @@ def stage_bars(spark: SparkSession, root: str, changed: DataFrame) -> dict[str,
     now = daily.read(spark, root, "live_bars").join(changed.select("symbol", "price_date", "month").distinct(), ["symbol", "price_date", "month"], "left_semi")
     rows = now.select("symbol", "price_date", "open_price", "high_price", "low_price", "close_price", "volume", F.localtimestamp().alias("loaded_timestamp"))
     lacking = [f for f in daily.TABLES["price"].schema.fields if f.name not in rows.columns]
-    return daily.store(spark, root, "price", rows.withColumns({f.name: F.lit(None).cast(f.dataType) for f in lacking}))
+    return daily.store(spark, root, "price", rows.withColumns({f.name: F.lit(None).cast(f.dataType) for f in lacking}), near=changed)
 
 
 def valued_batches(root: str, stream: str = "ticks") -> Handler:
@@ -59,7 +59,8 @@ def valued_batches(root: str, stream: str = "ticks") -> Handler:
     def handle(ticks: DataFrame, batch_id: int) -> None:
         spark = ticks.sparkSession
         keys = [*BARS.keys, BARS.part]
-        sinks.combine_into(spark, f"{root}/{BARS.folder}", partial_days(ticks), keys, [BARS.part], made(BAR_STATES), (stream, batch_id))
+        months = BARS.stamped(ticks.select(F.to_date("ts").alias("price_date")))
+        sinks.combine_into(spark, f"{root}/{BARS.folder}", partial_days(ticks), keys, [BARS.part], made(BAR_STATES), (stream, batch_id), near=months)
         daily.follow(spark, root, "price", ["live_bars"], lambda c: stage_bars(spark, root, c["live_bars"]))
         daily.follow(spark, root, "prices", ["price"], lambda c: daily.update_prices(spark, root, changed=c["price"]))
         daily.follow(spark, root, "metrics", daily.METRIC_SOURCES, lambda c: daily.metrics_after(spark, root, c))
