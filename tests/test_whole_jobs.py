@@ -9,6 +9,7 @@ import __spark_entry__ as entry
 import corpus_pipeline
 from checks import layout, stored, streams
 from tickerloom.llm import line_dedup
+from tickerloom.sources import landing
 
 
 @pytest.fixture(scope="module")
@@ -68,6 +69,15 @@ def test_trades_are_read_by_many_tasks(spark, folder, tmp_path, monkeypatch):
     assert spark.read.schema(schema).parquet(str(tmp_path / "trades")).count() == 180
 
 
+def test_landed_prices_are_compressed(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(stored, "work_dir", lambda _, purpose: str(tmp_path / purpose))
+    rows = spark.range(300).selectExpr("concat('S', id) as symbol", "cast(id as string) as volume")
+    path = stored.land(rows, spark, "price", "gzip")
+    assert [f for f in (tmp_path / "landed-price").iterdir() if f.name.endswith(".txt.gz") and f.stat().st_size]
+    back, _ = landing.read_feed(spark, path, "price")
+    assert {(r.symbol, r.volume) for r in back.collect()} == {(f"S{k}", str(k)) for k in range(300)}
+
+
 def test_pipeline_lines_by_simhash_and_what_it_leaves(spark, monkeypatch):
     rng, used, made = random.Random(3), [], line_dedup._occurrences
     monkeypatch.setattr(line_dedup, "_occurrences", lambda *a: (used.append(a), made(*a))[1])

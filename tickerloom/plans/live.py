@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import short_shuffles
 from ..sources import sinks
 from ..streaming.state import BAR_STATES, Handler, made
 from . import daily
@@ -58,11 +59,12 @@ def valued_batches(root: str, stream: str = "ticks") -> Handler:
 
     def handle(ticks: DataFrame, batch_id: int) -> None:
         spark = ticks.sparkSession
-        keys = [*BARS.keys, BARS.part]
-        months = BARS.stamped(ticks.select(F.to_date("ts").alias("price_date")))
-        sinks.combine_into(spark, f"{root}/{BARS.folder}", partial_days(ticks), keys, [BARS.part], made(BAR_STATES), (stream, batch_id), near=months)
-        daily.follow(spark, root, "price", ["live_bars"], lambda c: stage_bars(spark, root, c["live_bars"]))
-        daily.follow(spark, root, "prices", ["price"], lambda c: daily.update_prices(spark, root, changed=c["price"]))
-        daily.follow(spark, root, "metrics", daily.METRIC_SOURCES, lambda c: daily.metrics_after(spark, root, c))
+        with short_shuffles(spark):
+            keys = [*BARS.keys, BARS.part]
+            months = BARS.stamped(ticks.select(F.to_date("ts").alias("price_date")))
+            sinks.combine_into(spark, f"{root}/{BARS.folder}", partial_days(ticks), keys, [BARS.part], made(BAR_STATES), (stream, batch_id), near=months)
+            daily.follow(spark, root, "price", ["live_bars"], lambda c: stage_bars(spark, root, c["live_bars"]))
+            daily.follow(spark, root, "prices", ["price"], lambda c: daily.update_prices(spark, root, changed=c["price"]))
+            daily.follow(spark, root, "metrics", daily.METRIC_SOURCES, lambda c: daily.metrics_after(spark, root, c))
 
     return handle
